@@ -100,9 +100,9 @@ def decile_lift(df: DataFrame, actual: str, predicted: str, groups: int = 10) ->
     edge_list = edges.select(F.array_distinct("q")).scalar()
     placed = df.select(
         F.col(actual).cast("double").alias("y"), F.col(predicted).cast("double").alias("p"), edge_list.alias("e")
-    ).where(F.col("p").isNotNull())
+    )
     inner = F.slice("e", 2, F.greatest(F.size("e") - 2, F.lit(0)))
-    code = F.size(F.filter(inner, lambda e: e < F.col("p")))
+    code = F.when(_known(F.col("p")), F.size(F.filter(inner, lambda e: e < F.col("p"))))
     bins = placed.select("y", "p", code.alias("code")).groupBy("code").agg(
         F.count(F.lit(1)).alias("n_customers"), F.avg("y").alias("mean_actual_clv"),
         F.avg("p").alias("mean_predicted_clv"), F.sum("y").alias("sum_y"), F.count("y").alias("known"),
@@ -112,7 +112,7 @@ def decile_lift(df: DataFrame, actual: str, predicted: str, groups: int = 10) ->
         F.struct(F.max("code").alias("top"), F.try_divide(F.sum("sum_y"), F.sum("known")).alias("mean"))
     ).scalar()
     base = F.when(whole["mean"] == 0, F.lit(sys.float_info.epsilon)).otherwise(whole["mean"])
-    return bins.select(
+    return bins.where(F.col("code").isNotNull()).select(
         (whole["top"] - F.col("code") + 1).alias("decile"), "n_customers", "mean_actual_clv", "mean_predicted_clv",
         (F.col("mean_actual_clv") / base).alias("lift"),
     ).orderBy("decile")

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.ranking import place, unfold
+from ledgerlens.operators.ranking import Placement, place, unfold
 
 
 def value_counts(df: DataFrame, value: str, by=()) -> DataFrame:
@@ -25,10 +25,14 @@ def value_counts(df: DataFrame, value: str, by=()) -> DataFrame:
     )
 
 
-def _pick(counts: DataFrame, by, wanted) -> DataFrame:
+def place_counts(counts: DataFrame, by=()) -> Placement:
+    """Distinct values with their counts, cut into ordered slots per group."""
+    return place(counts, [F.col("value")], sums=["n"], by=by)
+
+
+def _pick(placement: Placement, wanted) -> DataFrame:
     """One row per group with v0, v1, … = the values at the 0-based positions ``wanted(total)``."""
-    by = list(by)
-    placement = place(counts, [F.col("value")], sums=["n"], by=by)
+    by = list(placement.by)
     totals = placement.slots.groupBy(*by).agg(F.sum("_in_n").alias("total"))
     positions = wanted(F.col("total"))
 
@@ -51,7 +55,7 @@ def _pick(counts: DataFrame, by, wanted) -> DataFrame:
     )
 
 
-def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by=(), alias: str = "q") -> DataFrame:
+def quantiles_placed(placement: Placement, probs: Sequence[float], alias: str = "q") -> DataFrame:
     """Linear-interpolation quantiles (the numpy/SQL ``percentile_cont`` rule) as one array per group."""
 
     def spots(total: Column) -> list[Column]:
@@ -61,18 +65,18 @@ def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by=(), alias:
             out += [F.floor(position).cast("bigint"), F.ceil(position).cast("bigint")]
         return out
 
-    picked = _pick(counts, by, spots)
+    picked = _pick(placement, spots)
     values = []
     for i, p in enumerate(probs):
         position = (F.col("total") - 1).cast("double") * F.lit(float(p))
         low, high = F.col(f"v{2 * i}").cast("double"), F.col(f"v{2 * i + 1}").cast("double")
         values.append(low + (high - low) * (position - F.floor(position)))
-    return picked.select(*by, F.array(*values).alias(alias), F.col("total").alias("n"))
+    return picked.select(*placement.by, F.array(*values).alias(alias), F.col("total").alias("n"))
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by=(), alias: str = "q") -> DataFrame:
     """Exact quantiles of ``value`` per group: (by, q array<double>, n)."""
-    return quantiles_of_counts(value_counts(df, value, by), probs, by, alias)
+    return quantiles_placed(place_counts(value_counts(df, value, by), by), probs, alias)
 
 
 def quantiles_many(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -93,4 +97,4 @@ def scalar_quantile(df: DataFrame, value: str, p: float) -> Column:
 
 def order_statistic(df: DataFrame, value: str, position) -> DataFrame:
     """(total, v0): the value at 1-based position ``position(total)``, null when it lies outside."""
-    return _pick(value_counts(df, value), (), lambda total: [position(total) - 1])
+    return _pick(place_counts(value_counts(df, value)), lambda total: [position(total) - 1])
