@@ -1 +1,127 @@
+"""Probabilistic value model: scoring with fixed parameters, validation, and the fits."""
 
+from __future__ import annotations
+
+from dataclasses import asdict
+
+from pyspark.sql import functions as F
+
+from ledgerlens.operators import bgnbd, gamma_gamma, metrics
+from ledgerlens.plans.catalog import inputs
+from ledgerlens.plans.catalog.registry import SETTINGS, fragment, query
+
+BUY = bgnbd.PurchaseModel(r=0.6, alpha=60.0, a=1.5, b=2.5)
+SPEND = gamma_gamma.SpendModel(p=6.0, q=4.0, v=15_000_000.0)
+HOLDOUT_DAYS = (SETTINGS.holdout_end - SETTINGS.holdout_start).days + 1
+
+ODDS = (f"(CASE WHEN frequency > 0 THEN {BUY.a} / ({BUY.b} + frequency - 1)"
+        f" * pow(({BUY.alpha} + T) / ({BUY.alpha} + recency), {BUY.r} + frequency) ELSE 0.0 END)")
+ALIVE = f"(1.0 / (1.0 + {ODDS}))"
+
+
+def expectation_sql(days: int) -> str:
+    """Series terms via log-gamma: a different evaluation from the Horner recurrence under test."""
+    A, B = BUY.a + BUY.b - 1 - BUY.r, BUY.a - 1
+    C = f"({BUY.a + BUY.b - 1}::DOUBLE + frequency)"
+    z = f"({days}::DOUBLE / ({BUY.alpha + days}::DOUBLE + T))"
+    series = (f"list_sum(list_transform(range(0, 160), lambda k: exp(lgamma({A}::DOUBLE + k) - lgamma({A}::DOUBLE)"
+              f" + lgamma({B}::DOUBLE + k) - lgamma({B}::DOUBLE) - lgamma({C} + k) + lgamma({C}) - lgamma(1.0::DOUBLE + k)"
+              f" + k * ln({z}))))")
+    return f"({C} / {BUY.a - 1} * (1 - pow(1 - {z}, {BUY.a - 1}) * {series}) / (1 + {ODDS}))"
+
+
+W = f"({SPEND.p} * frequency / ({SPEND.p} * frequency + {SPEND.q - 1}))"
+MONEY = f"({W} * monetary_value + (1 - {W}) * {SPEND.p * SPEND.v / (SPEND.q - 1)}::DOUBLE)"
+
+fragment("month_ends", "SELECT customer_id, frequency, monetary_value, " + ", ".join(
+    f"{expectation_sql(30 * i)} AS e{i}" for i in range(1, 13)) + f", {ALIVE} AS p_alive FROM rfm", ["rfm"])
+CLV = f"{SETTINGS.gross_margin} * {MONEY} * (" + " + ".join(
+    f"(e{i} - {'e' + str(i - 1) if i > 1 else '0'}) / pow({1 + SETTINGS.monthly_discount}, {i})" for i in range(1, 13)) + ")"
+fragment("predictions", f"""
+ SELECT customer_id, frequency, e12 AS predicted_purchases, p_alive,
+   CASE WHEN frequency > 0 THEN {CLV} ELSE 0.0 END AS predicted_clv FROM month_ends""", ["month_ends"])
+
+
+def predictions(spark, sf):
+    return gamma_gamma.predict_all(inputs.rfm(spark, sf), BUY, SPEND, SETTINGS)
+
+
+@query("value_p_alive", f"SELECT customer_id, round({ALIVE}, 9) AS p_alive FROM rfm", ["rfm"])
+def value_p_alive(spark, sf):
+    return inputs.rfm(spark, sf).select("customer_id", F.round(bgnbd.p_alive(BUY), 9).alias("p_alive"))
+
+
+@query("value_expected_purchases", f"SELECT customer_id, round({expectation_sql(365)}, 7) AS purchases FROM rfm", ["rfm"])
+def value_expected_purchases(spark, sf):
+    return inputs.rfm(spark, sf).select(
+        "customer_id", F.round(bgnbd.expected_purchases(BUY, 365), 7).alias("purchases"))
+
+
+@query("value_expected_spend", f"SELECT customer_id, round({MONEY}, 3) AS spend FROM rfm", ["rfm"])
+def value_expected_spend(spark, sf):
+    return inputs.rfm(spark, sf).select("customer_id", F.round(gamma_gamma.expected_spend(SPEND), 3).alias("spend"))
+
+
+@query("value_predict_all", """
+ SELECT customer_id, round(predicted_purchases, 7) AS predicted_purchases, round(p_alive, 9) AS p_alive,
+   round(predicted_clv, 0) AS predicted_clv, round(predicted_clv, 0) AS clv_inr FROM predictions""", ["predictions"])
+def value_predict_all(spark, sf):
+    table = predictions(spark, sf)
+    return table.select("customer_id", F.round("predicted_purchases", 7).alias("predicted_purchases"),
+                        F.round("p_alive", 9).alias("p_alive"), F.round("predicted_clv", 0).alias("predicted_clv"),
+                        F.round("clv_inr", 0).alias("clv_inr"))
+
+
+@query("value_frequency_recency", f"""
+ SELECT frequency, CAST(floor(recency / 30.0) AS INTEGER) AS recency_bucket, count(*) AS n_customers,
+   round(avg({expectation_sql(365)}), 7) AS expected_purchases, round(avg({ALIVE}), 9) AS p_alive FROM rfm GROUP BY 1, 2""", ["rfm"])
+def value_frequency_recency(spark, sf):
+    table = gamma_gamma.frequency_recency_table(inputs.rfm(spark, sf), BUY, 365)
+    return table.withColumns({"expected_purchases": F.round("expected_purchases", 7), "p_alive": F.round("p_alive", 9)})
+
+
+@query("value_calibration", f"""
+ WITH h AS (SELECT CustomerID AS customer_id, count(DISTINCT CAST(InvoiceDate AS DATE)) AS n FROM hold GROUP BY 1)
+ SELECT frequency, count(*) AS n_customers, round(avg(coalesce(n, 0)), 9) AS actual,
+   round(avg({expectation_sql(HOLDOUT_DAYS)}), 7) AS expected
+ FROM rfm LEFT JOIN h USING (customer_id) GROUP BY 1""", ["rfm", "hold"])
+def value_calibration(spark, sf):
+    held = inputs.held_out(spark, sf).groupBy(F.col("CustomerID").alias("customer_id")).agg(
+        F.count_distinct(F.to_date("InvoiceDate")).alias("n_purchases"))
+    table = gamma_gamma.calibration(inputs.rfm(spark, sf), held, BUY, HOLDOUT_DAYS)
+    return table.withColumns({"actual": F.round("actual", 9), "expected": F.round("expected", 7)})
+
+
+@query("value_holdout_validation", """
+ SELECT count(*) AS n, round(avg(abs(y - p)), 0) AS mae, round(sqrt(avg((y - p) * (y - p))), 0) AS rmse,
+   round(avg(abs((y - p) / y)) FILTER (y <> 0) * 100, 6) AS mape, round(corr(y, p), 7) AS pearson_r
+ FROM (SELECT a.holdout_revenue AS y, x.predicted_clv AS p FROM predictions x JOIN actuals a USING (customer_id))""",
+       ["predictions", "actuals"])
+def value_holdout_validation(spark, sf):
+    joined = predictions(spark, sf).join(inputs.actuals(spark, sf), "customer_id")
+    table = metrics.regression_report(joined, "holdout_revenue", "predicted_clv")
+    return table.withColumns({"mae": F.round("mae", 0), "rmse": F.round("rmse", 0), "mape": F.round("mape", 6),
+                              "pearson_r": F.round("pearson_r", 7)})
+
+
+@query("value_top_customers", """
+ SELECT customer_id, round(predicted_purchases, 7) AS predicted_purchases, round(p_alive, 9) AS p_alive
+ FROM predictions ORDER BY round(predicted_clv, 0) DESC, customer_id LIMIT 20""", ["predictions"])
+def value_top_customers(spark, sf):
+    table = predictions(spark, sf).orderBy(F.desc(F.round("predicted_clv", 0)), "customer_id").limit(20)
+    return table.select("customer_id", F.round("predicted_purchases", 7).alias("predicted_purchases"),
+                        F.round("p_alive", 9).alias("p_alive"))
+
+
+def _as_row(spark, model):
+    return spark.createDataFrame([tuple(asdict(model).values())], list(asdict(model)))
+
+
+@query("value_fit_purchases")
+def value_fit_purchases(spark, sf):
+    return _as_row(spark, bgnbd.fit(inputs.rfm(spark, sf), SETTINGS.penalizer))
+
+
+@query("value_fit_spend")
+def value_fit_spend(spark, sf):
+    return _as_row(spark, gamma_gamma.fit(inputs.rfm(spark, sf), SETTINGS.penalizer))
