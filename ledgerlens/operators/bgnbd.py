@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.special import digamma, hyp2f1, ln_gamma
+from ledgerlens.functions.special import hyp2f1
 from ledgerlens.operators.likelihood import maximise
 from ledgerlens.operators.stability import materialise
 from ledgerlens.schemas import require_columns
@@ -57,40 +57,47 @@ def expected_purchases(model: PurchaseModel, days: float, terms: int = SERIES_TE
     return c / F.lit(a - 1.0) * drop / (F.lit(1.0) + _dropout_odds(model))
 
 
+def _sum_over_purchases(term) -> Column:
+    """Σ term(i) for i = 0 … x−1: gamma ratios need no log-gamma because x is a whole number."""
+    return F.aggregate("steps", F.lit(0.0), lambda acc, i: acc + term(i))
+
+
 def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
     """Row log-likelihood and gradient in the log-parameters (r, alpha, a, b)."""
-    base = rows.select("*", *[v.alias(n) for n, v in zip(("r", "al", "a", "b"), theta)])
-    x, tx, t = F.col("x"), F.col("tx"), F.col("t")
-    r, al, a, b = F.col("r"), F.col("al"), F.col("a"), F.col("b")
-    last = F.greatest(b + x - 1, F.lit(1e-12))
-    logs = base.select(
-        "*", F.log(al + t).alias("log_t"), F.log(al + tx).alias("log_tx"),
-        (-(r + x) * F.log(al + t)).alias("l1"),
-        F.when(x > 0, F.log(a) - F.log(last) - (r + x) * F.log(al + tx)).alias("l2"),
+    x, r, al, a, b = (F.col(c) for c in ("x", "r", "al", "a", "b"))
+    # Every stage names what later stages use more than once, which keeps the expressions small.
+    staged = rows.select("i", "weight", "x", "tx", "t", *[v.alias(n) for n, v in zip(("r", "al", "a", "b"), theta)])
+    staged = staged.select(
+        "*", F.when(x > 0, F.sequence(F.lit(0).cast("bigint"), (x - 1).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+        .alias("steps"),
+        (a + b).alias("ab"), (r + x).alias("rx"), (al + F.col("t")).alias("at"), (al + F.col("tx")).alias("atx"),
+        F.greatest(b + x - 1, F.lit(1e-12)).alias("last"),
     )
-    # log(e^l1 + e^l2) without overflow; share2 is the weight of the dropped-out branch.
-    mixed = logs.select("*", (F.coalesce(F.greatest("l1", "l2"), F.col("l1"))).alias("m")).select(
-        "*", F.exp(F.col("l1") - F.col("m")).alias("e1"),
-        F.coalesce(F.exp(F.col("l2") - F.col("m")), F.lit(0.0)).alias("e2"),
-    ).select("*", (F.col("e2") / (F.col("e1") + F.col("e2"))).alias("share2"))
-    share2, share1 = F.col("share2"), 1 - F.col("share2")
-    psi_ab = digamma(a + b) - digamma(a + b + x)
-    ll = (
-        ln_gamma(r + x) - ln_gamma(r) + r * F.log(al)
-        + ln_gamma(a + b) + ln_gamma(b + x) - ln_gamma(b) - ln_gamma(a + b + x)
-        + F.col("m") + F.log(F.col("e1") + F.col("e2"))
+    staged = staged.select("*", F.log("at").alias("log_t"), F.log("atx").alias("log_tx"))
+    # Odds of the dropped-out branch against the active one; both branches share the factor (α+T)^−(r+x).
+    odds = F.when(x > 0, F.exp(F.least(
+        F.log(a) - F.log("last") + F.col("rx") * (F.col("log_t") - F.col("log_tx")), F.lit(700.0)))).otherwise(F.lit(0.0))
+    staged = staged.select("*", odds.alias("odds"))
+    staged = staged.select("*", (F.col("odds") / (F.col("odds") + 1)).alias("out"), (1 / (F.col("odds") + 1)).alias("in"))
+    staged = staged.select(
+        "*",
+        _sum_over_purchases(lambda i: F.log((r + i) * (b + i) / (F.col("ab") + i))).alias("log_ratio"),
+        _sum_over_purchases(lambda i: 1 / (r + i)).alias("inv_r"),
+        _sum_over_purchases(lambda i: 1 / (b + i)).alias("inv_b"),
+        _sum_over_purchases(lambda i: 1 / (F.col("ab") + i)).alias("inv_ab"),
     )
-    d_r = digamma(r + x) - digamma(r) + F.log(al) - share1 * F.col("log_t") - share2 * F.col("log_tx")
-    d_al = r / al - (r + x) * (share1 / (al + t) + share2 / (al + tx))
-    d_a = psi_ab + share2 / a
-    d_b = psi_ab + digamma(b + x) - digamma(b) - share2 / last
-    return mixed.select(
+    ll = F.col("log_ratio") + r * F.log(al) - F.col("rx") * F.col("log_t") + F.log1p("odds")
+    d_r = F.col("inv_r") + F.log(al) - F.col("in") * F.col("log_t") - F.col("out") * F.col("log_tx")
+    d_al = r / al - F.col("rx") * (F.col("in") / F.col("at") + F.col("out") / F.col("atx"))
+    d_a = F.col("out") / a - F.col("inv_ab")
+    d_b = F.col("inv_b") - F.col("inv_ab") - F.col("out") / F.col("last")
+    return staged.select(
         "i", "weight", ll.alias("ll"), (r * d_r).alias("g0"), (al * d_al).alias("g1"),
         (a * d_a).alias("g2"), (b * d_b).alias("g3"),
     )
 
 
-def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 60) -> PurchaseModel:
+def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 40) -> PurchaseModel:
     """Penalised maximum likelihood.
 
     Customers with equal (frequency, recency, T) are one weighted row, so the iterations run over

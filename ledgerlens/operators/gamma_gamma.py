@@ -32,30 +32,38 @@ def expected_spend(model: SpendModel) -> Column:
 
 
 def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
-    base = rows.select("*", *[v.alias(n) for n, v in zip(("p", "q", "v"), theta)])
-    x, m, p, q, v = (F.col(c) for c in ("x", "m", "p", "q", "v"))
-    px, log_sum = p * x, F.log(x * m + v)
+    """Row log-likelihood and gradient in the log-parameters (p, q, v)."""
+    x, m, p, q, v, px, total = (F.col(c) for c in ("x", "m", "p", "q", "v", "px", "total"))
+    staged = rows.select("i", "weight", "x", "m", *[value.alias(n) for n, value in zip(("p", "q", "v"), theta)])
+    staged = staged.select("*", (p * x).alias("px"), (x * m + v).alias("total"))
+    staged = staged.select("*", (px + q).alias("shape"), F.log("total").alias("log_total"))
+    staged = staged.select("*", digamma(F.col("shape")).alias("psi_shape"))
     ll = (
-        ln_gamma(px + q) - ln_gamma(px) - ln_gamma(q) + q * F.log(v) + (px - 1) * F.log(m) + px * F.log(x)
-        - (px + q) * log_sum
+        ln_gamma(F.col("shape")) - ln_gamma(px) - ln_gamma(q) + q * F.log(v) + (px - 1) * F.log(m) + px * F.log(x)
+        - F.col("shape") * F.col("log_total")
     )
-    joint = digamma(px + q)
-    d_p = x * (joint - digamma(px) + F.log(m) + F.log(x) - log_sum)
-    d_q = joint - digamma(q) + F.log(v) - log_sum
-    d_v = q / v - (px + q) / (x * m + v)
-    return base.select("i", "weight", ll.alias("ll"), (p * d_p).alias("g0"), (q * d_q).alias("g1"), (v * d_v).alias("g2"))
+    d_p = x * (F.col("psi_shape") - digamma(px) + F.log(m) + F.log(x) - F.col("log_total"))
+    d_q = F.col("psi_shape") - digamma(q) + F.log(v) - F.col("log_total")
+    d_v = q / v - F.col("shape") / total
+    return staged.select("i", "weight", ll.alias("ll"), (p * d_p).alias("g0"), (q * d_q).alias("g1"), (v * d_v).alias("g2"))
 
 
-def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 60) -> SpendModel:
-    """Penalised maximum likelihood over repeat customers; spend is in the unit of ``monetary_value``."""
+def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 40, unit: float = 1.0) -> SpendModel:
+    """Penalised maximum likelihood over repeat customers.
+
+    The penalty acts on ``v`` in multiples of ``unit``; 1.0 is the published behaviour, a typical
+    order value keeps the penalty from swamping the likelihood when amounts are large.
+    """
     require_columns(rfm, ("frequency", "monetary_value"))
     rows = materialise(
         rfm.where((F.col("frequency") > 0) & (F.col("monetary_value") > 0))
-        .groupBy(F.col("frequency").cast("double").alias("x"), F.col("monetary_value").cast("double").alias("m"))
+        .groupBy(F.col("frequency").cast("double").alias("x"),
+                 (F.col("monetary_value").cast("double") / F.lit(float(unit))).alias("m"))
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
     found, _, _ = maximise(rows, _log_likelihood, (1.0, 1.5, 1.0), penalizer, max_rounds)
-    return SpendModel(*(float(v) for v in found))
+    p, q, v = (float(value) for value in found)
+    return SpendModel(p, q, v * unit)
 
 
 def customer_value(purchases: bgnbd.PurchaseModel, spend: SpendModel, months: int, discount: float,

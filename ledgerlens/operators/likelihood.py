@@ -2,8 +2,8 @@
 
 Parameters are positive, so the search runs on their logarithms.  Each round evaluates a handful of
 candidate points in one aggregation that returns, per candidate, the log-likelihood, its gradient
-and the outer product of row gradients; the driver solves a k×k system (k ≤ 4) for the next round.
-The candidates are rows of an array literal, so the generated code is compiled once per model.
+and the outer product of row gradients.  The driver turns these into the next candidates with a k×k
+system (k ≤ 4): quasi-Newton steps, scoring steps and shorter versions of both.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RowModel = Callable[[DataFrame, list[Column]], DataFrame]
-DAMPING = (0.0, 1e-3, 1e-2, 1e-1, 1.0)
+MAX_LOG_STEP = 3.0
 
 
 def _evaluate(rows: DataFrame, model: RowModel, points: Sequence[np.ndarray]):
@@ -45,7 +45,7 @@ def _evaluate(rows: DataFrame, model: RowModel, points: Sequence[np.ndarray]):
 
 
 def maximise(rows: DataFrame, model: RowModel, start: Sequence[float], penalizer: float,
-             max_rounds: int = 60, tolerance: float = 1e-7) -> tuple[np.ndarray, float, int]:
+             max_rounds: int = 40, tolerance: float = 1e-6) -> tuple[np.ndarray, float, int]:
     """(parameters, penalised mean log-likelihood, rounds).
 
     ``rows`` carries a ``weight`` column; ``model`` adds ``ll`` and the gradient ``g0…`` with respect
@@ -57,22 +57,31 @@ def maximise(rows: DataFrame, model: RowModel, start: Sequence[float], penalizer
         square = np.exp(2 * point)
         return ll - penalizer * square.sum(), gradient - 2 * penalizer * square, outer + np.diag(4 * penalizer * square)
 
+    k = len(start)
     point = np.log(np.asarray(start, dtype=float))
-    value, gradient, curvature = penalised(point, _evaluate(rows, model, [point])[0])
-    reach, rounds = 1.0, 1
-    while rounds < max_rounds and np.abs(gradient).max() > tolerance and reach > 1e-9:
-        scale = max(np.trace(curvature) / len(point), 1e-12)
-        steps = [np.linalg.lstsq(curvature + damping * scale * np.eye(len(point)), gradient, rcond=None)[0] for damping in DAMPING]
-        candidates = [np.clip(point + reach * np.clip(step, -2.0, 2.0), -30.0, 30.0) for step in steps]
+    value, gradient, outer = penalised(point, _evaluate(rows, model, [point])[0])
+    inverse = np.linalg.pinv(outer + 1e-6 * max(np.trace(outer), 1e-12) * np.eye(k))
+    rounds, shrink = 1, 1.0
+    while rounds < max_rounds:
+        damped = outer + 1e-3 * max(np.trace(outer) / k, 1e-12) * np.eye(k)
+        scoring, quasi = np.linalg.solve(damped, gradient), inverse @ gradient
+        expected = max(float(gradient @ quasi), float(gradient @ scoring))
+        if expected < tolerance or shrink < 1e-4:
+            break
+        steps = [shrink * f * s for s in (quasi, scoring) for f in (1.0, 0.3)] + [shrink * gradient]
+        steps = [s * min(1.0, MAX_LOG_STEP / max(np.abs(s).max(), 1e-300)) for s in steps]
+        candidates = [np.clip(point + s, -30.0, 30.0) for s in steps]
         results = [penalised(c, parts) for c, parts in zip(candidates, _evaluate(rows, model, candidates))]
         rounds += 1
         best = max(range(len(results)), key=lambda i: results[i][0] if np.isfinite(results[i][0]) else -np.inf)
-        if results[best][0] > value:
-            gain = results[best][0] - value
-            point, (value, gradient, curvature) = candidates[best], results[best]
-            reach = min(reach * 1.5, 1.0)
-            if gain < tolerance * 1e-3:
-                break
-        else:
-            reach /= 4
+        if not results[best][0] > value:
+            shrink /= 10
+            continue
+        shrink = 1.0
+        moved, turned = candidates[best] - point, gradient - results[best][1]
+        bend = float(moved @ turned)
+        if bend > 1e-12:  # BFGS update of the inverse curvature
+            left = np.eye(k) - np.outer(moved, turned) / bend
+            inverse = left @ inverse @ left.T + np.outer(moved, moved) / bend
+        point, (value, gradient, outer) = candidates[best], results[best]
     return np.exp(point), float(value), rounds

@@ -1 +1,242 @@
+"""Folds, stacking, attributions, intervals, and the tree and mixture fits."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlens.functions.splits import conformal_part, fold_id
+from ledgerlens.operators import boosting, conformal, stacking, uplift
+from ledgerlens.operators.stability import materialise
+from ledgerlens.plans.catalog import customers, inputs
+from ledgerlens.plans.catalog.evaluation import HASH, pairs
+from ledgerlens.plans.catalog.registry import SETTINGS, fragment, query
+
+SMALL = boosting.BoostParams(n_estimators=10, learning_rate=0.2, max_depth=4, colsample=1.0)
+SMALL_SPACE = {**boosting.SEARCH_SPACE, "n_estimators": (4, 8), "max_depth": (3, 4), "learning_rate": (0.1, 0.3)}
+
+
+@query("split_folds", f"SELECT c_custkey AS customer_id, CAST({HASH.format(salt='fold', key='c_custkey')} % 5 AS INTEGER) AS fold FROM customer")
+def split_folds(spark, sf):
+    return spark.read.parquet(f"{sf}/customer.parquet").select(
+        F.col("c_custkey").alias("customer_id"), fold_id("c_custkey", SETTINGS.folds).alias("fold"))
+
+
+PART = "CASE WHEN {h} < 600 THEN 'train' WHEN {h} < 800 THEN 'calibration' ELSE 'test' END"
+PART_SQL = PART.format(h=HASH.format(salt="conformal", key="customer_id"))
+
+
+@query("split_conformal", f"SELECT customer_id, {PART_SQL} AS part FROM scores", ["scores"])
+def split_conformal(spark, sf):
+    return inputs.score_frame(spark, sf).select("customer_id", conformal_part("customer_id").alias("part"))
+
+
+fragment("ridge", """
+ WITH m AS (SELECT avg(y) AS my, avg(p2) AS mu, avg(p) AS mv, var_pop(p2) * count(*) + 1.0 AS uu, var_pop(p) * count(*) + 1.0 AS vv,
+   covar_pop(p2, p) * count(*) AS uv, covar_pop(p2, y) * count(*) AS uy, covar_pop(p, y) * count(*) AS vy FROM pairs),
+ b AS (SELECT *, (vv * uy - uv * vy) / (uu * vv - uv * uv) AS bgf, (uu * vy - uv * uy) / (uu * vv - uv * uv) AS gbt FROM m)
+ SELECT my - bgf * mu - gbt * mv AS intercept, bgf, gbt FROM b""", ["pairs"])
+
+
+def stack_pairs(spark, sf):
+    """Base predictions that are not multiples of each other, so the normal equations are well posed."""
+    return materialise(pairs(spark, sf))
+
+
+@query("stack_ridge_parameters", "SELECT round(intercept, 1) AS intercept, round(bgf, 6) AS bgf, round(gbt, 6) AS gbt FROM ridge", ["ridge"])
+def stack_ridge_parameters(spark, sf):
+    return stacking.ridge_parameters(stack_pairs(spark, sf), "y", "p2", "p").select(
+        F.round("intercept", 1).alias("intercept"), F.round("bgf", 6).alias("bgf"), F.round("gbt", 6).alias("gbt"))
+
+
+FIXED = stacking.StackModel(intercept=250.0, bgf=-0.13, gbt=1.09)
+
+
+@query("stack_predict", "SELECT customer_id, round(250.0::DOUBLE - 0.13::DOUBLE * p2 + 1.09::DOUBLE * p, 2) AS stacked FROM pairs", ["pairs"])
+def stack_predict(spark, sf):
+    return pairs(spark, sf).select(
+        "customer_id", F.round(stacking.stacked(FIXED, F.col("p2"), F.col("p")), 2).alias("stacked"))
+
+
+@query("stack_evaluate", " UNION ALL ".join(
+    f"""SELECT '{label}' AS model, round(avg(abs(y - {p})), 2) AS "MAE", round(sqrt(avg((y - {p}) * (y - {p}))), 2) AS "RMSE",
+     round(avg(abs((y - {p}) / y)) FILTER (y <> 0) * 100, 2) AS "MAPE" FROM pairs"""
+    for label, p in (("BG/NBD + Gamma-Gamma", "p2"), ("LightGBM", "p"),
+                     ("Stacked Ensemble", "(250.0::DOUBLE - 0.13::DOUBLE * p2 + 1.09::DOUBLE * p)"))), ["pairs"])
+def stack_evaluate(spark, sf):
+    table = pairs(spark, sf).withColumn("s", stacking.stacked(FIXED, F.col("p2"), F.col("p")))
+    return stacking.evaluate(table, "y", "p2", "p", "s")
+
+
+@query("stack_final_predictions", """
+ SELECT f.customer_id, round(250.0::DOUBLE - 0.13::DOUBLE * coalesce(s.predicted_clv, 0.0) + 1.09::DOUBLE * coalesce(g.prediction, 0.0), 6) AS predicted_clv,
+   coalesce(s.predicted_clv, 0.0) AS predicted_clv_bgnbd, coalesce(g.prediction, 0.0) AS predicted_clv_lgbm,
+   coalesce(s.p_alive, 0.0) AS p_alive
+ FROM rfm f LEFT JOIN stand_in s USING (customer_id)
+ LEFT JOIN (SELECT customer_id, CAST(customer_id % 777 AS DOUBLE) AS prediction FROM rfm) g USING (customer_id)""", ["rfm", "stand_in"])
+def stack_final_predictions(spark, sf):
+    rfm = inputs.rfm(spark, sf)
+    boosted = rfm.select("customer_id", (F.col("customer_id") % 777).cast("double").alias("prediction"))
+    table = stacking.final_predictions(rfm, customers.stand_in(spark, sf), boosted, FIXED)
+    return table.withColumn("predicted_clv", F.round("predicted_clv", 6))
+
+
+# --- intervals -------------------------------------------------------------------------------
+
+fragment("residual_scores", f"SELECT * FROM (SELECT *, abs(y - p) AS score, {PART_SQL} AS part FROM pairs)", ["pairs"])
+fragment("half", """
+ SELECT score AS half_width, n AS n_calibration FROM (
+  SELECT score, row_number() OVER (ORDER BY score) AS r, count(*) OVER () AS n FROM residual_scores WHERE part = 'calibration')
+ WHERE r = CAST(ceil((n + 1) * 0.9::DOUBLE - 1e-9) AS BIGINT)""", ["residual_scores"])
+
+
+def parted(spark, sf):
+    return pairs(spark, sf).withColumn("part", conformal_part("customer_id"))
+
+
+def interval_model(spark, sf):
+    return conformal.calibrate(parted(spark, sf).where(F.col("part") == "calibration"), "y", "p", SETTINGS.conformal_alpha)
+
+
+@query("interval_calibration", "SELECT round(half_width, 2) AS half_width, n_calibration FROM half", ["half"])
+def interval_calibration(spark, sf):
+    table = conformal.calibration_quantile(
+        parted(spark, sf).where(F.col("part") == "calibration"), "y", "p", SETTINGS.conformal_alpha)
+    return table.select(F.round("half_width", 2).alias("half_width"), F.col("n_calibration"))
+
+
+@query("interval_predictions", """
+ SELECT customer_id, round(p - half_width, 2) AS clv_lower, round(p + half_width, 2) AS clv_upper,
+   round(2 * half_width, 2) AS interval_width,
+   'CLV ₹' || format('{:,}', CAST(round(p) AS BIGINT)) || ' (₹' || format('{:,}', CAST(round(p - half_width) AS BIGINT))
+     || '–₹' || format('{:,}', CAST(round(p + half_width) AS BIGINT)) || ')' AS clv_label
+ FROM pairs, half""", ["pairs", "half"])
+def interval_predictions(spark, sf):
+    table = conformal.with_intervals(pairs(spark, sf), interval_model(spark, sf), "p")
+    return table.select("customer_id", *[F.round(c, 2).alias(c) for c in ("clv_lower", "clv_upper", "interval_width")], "clv_label")
+
+
+@query("interval_coverage", """
+ SELECT round(avg(CAST(y BETWEEN p - half_width AND p + half_width AS INTEGER)), 9) AS empirical_coverage,
+   round(avg(2 * half_width), 2) AS avg_interval_width FROM residual_scores, half WHERE part = 'test'""", ["residual_scores", "half"])
+def interval_coverage(spark, sf):
+    test = conformal.with_intervals(parted(spark, sf).where(F.col("part") == "test"), interval_model(spark, sf), "p")
+    return conformal.evaluate_coverage(test, "y").select(
+        F.round("empirical_coverage", 9).alias("empirical_coverage"), F.round("avg_interval_width", 2).alias("avg_interval_width"))
+
+
+@query("interval_width_statistics", """
+ WITH w AS (SELECT (customer_id * 7919 % 1000)::DOUBLE AS w FROM scores)
+ SELECT round(avg(w), 9) AS mean_width, round(quantile_cont(w, 0.5), 9) AS median_width, round(quantile_cont(w, 0.95), 9) AS p95_width FROM w""", ["scores"])
+def interval_width_statistics(spark, sf):
+    widths = inputs.score_frame(spark, sf).select((F.col("customer_id") * 7919 % 1000).cast("double").alias("interval_width"))
+    table = conformal.width_statistics(widths)
+    return table.select(*[F.round(c, 9).alias(c) for c in table.columns])
+
+
+@query("interval_merge", """
+ SELECT s.customer_id, s.predicted_clv, i.clv_lower, i.clv_upper, i.interval_width
+ FROM (SELECT customer_id, predicted_clv FROM scores) s LEFT JOIN (
+  SELECT customer_id, predicted_clv - 10 AS clv_lower, predicted_clv + 10 AS clv_upper, 20 AS interval_width
+  FROM scores WHERE customer_id % 2 = 0) i USING (customer_id)""", ["scores"])
+def interval_merge(spark, sf):
+    frame = inputs.score_frame(spark, sf).select("customer_id", "predicted_clv")
+    ranges = frame.where(F.col("customer_id") % 2 == 0).select(
+        "customer_id", (F.col("predicted_clv") - 10).alias("clv_lower"), (F.col("predicted_clv") + 10).alias("clv_upper"),
+        F.lit(20).alias("interval_width"))
+    return conformal.merge_intervals(frame, ranges)
+
+
+# --- attributions ----------------------------------------------------------------------------
+
+COEFFICIENTS = {"frequency": 900.0, "recency": -2.5, "T": 1.75, "active_months": 400.0, "n_products": -33.0, "n_orders": 120.0}
+fragment("linear_parts", " UNION ALL ".join(
+    f"""SELECT customer_id, {' + '.join(f'{c}::DOUBLE * (SELECT avg({n}) FROM features)' for n, c in COEFFICIENTS.items())} + 50.0 AS base_value,
+     '{name}' AS feature, {coefficient}::DOUBLE * ({name} - (SELECT avg({name}) FROM features)) AS contribution FROM features"""
+    for name, coefficient in COEFFICIENTS.items()), ["features"])
+
+
+def linear_parts(spark, sf):
+    table = materialise(inputs.customer_features(spark, sf).select("customer_id", *COEFFICIENTS))
+    return boosting.linear_attributions(table, COEFFICIENTS, intercept=50.0)
+
+
+@query("attribution_linear", """
+ SELECT customer_id, feature, round(base_value, 5) AS base_value, round(contribution, 5) AS contribution FROM linear_parts""", ["linear_parts"])
+def attribution_linear(spark, sf):
+    return linear_parts(spark, sf).withColumns({"base_value": F.round("base_value", 5), "contribution": F.round("contribution", 5)})
+
+
+@query("attribution_waterfall", """
+ WITH r AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY abs(contribution) DESC, feature) AS r FROM linear_parts)
+ SELECT customer_id, 0 AS position, 'Base' AS label, round(any_value(base_value), 5) AS amount FROM r GROUP BY 1
+ UNION ALL SELECT customer_id, CAST(r AS INTEGER), feature, round(contribution, 5) FROM r WHERE r <= 4
+ UNION ALL SELECT customer_id, 5, 'Others', round(sum(contribution) FILTER (r > 4), 5) FROM r GROUP BY 1
+ UNION ALL SELECT customer_id, 6, 'Predicted CLV', round(any_value(base_value) + sum(contribution), 5) FROM r GROUP BY 1""", ["linear_parts"])
+def attribution_waterfall(spark, sf):
+    return boosting.waterfall(linear_parts(spark, sf)).withColumn("amount", F.round("amount", 5))
+
+
+@query("attribution_global_importance", "SELECT feature, round(avg(abs(contribution)), 5) AS importance FROM linear_parts GROUP BY 1", ["linear_parts"])
+def attribution_global_importance(spark, sf):
+    return boosting.global_importance(linear_parts(spark, sf)).withColumn("importance", F.round("importance", 5))
+
+
+# --- fits (checked by rows and by property tests) ----------------------------------------------
+
+MATRIX_INPUTS = ("frequency", "recency", "T", "monetary_value", "n_orders", "n_products", "avg_order_value", "return_rate")
+
+
+def training_matrix(spark, sf):
+    table = inputs.customer_features(spark, sf).join(inputs.actuals(spark, sf), "customer_id", "left")
+    return materialise(table.select("customer_id", *MATRIX_INPUTS, F.coalesce("holdout_revenue", F.lit(0.0)).alias("target")))
+
+
+@query("boost_predictions")
+def boost_predictions(spark, sf):
+    matrix = training_matrix(spark, sf)
+    model = boosting.train(matrix, MATRIX_INPUTS, "target", SMALL)
+    return boosting.predict(model, matrix, MATRIX_INPUTS).select("customer_id", "target", "prediction")
+
+
+@query("boost_search")
+def boost_search(spark, sf):
+    trials = boosting.draw_trials(2, SETTINGS.seed, SMALL_SPACE)
+    best, errors = boosting.tune(training_matrix(spark, sf), MATRIX_INPUTS, "target", trials, folds=3)
+    return spark.createDataFrame(
+        [(i, t.n_estimators, t.learning_rate, t.max_depth, float(e), t == best) for i, (t, e) in enumerate(zip(trials, errors))],
+        "trial int, n_estimators int, learning_rate double, max_depth int, mae double, chosen boolean")
+
+
+@query("boost_attributions")
+def boost_attributions(spark, sf):
+    matrix = training_matrix(spark, sf)
+    model = boosting.train(matrix, MATRIX_INPUTS, "target", SMALL)
+    return boosting.attributions(model, matrix, MATRIX_INPUTS, permutations=2)
+
+
+@query("boost_split_importance")
+def boost_split_importance(spark, sf):
+    matrix = training_matrix(spark, sf)
+    return boosting.split_importance(boosting.train(matrix, MATRIX_INPUTS, "target", SMALL), MATRIX_INPUTS)
+
+
+@query("stack_out_of_fold")
+def stack_out_of_fold(spark, sf):
+    return boosting.out_of_fold(training_matrix(spark, sf), MATRIX_INPUTS, "target", SMALL, folds=3)
+
+
+@query("uplift_t_learner")
+def uplift_t_learner(spark, sf):
+    matrix = materialise(uplift.assign_arms(training_matrix(spark, sf)))
+    models = uplift.fit_t_learner(matrix, MATRIX_INPUTS, "target", params=SMALL)
+    return uplift.predict_uplift(models, matrix, MATRIX_INPUTS).select("customer_id", "uplift_score")
+
+
+@query("interval_fitted_model")
+def interval_fitted_model(spark, sf):
+    """Fit on the training part, calibrate on the next, report coverage on the last."""
+    matrix = materialise(training_matrix(spark, sf).withColumn("part", conformal_part("customer_id")))
+    model = boosting.train(matrix.where(F.col("part") == "train"), MATRIX_INPUTS, "target", SMALL)
+    scored = boosting.predict(model, matrix.where(F.col("part") != "train"), MATRIX_INPUTS, "p")
+    half = conformal.calibrate(scored.where(F.col("part") == "calibration"), "target", "p", SETTINGS.conformal_alpha)
+    return conformal.evaluate_coverage(conformal.with_intervals(scored.where(F.col("part") == "test"), half, "p"), "target")
