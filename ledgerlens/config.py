@@ -47,6 +47,7 @@ class Settings:
     budget: int = 5_000_000
     monthly_discount: float = 0.01
     penalizer: float = 0.01
+    spend_unit: float = 1.0  # amounts are divided by this before the spend model is penalised
     horizon_months: int = 12
     folds: int = 5
     tuning_trials: int = 30

