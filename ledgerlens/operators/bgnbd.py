@@ -12,7 +12,7 @@ from ledgerlens.operators.likelihood import maximise
 from ledgerlens.operators.stability import materialise
 from ledgerlens.schemas import require_columns
 
-SERIES_TERMS = 120
+SERIES_TERMS = 400
 
 
 @dataclass(frozen=True)

@@ -99,14 +99,24 @@ def histogram(df: DataFrame, value: str, bins: int, by=(), upper_quantile: float
 
 
 def correlations(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
-    """Strict lower triangle of the correlation matrix, all pairs in one aggregation."""
+    """Strict lower triangle of the correlation matrix, pairwise over rows where both values exist.
+
+    Each row is spread over the feature pairs and folded map-side into one group per pair, which
+    keeps the generated code at one correlation instead of one per pair.
+    """
     names = list(columns)
-    pairs = [(names[i], names[j]) for i in range(len(names)) for j in range(i)]
-    table = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{k}")
-                     for k, (a, b) in enumerate(pairs)])
-    stacked = ", ".join(f"'{a}', '{b}', r{k}" for k, (a, b) in enumerate(pairs))
-    out = table.select(F.expr(f"stack({len(pairs)}, {stacked}) as (row_feature, col_feature, r)"))
-    return out if digits is None else out.withColumn("r", F.round("r", digits))
+
+    def value(name: str) -> Column:
+        return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+
+    pairs = F.array(*[
+        F.struct(F.lit(names[i]).alias("row_feature"), F.lit(names[j]).alias("col_feature"),
+                 value(names[i]).alias("x"), value(names[j]).alias("y"))
+        for i in range(len(names)) for j in range(i)
+    ])
+    r = F.corr("x", "y")
+    return df.select(F.inline(pairs)).groupBy("row_feature", "col_feature").agg(
+        (r if digits is None else F.round(r, digits)).alias("r"))
 
 
 def revenue_concentration(tx: DataFrame, shares: Sequence[float]) -> DataFrame:
