@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.money import exact_sum, in_units
+from ledgerlens.operators.metrics import safe_corr
 from ledgerlens.operators.quantiles import melt, quantiles, scalar_quantile
 from ledgerlens.operators.ranking import by_score, running_totals
 
@@ -114,8 +115,8 @@ def correlations(df: DataFrame, columns: Sequence[str], digits: int | None = Non
                  value(names[i]).alias("x"), value(names[j]).alias("y"))
         for i in range(len(names)) for j in range(i)
     ])
-    r = F.corr("x", "y")
-    return df.select(F.inline(pairs)).groupBy("row_feature", "col_feature").agg(
+    r = safe_corr(F.col("x"), F.col("y"))
+    return df.select(F.inline(pairs)).where(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("row_feature", "col_feature").agg(
         (r if digits is None else F.round(r, digits)).alias("r"))
 
 

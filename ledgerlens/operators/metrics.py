@@ -47,9 +47,17 @@ def mape(actual: Column, predicted: Column) -> Column:
     )
 
 
+def safe_corr(x: Column, y: Column) -> Column:
+    """Correlation that is null for a constant side (the built-in one raises there in ANSI mode).
+
+    Both inputs must be null in the same rows.
+    """
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def pearson(actual: Column, predicted: Column) -> Column:
     known = _known(actual, predicted)
-    r = F.corr(F.when(known, actual), F.when(known, predicted))
+    r = safe_corr(F.when(known, actual), F.when(known, predicted))
     return F.when(F.count_if(known) < 2, F.lit(NAN)).otherwise(F.coalesce(r, F.lit(NAN)))
 
 
