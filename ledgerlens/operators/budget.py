@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.config import SCENARIOS
 from ledgerlens.operators.quantiles import quantiles
-from ledgerlens.operators.ranking import by_score, running_totals
+from ledgerlens.operators.ranking import by_score, place, running_totals, unfold, whole
 
 
 def with_clv_gain(df: DataFrame, multiplier: float = 1.0) -> DataFrame:
@@ -56,8 +56,8 @@ def budget_grid(df: DataFrame, start: float, stop: float, points: int = 50) -> D
 def roi_curve(df: DataFrame, budgets: DataFrame, cost: float, gain: str = "uplift_score",
               positive_only: bool = True) -> DataFrame:
     """(point, budget, n_targeted, total_cost, incremental_revenue, roi) for every budget of the grid."""
-    ranked = running_totals(df.where(F.col(gain) > 0) if positive_only else df, by_score(gain), sums=[gain])
-    available = ranked.agg(F.coalesce(F.max("rank"), F.lit(0))).scalar()
+    placement = place(df.where(F.col(gain) > 0) if positive_only else df, by_score(gain), sums=[gain])
+    available, ranked = whole(placement)["n"], unfold(placement)
     asked = budgets.withColumn(
         "n_targeted", F.least(F.floor(F.col("budget") / F.lit(float(cost))).cast("bigint"), available))
     # The grid is a few dozen rows by construction; only the ranks it asks for survive the join.
@@ -92,13 +92,13 @@ def segment_breakdown(selected: DataFrame, cost: float, segment: str = "segment_
 
 def cumulative_gain(df: DataFrame, gain: str, score: str = "uplift_score") -> DataFrame:
     """(customer_id, rank, pct_contacted, model_gain, random_gain) in uplift order."""
-    ranked = running_totals(df.select("customer_id", score, gain), by_score(score), sums=[gain])
-    size = ranked.agg(F.struct(F.max("rank").alias("n"))).scalar()["n"]
-    total = df.agg(F.sum(gain)).scalar()
-    place: Column = F.coalesce(F.try_divide((F.col("rank") - 1).cast("double"), (size - 1).cast("double")), F.lit(0.0))
+    placement = place(df.select("customer_id", score, gain), by_score(score), sums=[gain])
+    everyone, ranked = whole(placement), unfold(placement)
+    size, total = everyone["n"], everyone[gain]
+    passed: Column = F.coalesce(F.try_divide((F.col("rank") - 1).cast("double"), (size - 1).cast("double")), F.lit(0.0))
     return ranked.select(
-        "customer_id", "rank", (place * 100).alias("pct_contacted"),
-        F.col(f"cum_{gain}").cast("double").alias("model_gain"), (total.cast("double") * place).alias("random_gain"),
+        "customer_id", "rank", (passed * 100).alias("pct_contacted"),
+        F.col(f"cum_{gain}").cast("double").alias("model_gain"), (total.cast("double") * passed).alias("random_gain"),
     )
 
 

@@ -79,7 +79,12 @@ def retention_report(raw: DataFrame, settings: Settings) -> DataFrame:
 
 
 def between_dates(tx: DataFrame, first: date, last: date) -> DataFrame:
-    """Rows whose calendar day lies in [first, last]; the range reaches the Parquet scan."""
+    """Rows whose calendar day lies in [first, last]; the range reaches the Parquet scan.
+
+    A month column, where the table has one, gets its own range: stored tables are partitioned by it.
+    """
+    if "year_month" in tx.columns:
+        tx = tx.where(F.col("year_month").between(f"{first:%Y-%m}", f"{last:%Y-%m}"))
     stamp = F.col("InvoiceDate")
     return tx.where((stamp >= F.lit(first)) & (stamp < F.lit(last + timedelta(days=1))))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.money import exact_sum, in_units
 from ledgerlens.operators.metrics import safe_corr
 from ledgerlens.operators.quantiles import melt, quantiles, scalar_quantile
-from ledgerlens.operators.ranking import by_score, running_totals
+from ledgerlens.operators.ranking import by_score, place, unfold, whole
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -59,9 +59,12 @@ def top_countries(tx: DataFrame, n: int) -> DataFrame:
 
 def monthly_series(tx: DataFrame) -> DataFrame:
     """Distinct invoices, revenue and distinct customers per month."""
-    return tx.groupBy(F.col("year_month").alias("month")).agg(
+    # Lines fold to one row per invoice before the distinct counts multiply their input.
+    invoices = tx.groupBy(F.col("year_month").alias("month"), "InvoiceNo", "CustomerID").agg(
+        exact_sum("TotalPrice").alias("revenue"))
+    return invoices.groupBy("month").agg(
         F.count_distinct("InvoiceNo").alias("transactions"),
-        in_units(exact_sum("TotalPrice")).alias("revenue"),
+        in_units(F.sum("revenue")).alias("revenue"),
         F.count_distinct("CustomerID").alias("customers"),
     )
 
@@ -123,13 +126,13 @@ def correlations(df: DataFrame, columns: Sequence[str], digits: int | None = Non
 def revenue_concentration(tx: DataFrame, shares: Sequence[float]) -> DataFrame:
     """Share of revenue held by the top share of customers: (share, n_customers, revenue_share)."""
     customers = tx.groupBy(F.col("CustomerID").alias("customer_id")).agg(exact_sum("TotalPrice").alias("revenue"))
-    ranked = running_totals(customers, by_score("revenue"), sums=["revenue"])
-    size = ranked.agg(F.struct(F.max("rank").alias("n"), F.max("cum_revenue").alias("total"))).scalar()
+    placement = place(customers, by_score("revenue"), sums=["revenue"])
+    size, ranked = whole(placement), unfold(placement)
     # Each row carries the shares it closes (usually none), so the table is read once.
     closing = F.array_compact(F.array(*[
         F.when(F.col("rank") == F.floor(size["n"] * F.lit(float(s))), F.lit(float(s))) for s in shares
     ]))
-    return ranked.select("rank", "cum_revenue", F.explode(closing).alias("share"), size["total"].alias("total")).select(
+    return ranked.select("rank", "cum_revenue", F.explode(closing).alias("share"), size["revenue"].alias("total")).select(
         "share", F.col("rank").alias("n_customers"),
         F.round(F.col("cum_revenue").cast("double") / F.col("total").cast("double"), 9).alias("revenue_share"),
     )

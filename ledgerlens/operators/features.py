@@ -25,7 +25,7 @@ def order_totals(tx: DataFrame) -> DataFrame:
 def daily_totals(tx: DataFrame, extra=()) -> DataFrame:
     """One row per customer and day (and ``extra`` keys)."""
     return tx.groupBy(*extra, F.col("CustomerID").alias("customer_id"), F.to_date("InvoiceDate").alias("day")).agg(
-        exact_sum("TotalPrice").alias("revenue"), F.count(F.lit(1)).alias("n_lines")
+        exact_sum("TotalPrice").alias("revenue")
     )
 
 
@@ -56,14 +56,15 @@ def quarter_name(day: Column | str) -> Column:
 
 def quarterly_rfm(tx: DataFrame, min_rows: int) -> DataFrame:
     """RFM of every quarter on its own rows, for quarters with more than ``min_rows`` lines; one job."""
-    start = F.trunc(F.to_date("InvoiceDate"), "quarter")
-    days = daily_totals(tx.withColumn("quarter_start", start), extra=["quarter_start"])
+    lines = tx.withColumn("quarter_start", F.trunc(F.to_date("InvoiceDate"), "quarter"))
+    days = daily_totals(lines, extra=["quarter_start"])
     last_day = F.date_sub(F.add_months("quarter_start", 3), 1)
     customers = days.groupBy("quarter_start", "customer_id").agg(
-        *_rfm_measures(F.first(last_day)), F.sum("n_lines").alias("n_lines")
+        *_rfm_measures(F.first(last_day))
     )
-    busy = customers.groupBy("quarter_start").agg(F.sum("n_lines").alias("q_lines")).where(F.col("q_lines") > min_rows)
-    return customers.join(busy.select("quarter_start"), "quarter_start", "left_semi").select(
+    # One row per quarter, from a scan of the date column alone.
+    busy = lines.groupBy("quarter_start").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_rows)
+    return customers.join(F.broadcast(busy.select("quarter_start")), "quarter_start", "left_semi").select(
         quarter_name("quarter_start").alias("quarter"),
         "customer_id", "frequency", "recency", "T", "monetary_value",
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.quantiles import quantiles
-from ledgerlens.operators.ranking import by_score, running_totals
+from ledgerlens.operators.ranking import by_score, place, unfold, whole
 
 NAN = float("nan")
 
@@ -136,9 +136,9 @@ def qini_coefficient(df: DataFrame, outcome: str, score: str, treatment: str, ke
         (F.col(outcome) * F.col(treatment)).alias("yt"), (F.col(outcome) * (1 - F.col(treatment))).alias("yc"),
         F.col(treatment).cast("bigint").alias("t"),
     )
-    ranked = running_totals(rows, by_score(score, key), sums=["yt", "yc", "t"])
-    size = ranked.agg(F.struct(F.max("rank").alias("n"), F.sum("t").alias("n_t"))).scalar()
-    n, n_t = size["n"], size["n_t"]
+    placement = place(rows, by_score(score, key), sums=["yt", "yc", "t"])
+    size, ranked = whole(placement), unfold(placement)
+    n, n_t = size["n"], size["t"]
     height = (
         F.try_divide(F.col("cum_yt").cast("double"), n_t.cast("double"))
         - F.try_divide(F.col("cum_yc").cast("double"), (n - n_t).cast("double"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.ranking import Placement, place, unfold
@@ -33,21 +33,17 @@ def place_counts(counts: DataFrame, by=()) -> Placement:
 def _pick(placement: Placement, wanted) -> DataFrame:
     """One row per group with v0, v1, … = the values at the 0-based positions ``wanted(total)``."""
     by = list(placement.by)
-    totals = placement.slots.groupBy(*by).agg(F.sum("_in_n").alias("total"))
+    # The slot table has at most slots + groups rows; the group totals ride along with its rows.
+    slots = placement.slots.withColumn("total", F.sum("_in_n").over(Window.partitionBy(*by)))
     positions = wanted(F.col("total"))
 
     def holds(start: Column, size: Column, position: Column) -> Column:
         return (start <= position) & (position < start + size)
 
-    def with_total(frame: DataFrame) -> DataFrame:
-        if by:
-            return frame.join(totals, by)
-        return frame.withColumn("total", totals.select("total").scalar())
-
-    touched = with_total(placement.slots).where(
+    touched = slots.where(
         reduce(lambda x, y: x | y, [holds(F.col("_before_n"), F.col("_in_n"), p) for p in positions])
-    ).drop("total")
-    rows = with_total(unfold(placement, touched))
+    )
+    rows = unfold(placement, touched, carry=["total"])
     start = F.col("cum_n") - F.col("n")
     return rows.groupBy(*by).agg(
         F.max("total").alias("total"),

@@ -49,11 +49,25 @@ def place(df: DataFrame, order, sums=(), by=(), slots: int | None = None) -> Pla
     return Placement(rows, slot_table, tuple(by), tuple(order), tuple(sums))
 
 
-def unfold(placement: Placement, slots: DataFrame | None = None) -> DataFrame:
-    """Add ``rank`` and ``cum_<name>`` within each group; ``slots`` may keep only some slots."""
+def whole(placement: Placement) -> Column:
+    """Size and totals of an ungrouped placement as one struct (``n`` and a field per sum).
+
+    Read from the slot table, so no second pass over the ranked rows is needed.
+    """
+    return placement.slots.agg(F.struct(
+        F.coalesce(F.sum("_in_rows"), F.lit(0)).cast("bigint").alias("n"),
+        *[F.sum(f"_in_{name}").alias(name) for name in placement.sums],
+    )).scalar()
+
+
+def unfold(placement: Placement, slots: DataFrame | None = None, carry=()) -> DataFrame:
+    """Add ``rank`` and ``cum_<name>`` within each group.
+
+    ``slots`` may keep only some slots; ``carry`` names columns of it to hand on to the rows.
+    """
     by, sums = placement.by, placement.sums
     offsets = (placement.slots if slots is None else slots).select(
-        *by, SLOT, "_before_rows", *[f"_before_{name}" for name in sums]
+        *by, SLOT, "_before_rows", *[f"_before_{name}" for name in sums], *carry
     )
     if not by:
         offsets = F.broadcast(offsets)  # one row per slot
@@ -61,7 +75,7 @@ def unfold(placement: Placement, slots: DataFrame | None = None) -> DataFrame:
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     extra = [name for name in placement.rows.columns if name != SLOT]
     return placement.rows.join(offsets, [*by, SLOT]).select(
-        *extra,
+        *extra, *carry,
         (F.row_number().over(inside) + F.col("_before_rows")).cast("bigint").alias("rank"),
         *[(F.sum(name).over(running) + F.col(f"_before_{name}")).alias(f"cum_{name}") for name in sums],
     )

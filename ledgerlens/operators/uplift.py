@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.splits import treatment_flag
-from ledgerlens.operators.ranking import by_score, running_totals
+from ledgerlens.operators.ranking import by_score, place, unfold, whole
 
 # Targeting classes by share of the ranking.
 TARGET_CLASSES = (("Persuadable", 0.10), ("Favourable", 0.30))
@@ -24,8 +24,8 @@ def arm_summary(df: DataFrame, outcome: str) -> DataFrame:
 
 def rank_by_uplift(df: DataFrame, score: str = "uplift_score") -> DataFrame:
     """(customer_id, uplift_score, uplift_rank, segment): rank 1..n, classes by share of n."""
-    ranked = running_totals(df.select("customer_id", F.col(score).alias("uplift_score")), by_score("uplift_score"))
-    n = ranked.agg(F.max("rank")).scalar()
+    placement = place(df.select("customer_id", F.col(score).alias("uplift_score")), by_score("uplift_score"))
+    n, ranked = whole(placement)["n"], unfold(placement)
     segment = F.lit(OTHER_CLASS)
     for name, share in reversed(TARGET_CLASSES):
         segment = F.when(F.col("rank") <= F.floor(n * F.lit(share)), name).otherwise(segment)
@@ -41,18 +41,17 @@ def qini_curve(df: DataFrame, outcome: str, score: str, treatment: str = "treatm
     """(rank, fraction, qini_model, qini_random) at every n/points-th customer, the last, and the origin."""
     y, t = F.col(outcome), F.col(treatment)
     rows = df.select(key, score, (y * t).alias("yt"), (y * (1 - t)).alias("yc"), t.cast("bigint").alias("t"))
-    ranked = running_totals(rows, by_score(score, key), sums=["yt", "yc", "t"])
-    whole = rows.agg(F.struct(
-        F.count(F.lit(1)).alias("n"), F.sum("yt").alias("yt"), F.sum("yc").alias("yc"), F.sum("t").alias("t"))).scalar()
+    placement = place(rows, by_score(score, key), sums=["yt", "yc", "t"])
+    size, ranked = whole(placement), unfold(placement)
 
     def lift(yt, yc, nt, nc):
         one = F.lit(1)
         return (yt.cast("double") / F.greatest(nt, one) - yc.cast("double") / F.greatest(nc, one)) * nt
 
-    n = whole["n"]
+    n = size["n"]
     every = F.greatest(F.floor(n / points).cast("bigint"), F.lit(1).cast("bigint"))
     fraction = F.col("rank").cast("double") / n
-    total_gain = lift(whole["yt"], whole["yc"], whole["t"], n - whole["t"])
+    total_gain = lift(size["yt"], size["yc"], size["t"], n - size["t"])
     curve = ranked.where((F.col("rank") % every == 0) | (F.col("rank") == n)).select(
         "rank", fraction.alias("fraction"),
         (lift(F.col("cum_yt"), F.col("cum_yc"), F.col("cum_t"), F.col("rank") - F.col("cum_t")) * fraction).alias("qini_model"),
