@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlens.operators.stability import materialise, partition_count
 
 SLOT = "_slot"
+BROADCAST_ROWS = 200_000  # a slot row is a few dozen bytes; beyond this the offsets join by shuffle
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,7 @@ class Placement:
     by: tuple[str, ...]
     order: tuple[Column, ...]
     sums: tuple[str, ...]
+    few_slots: bool
 
 
 def place(df: DataFrame, order, sums=(), by=(), slots: int | None = None) -> Placement:
@@ -41,12 +43,13 @@ def place(df: DataFrame, order, sums=(), by=(), slots: int | None = None) -> Pla
     # One row per (group, slot): at most slots + groups rows, however large the table is.
     earlier = Window.partitionBy(*by).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, -1)
     measures = ("rows", *sums)
-    slot_table = inside.select(
+    slot_table = materialise(inside.select(
         *by, SLOT,
         *[F.col(f"_in_{name}") for name in measures],
         *[F.coalesce(F.sum(f"_in_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}") for name in measures],
-    )
-    return Placement(rows, slot_table, tuple(by), tuple(order), tuple(sums))
+    ))
+    few = slot_table.count() <= BROADCAST_ROWS
+    return Placement(rows, slot_table, tuple(by), tuple(order), tuple(sums), few)
 
 
 def whole(placement: Placement) -> Column:
@@ -69,8 +72,8 @@ def unfold(placement: Placement, slots: DataFrame | None = None, carry=()) -> Da
     offsets = (placement.slots if slots is None else slots).select(
         *by, SLOT, "_before_rows", *[f"_before_{name}" for name in sums], *carry
     )
-    if not by:
-        offsets = F.broadcast(offsets)  # one row per slot
+    if placement.few_slots:
+        offsets = F.broadcast(offsets)  # counted when placed; rows of unwanted slots drop before the shuffle
     inside = Window.partitionBy(*by, SLOT).orderBy(*placement.order)
     running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     extra = [name for name in placement.rows.columns if name != SLOT]
