@@ -174,3 +174,13 @@ def retraining_due(psi: DataFrame, threshold: float = 0.25, run: int = 2) -> Dat
     length = F.count(F.lit(1)).over(by_quarter.rowsBetween(-(run - 1), 0))
     return psi.select("feature", "quarter", "psi", streak.alias("streak"), length.alias("length")).where(
         (F.col("streak") == 1) & (F.col("length") == run)).select("feature", "quarter", "psi")
+
+
+def retraining_decision(psi: DataFrame, coverage: DataFrame, threshold: float = 0.25, run: int = 2,
+                        min_coverage: float = 0.80) -> DataFrame:
+    """One row (drifted_features, coverage, retrain): a drift streak or low interval coverage asks for a refit."""
+    drifted = retraining_due(psi, threshold, run).agg(F.count_distinct("feature").alias("drifted_features"))
+    covered = coverage.select("empirical_coverage").scalar()
+    return drifted.select(
+        "drifted_features", covered.alias("coverage"),
+        ((F.col("drifted_features") > 0) | F.coalesce(covered < F.lit(min_coverage), F.lit(False))).alias("retrain"))

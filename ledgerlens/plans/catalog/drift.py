@@ -141,3 +141,16 @@ def drift_density_histograms(spark, sf):
        ["q_psi"])
 def drift_retraining_due(spark, sf):
     return drift.retraining_due(q_psi(spark, sf), threshold=0.05).withColumn("psi", F.round("psi", 7))
+
+
+@query("drift_retraining_decision", """
+ WITH s AS (SELECT DISTINCT feature FROM (
+  SELECT *, lag(psi) OVER (PARTITION BY feature ORDER BY quarter) AS before FROM q_psi) WHERE psi > 0.25 AND before > 0.25),
+ c AS (SELECT avg(CAST(actual BETWEEN 500 AND 2500 AS INTEGER)) AS coverage FROM scores)
+ SELECT (SELECT count(*) FROM s) AS drifted_features, round(coverage, 9) AS coverage,
+   (SELECT count(*) FROM s) > 0 OR coverage < 0.8 AS retrain FROM c""", ["q_psi", "scores"])
+def drift_retraining_decision(spark, sf):
+    covered = inputs.score_frame(spark, sf).agg(
+        F.avg(F.col("actual").between(500, 2500).cast("int")).alias("empirical_coverage"))
+    table = drift.retraining_decision(q_psi(spark, sf), covered)
+    return table.withColumn("coverage", F.round("coverage", 9))

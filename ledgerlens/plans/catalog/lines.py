@@ -140,3 +140,17 @@ def source_event_purchases_monthly(spark, sf):
     from ledgerlens.sources.retail import event_purchases
     return explore.monthly_series(event_purchases(spark, sf).withColumn(
         "year_month", F.date_format("InvoiceDate", "yyyy-MM")))
+
+
+@query("source_store_round_trip", """
+ SELECT year_month, count(*) AS n_lines, CAST(sum(TotalPrice) AS BIGINT) AS revenue FROM tx GROUP BY 1""", ["tx"])
+def source_store_round_trip(spark, sf):
+    """Clean lines written by month under the shared checkpoint folder and read back."""
+    from uuid import uuid4
+
+    from ledgerlens.operators.stability import checkpoint_folder
+    from ledgerlens.sources.store import TableStore
+    store = TableStore(spark, f"{checkpoint_folder(spark)}/store-{uuid4().hex}")
+    table = store.write("transactions_clean", inputs.tx(spark, sf), partition_by="year_month")
+    return table.groupBy(F.col("year_month").cast("string").alias("year_month")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("TotalPrice").alias("revenue"))

@@ -176,6 +176,7 @@ def run_reports(store: TableStore) -> None:
         store.read("customer_features"), store.read("clv_predictions_with_intervals"),
         store.read("customer_segments"), store.read("uplift_scores")))
     store.write("segment_summary", reports.segment_summary(master))
+    store.write("retraining", drift.retraining_decision(store.read("quarterly_psi"), store.read("interval_coverage")))
 
 
 def run_all(store: TableStore, raw: DataFrame, settings: Settings = Settings(), plan: ModelPlan = ModelPlan()) -> None:
