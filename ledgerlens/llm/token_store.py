@@ -9,10 +9,13 @@ offset comes from a table with one row per range.
 
 from __future__ import annotations
 
+import re
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,29 +30,65 @@ from ledgerlens.operators.stability import checkpoint_folder, partition_count
 
 END = 1  # id that closes a document
 SHARD_TOKENS = 1_000_000
-KEPT = 400_000  # words a worker remembers
+KEPT = 800_000  # words and pieces a worker remembers
 _SHARDS = "part int, shard int, part_offset bigint, n_docs int, n_tokens bigint, doc_ids binary, no_id binary, lengths binary, payload binary"
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
-    """Ids of whole texts.  Tokens never cross ASCII white space in this kind of vocabulary, so each distinct word is encoded once."""
+    """Ids of whole texts.  Tokens never cross ASCII white space in this kind of vocabulary, so each distinct word is encoded once.
+
+    Most words consist of printable ASCII and Latin-1 letters, which normalisation only lowers.  They
+    are cut into pieces here and only the merges of a new piece are left to the library; other words
+    go through it as a whole.
+    """
+
+    SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
     def __init__(self, path: str):
         self.tokenizer = library(path)
-        self.known: dict[bytes, bytes] = {}
+        self.merges = self.tokenizer.model
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
+        letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
+        byte_level = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.bytes_of = str.maketrans({c: byte_level(c)[0][0] for c in letters})
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            mapped = piece if piece.isascii() else piece.translate(self.bytes_of)
+            ids = _packed([t.id for t in self.merges.tokenize(mapped)])
+            if len(piece) <= LONGEST_KEPT:
+                self.pieces[piece] = ids
+        return ids
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode()
+        if self.SIMPLE.fullmatch(text) and not self.special(text):
+            pieces = self.PIECES.findall(text.lower())
+            return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, without special tokens added."""
         words = text.encode("utf-8", "replace").split() if text else []
-        rest = [w for w in set(words) if w not in self.known]
-        for word, encoded in zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
-            self.known[word] = np.array(encoded.ids, "<u4").tobytes()
-        ids = b"".join(map(self.known.__getitem__, words))
+        rest = set(words).difference(self.words)
+        self.words.update((w, self._word(w)) for w in rest)
+        ids = b"".join(map(self.words.__getitem__, words))
         for word in rest:
             if len(word) > LONGEST_KEPT:
-                del self.known[word]
-        if len(self.known) > KEPT:
-            self.known = {}
+                del self.words[word]
+        for kept in (self.words, self.pieces):
+            if len(kept) > KEPT:  # the older half goes
+                for one in list(islice(kept, len(kept) // 2)):
+                    del kept[one]
         return ids
 
 

@@ -125,13 +125,13 @@ class WaveletFile:
         return [self.select(token, first + i) for i in range(self.count(token, begin, end))]
 
     def all(self) -> np.ndarray:
-        """The whole sequence."""
-        at, out = np.arange(self.length), np.zeros(self.length, np.uint32)
-        for level in range(self.bits):
+        """The whole sequence, by undoing the partitions from the last plane to the first."""
+        out = np.zeros(self.length, np.uint32)
+        for level in range(self.bits - 1, -1, -1):
             parts = [self._block(level, i) for i in range(len(self.planes[level]["places"]))]
-            plane = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
-            ones = np.cumsum(plane, dtype=np.int64) - plane
-            moved = np.where(plane, self.planes[level]["zeros"] + ones, np.arange(self.length) - ones)
-            out = out << np.uint32(1) | plane[at]
-            at = moved[at]
+            plane = np.concatenate(parts).view(bool) if parts else np.zeros(0, bool)
+            zeros, before = self.planes[level]["zeros"], np.empty_like(out)
+            before[~plane] = out[:zeros]
+            before[plane] = out[zeros:] | np.uint32(1 << (self.bits - 1 - level))
+            out = before
         return out
