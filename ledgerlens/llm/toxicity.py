@@ -3,7 +3,8 @@
 Grade 0 is not toxic.  Labelled toxic texts get the grades 1 to 3, by terciles of the rate of words
 that toxic texts hold far more often than others.  One weight per word is shared by all grades;
 ordered thresholds separate them: P(grade ≥ k) = 1/(1+exp(threshold_k − w·x)).  The sum of these
-over k is the expected severity.  x holds log(1 + occurrences) of the words of a bounded vocabulary.
+over k is the expected severity.  Features are the words of a bounded vocabulary and beginnings of
+longer words, which catch inflected and compound forms; x holds log(1 + occurrences per 100 words).
 
 The model is fitted on a bounded sample of labelled rows (``SAMPLE``, chosen by key hash); word
 statistics of the sample, its sparse rows and the vocabulary are bounded by ``SAMPLE`` and ``VOCABULARY``.
@@ -29,22 +30,37 @@ SAMPLE = 8_000
 VOCABULARY = 4_096
 GRADES = 3  # above grade 0
 LEAST = 3  # texts a word must stand in
+CERTAIN = 16.0  # least log-likelihood ratio of a word's split between toxic and other texts; keeps chance words out
 FAR_MORE = 8.0  # ratio of shares that makes a word a mark of toxic texts
-PENALTY = 1e-3
+PENALTY = 1e-4
+BEGINNING = 5  # characters of a beginning; shorter words have none
 ROUNDS = 400
 
 
+def features(text: str | None) -> tuple[list[str], list[str]]:
+    """Words and, marked by ``^``, beginnings of longer words."""
+    words = [w.decode("utf-8", "replace") for w in plain_words(text)]
+    return words, ["^" + w[:BEGINNING] for w in words if len(w) > BEGINNING]
+
+
+def rates(text: str | None, known: dict[str, float]) -> list[tuple[str, float]]:
+    """(feature, log(1 + occurrences per 100 words)) of the ``known`` features of a text."""
+    words, beginnings = features(text)
+    counts = Counter(filter(known.__contains__, words))
+    counts.update(filter(known.__contains__, beginnings))
+    return sorted((f, math.log1p(100 * n / len(words))) for f, n in counts.items())
+
+
 @dataclass(frozen=True)
 class Model:
-    """Word weights and ordered thresholds."""
+    """Feature weights and ordered thresholds."""
 
-    weights: dict[bytes, float]
+    weights: dict[str, float]
     thresholds: tuple[float, ...]
 
     def chances(self, text: str | None) -> list[float]:
         """P(grade ≥ k) for k = 1, 2, …"""
-        counts = Counter(filter(self.weights.__contains__, plain_words(text)))
-        score = sum(self.weights[w] * math.log1p(n) for w, n in sorted(counts.items()))
+        score = sum(self.weights[f] * x for f, x in rates(text, self.weights))
         return [1 / (1 + math.exp(min(700.0, max(-700.0, t - score)))) for t in self.thresholds]
 
 
@@ -65,14 +81,15 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = {0: Counter(), 1: Counter()}
     for batch in batches:
         for toxic, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-            seen[int(toxic > 0)].update(set(plain_words(value.as_py())))
+            words, beginnings = features(value.as_py())
+            seen[int(toxic > 0)].update({*words, *beginnings})
     words = list(seen[0].keys() | seen[1].keys())
     yield pa.RecordBatch.from_arrays(
-        [pa.array(words, pa.binary()), *(pa.array([seen[c][w] for w in words], pa.int64()) for c in (0, 1))], ["word", "clean", "toxic"],
+        [pa.array(words, pa.string()), *(pa.array([seen[c][w] for w in words], pa.int64()) for c in (0, 1))], ["word", "clean", "toxic"],
     )
 
 
-def vocabulary(sample: DataFrame, size: int) -> tuple[list[bytes], set[bytes]]:
+def vocabulary(sample: DataFrame, size: int) -> tuple[list[str], set[str]]:
     """Words that tell toxic from other texts best, and those of them that mark toxic texts."""
     sums = sample.groupBy().agg(
         F.sum((F.col("toxic") > 0).cast("bigint")).alias("t"), F.sum((F.col("toxic") <= 0).cast("bigint")).alias("c"),
@@ -81,14 +98,16 @@ def vocabulary(sample: DataFrame, size: int) -> tuple[list[bytes], set[bytes]]:
     if not toxic or not clean:
         return [], set()
     share = lambda n, of: (F.col(n) + 0.5) / (of + 1.0)
+    both, part = F.col("clean") + F.col("toxic"), toxic / (toxic + clean)
+    term = lambda n, of: F.when(F.col(n) > 0, F.col(n) * F.log(F.col(n) / (both * of))).otherwise(0.0)
     counted = (
-        sample.mapInArrow(_word_counts, "word binary, clean bigint, toxic bigint").groupBy("word")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("clean") + F.col("toxic") >= LEAST)
+        sample.mapInArrow(_word_counts, "word string, clean bigint, toxic bigint").groupBy("word")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(both >= LEAST)
         .withColumn("ratio", share("toxic", toxic) / share("clean", clean))
-        .withColumn("pull", F.abs(F.log("ratio")) * F.sqrt(F.col("clean") + F.col("toxic")))
+        .withColumn("pull", 2 * (term("toxic", part) + term("clean", 1 - part))).where(F.col("pull") >= CERTAIN)
     )
     best = counted.orderBy(F.desc("pull"), "word").limit(size).collect()  # bounded by VOCABULARY
-    return [bytes(r["word"]) for r in best], {bytes(r["word"]) for r in best if r["ratio"] >= FAR_MORE}
+    return [r["word"] for r in best], {r["word"] for r in best if r["ratio"] >= FAR_MORE}
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -99,30 +118,26 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     chosen, marks = vocabulary(sample, words)
     if not chosen:
         return Model({}, (math.inf,) * GRADES)
-    place = {w: i for i, w in enumerate(chosen)}
+    place = {f: i for i, f in enumerate(chosen)}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for value in batch.column(1):
-                found = plain_words(value.as_py())
-                counts = sorted(Counter(filter(place.__contains__, found)).items())
-                marked = sum(n for w, n in counts if w in marks)
-                out.append(([place[w] for w, _ in counts], [n for _, n in counts], marked / max(1, len(found))))
-            at, n, rate = zip(*out) if out else ((), (), ())
+            found = [rates(value.as_py(), place) for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32())), pa.array(rate, pa.float64())],
-                ["toxic", "at", "n", "rate"],
+                [batch.column(0), pa.array([[place[f] for f, _ in one] for one in found], pa.list_(pa.int32())),
+                 pa.array([[x for _, x in one] for one in found], pa.list_(pa.float64())),
+                 pa.array([sum(math.expm1(x) for f, x in one if f in marks) for one in found], pa.float64())],
+                ["toxic", "at", "x", "rate"],
             )
 
-    sparse = sample.mapInArrow(rows, "toxic int, at array<int>, n array<int>, rate double")
-    taken = sparse.orderBy("toxic", "rate", "at", "n").toArrow()  # bounded by SAMPLE
+    sparse = sample.mapInArrow(rows, "toxic int, at array<int>, x array<double>, rate double")
+    taken = sparse.orderBy("toxic", "rate", "at", "x").toArrow()  # bounded by SAMPLE
     toxic = np.array(taken.column("toxic").to_pylist()) > 0
     rate = taken.column("rate").to_numpy()
-    at, n = taken.column("at").to_pylist(), taken.column("n").to_pylist()
+    at, x = taken.column("at").to_pylist(), taken.column("x").to_pylist()
     row = np.repeat(np.arange(len(at)), [len(a) for a in at])
     column = np.array([i for a in at for i in a], np.int64)
-    value = np.log1p(np.array([c for one in n for c in one], np.float64))
+    value = np.array([v for one in x for v in one], np.float64)
     borders = np.quantile(rate[toxic], [i / GRADES for i in range(1, GRADES)])
     grade = np.where(toxic, 1 + np.searchsorted(borders, rate, side="right"), 0)
     weights, thresholds = cumulative_link(row, column, value, grade, len(chosen))
