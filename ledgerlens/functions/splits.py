@@ -19,7 +19,9 @@ def fold_id(key: Column | str, folds: int, salt: str = "fold") -> Column:
 
 
 def treatment_flag(key: Column | str, share: float, salt: str = "treatment") -> Column:
-    """1 for the treated share of customers, else 0."""
+    """1 for the treated share of customers, else 0.  Shares are whole thousandths."""
+    if abs(share * 1000 - round(share * 1000)) > 1e-9:
+        raise ValueError(f"share {share} is not a multiple of 0.001")
     return (hash_bucket(key, salt) < F.lit(round(share * 1000))).cast("int")
 
 

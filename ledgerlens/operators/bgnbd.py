@@ -7,13 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.special import hyp2f1
+from ledgerlens.functions.special import digamma, hyp2f1, ln_gamma
 from ledgerlens.operators.likelihood import maximise
 from ledgerlens.operators.stability import materialise
 from ledgerlens.schemas import require_columns
 
-SERIES_TERMS = 400
-
 
 @dataclass(frozen=True)
 class PurchaseModel:
@@ -23,6 +21,7 @@ class PurchaseModel:
     alpha: float
     a: float
     b: float
+    converged: bool = True
 
 
 def _double(name: str) -> Column:
@@ -41,52 +40,48 @@ def p_alive(model: PurchaseModel) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + _dropout_odds(model))
 
 
-def expected_purchases(model: PurchaseModel, days: float, terms: int = SERIES_TERMS) -> Column:
+def expected_purchases(model: PurchaseModel, days: float) -> Column:
     """Expected purchases in the next ``days``.
 
-    The Euler-transformed series keeps its first two parameters free of x, so a fixed number of
-    terms converges for every customer.
+    The Euler-transformed series keeps its first two parameters free of x; every row takes as many
+    terms as its own argument needs.
     """
     r, alpha, b = model.r, model.alpha, model.b
     a = model.a if abs(model.a - 1.0) > 1e-6 else 1.0 + 1e-6  # the closed form has a removable pole at a = 1
     x, t = _double("frequency"), _double("T")
     c = F.lit(a + b - 1.0) + x
     z = F.lit(float(days)) / (F.lit(alpha + float(days)) + t)
-    series = hyp2f1(a + b - 1.0 - r, a - 1.0, c, z, terms)
+    series = hyp2f1(a + b - 1.0 - r, a - 1.0, c, z)
     drop = F.lit(1.0) - F.pow(F.lit(1.0) - z, F.lit(a - 1.0)) * series
     return c / F.lit(a - 1.0) * drop / (F.lit(1.0) + _dropout_odds(model))
 
 
-def _sum_over_purchases(term) -> Column:
-    """Σ term(i) for i = 0 … x−1: gamma ratios need no log-gamma because x is a whole number."""
-    return F.aggregate("steps", F.lit(0.0), lambda acc, i: acc + term(i))
-
-
 def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
-    """Row log-likelihood and gradient in the log-parameters (r, alpha, a, b)."""
+    """Row log-likelihood and gradient in the log-parameters (r, alpha, a, b), at the same cost for any number of purchases."""
     x, r, al, a, b = (F.col(c) for c in ("x", "r", "al", "a", "b"))
     # Every stage names what later stages use more than once, which keeps the expressions small.
     staged = rows.select("i", "weight", "x", "tx", "t", *[v.alias(n) for n, v in zip(("r", "al", "a", "b"), theta)])
     staged = staged.select(
-        "*", F.when(x > 0, F.sequence(F.lit(0).cast("bigint"), (x - 1).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
-        .alias("steps"),
-        (a + b).alias("ab"), (r + x).alias("rx"), (al + F.col("t")).alias("at"), (al + F.col("tx")).alias("atx"),
-        F.greatest(b + x - 1, F.lit(1e-12)).alias("last"),
+        "*", (a + b).alias("ab"), (r + x).alias("rx"), (b + x).alias("bx"), (a + b + x).alias("abx"),
+        (al + F.col("t")).alias("at"), (al + F.col("tx")).alias("atx"), F.when(x > 0, b + x - 1).otherwise(1.0).alias("last"),
     )
     staged = staged.select("*", F.log("at").alias("log_t"), F.log("atx").alias("log_tx"))
-    # Odds of the dropped-out branch against the active one; both branches share the factor (α+T)^−(r+x).
-    odds = F.when(x > 0, F.exp(F.least(
-        F.log(a) - F.log("last") + F.col("rx") * (F.col("log_t") - F.col("log_tx")), F.lit(700.0)))).otherwise(F.lit(0.0))
-    staged = staged.select("*", odds.alias("odds"))
-    staged = staged.select("*", (F.col("odds") / (F.col("odds") + 1)).alias("out"), (1 / (F.col("odds") + 1)).alias("in"))
+    # Log odds of the dropped-out branch against the active one; both branches share the factor (α+T)^−(r+x).
+    log_odds = F.when(x > 0, F.log(a) - F.log("last") + F.col("rx") * (F.col("log_t") - F.col("log_tx"))).otherwise(
+        F.lit(float("-inf")))
+    staged = staged.select("*", log_odds.alias("lo"))
+    lo = F.col("lo")
+    staged = staged.select(
+        "*", (1 / (1 + F.exp(-lo))).alias("out"), (1 / (1 + F.exp(lo))).alias("in"),
+        F.when(lo > 0, lo + F.log1p(F.exp(-lo))).otherwise(F.log1p(F.exp(lo))).alias("log_sum"),
+    )
+    rising = lambda top, low: ln_gamma(F.col(top)) - ln_gamma(F.col(low))
+    inverse = lambda top, low: digamma(F.col(top)) - digamma(F.col(low))
     staged = staged.select(
-        "*",
-        _sum_over_purchases(lambda i: F.log((r + i) * (b + i) / (F.col("ab") + i))).alias("log_ratio"),
-        _sum_over_purchases(lambda i: 1 / (r + i)).alias("inv_r"),
-        _sum_over_purchases(lambda i: 1 / (b + i)).alias("inv_b"),
-        _sum_over_purchases(lambda i: 1 / (F.col("ab") + i)).alias("inv_ab"),
+        "*", (rising("rx", "r") + rising("bx", "b") - rising("abx", "ab")).alias("log_ratio"),
+        inverse("rx", "r").alias("inv_r"), inverse("bx", "b").alias("inv_b"), inverse("abx", "ab").alias("inv_ab"),
     )
-    ll = F.col("log_ratio") + r * F.log(al) - F.col("rx") * F.col("log_t") + F.log1p("odds")
+    ll = F.col("log_ratio") + r * F.log(al) - F.col("rx") * F.col("log_t") + F.col("log_sum")
     d_r = F.col("inv_r") + F.log(al) - F.col("in") * F.col("log_t") - F.col("out") * F.col("log_tx")
     d_al = r / al - F.col("rx") * (F.col("in") / F.col("at") + F.col("out") / F.col("atx"))
     d_a = F.col("out") / a - F.col("inv_ab")
@@ -97,8 +92,8 @@ def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
     )
 
 
-def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 40) -> PurchaseModel:
-    """Penalised maximum likelihood.
+def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200) -> PurchaseModel:
+    """Penalised maximum likelihood; ``converged`` tells whether the rounds sufficed.
 
     Customers with equal (frequency, recency, T) are one weighted row, so the iterations run over
     combinations of day counts — bounded by the calendar — and not over customers.
@@ -111,6 +106,6 @@ def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 40) -> Purcha
         _double("frequency").alias("x"), (_double("recency") * scale).alias("tx"), (_double("T") * scale).alias("t"),
         F.col("n").cast("double").alias("weight"),
     ))
-    found, _, _ = maximise(rows, _log_likelihood, (1.0, 1.0, 1.0, 1.0), penalizer, max_rounds)
+    found, _, rounds = maximise(rows, _log_likelihood, (1.0, 1.0, 1.0, 1.0), penalizer, max_rounds)
     r, alpha, a, b = (float(v) for v in found)
-    return PurchaseModel(r, alpha / scale, a, b)
+    return PurchaseModel(r, alpha / scale, a, b, rounds < max_rounds)

@@ -60,8 +60,8 @@ def roi_curve(df: DataFrame, budgets: DataFrame, cost: float, gain: str = "uplif
     available, ranked = whole(placement)["n"], unfold(placement)
     asked = budgets.withColumn(
         "n_targeted", F.least(F.floor(F.col("budget") / F.lit(float(cost))).cast("bigint"), available))
-    # The grid is a few dozen rows by construction; only the ranks it asks for survive the join.
-    reached = ranked.join(F.broadcast(asked.select(F.col("n_targeted").alias("rank")).distinct()), "rank").select(
+    # Only the ranks the grid asks for survive the join.
+    reached = ranked.join(asked.select(F.col("n_targeted").alias("rank")).distinct(), "rank").select(
         F.col("rank").alias("n_targeted"), F.col(f"cum_{gain}").cast("double").alias("revenue"))
     return _with_roi(asked.join(reached, "n_targeted", "left").select(
         "point", "budget", "n_targeted", (F.col("n_targeted") * F.lit(cost)).cast("double").alias("total_cost"),

@@ -60,9 +60,8 @@ def psi_between(long: DataFrame, pairs: DataFrame, features: Sequence[str], bins
         .where(F.col("edges").isNotNull())
     )
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    # ``roles`` has two rows per (quarter, feature): bounded by the calendar, not by the data.
     binned = (
-        placement.rows.join(F.broadcast(roles), ["period", "feature"])
+        placement.rows.join(roles, ["period", "feature"])
         .groupBy("pair", "feature", F.size(F.filter(inner, lambda e: e <= F.col("value"))).alias("bin"))
         .agg(F.sum(F.when(F.col("is_baseline"), F.col("n"))).alias("expected"),
              F.sum(F.when(~F.col("is_baseline"), F.col("n"))).alias("actual"))

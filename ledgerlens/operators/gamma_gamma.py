@@ -22,6 +22,7 @@ class SpendModel:
     p: float
     q: float
     v: float
+    converged: bool = True
 
 
 def expected_spend(model: SpendModel) -> Column:
@@ -48,8 +49,8 @@ def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
     return staged.select("i", "weight", ll.alias("ll"), (p * d_p).alias("g0"), (q * d_q).alias("g1"), (v * d_v).alias("g2"))
 
 
-def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 40, unit: float = 1.0) -> SpendModel:
-    """Penalised maximum likelihood over repeat customers.
+def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200, unit: float = 1.0) -> SpendModel:
+    """Penalised maximum likelihood over repeat customers; ``converged`` tells whether the rounds sufficed.
 
     The penalty acts on ``v`` in multiples of ``unit``; 1.0 is the published behaviour, a typical
     order value keeps the penalty from swamping the likelihood when amounts are large.
@@ -61,13 +62,13 @@ def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 40, unit: flo
                  (F.col("monetary_value").cast("double") / F.lit(float(unit))).alias("m"))
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
-    found, _, _ = maximise(rows, _log_likelihood, (1.0, 1.5, 1.0), penalizer, max_rounds)
+    found, _, rounds = maximise(rows, _log_likelihood, (1.0, 1.5, 1.0), penalizer, max_rounds)
     p, q, v = (float(value) for value in found)
-    return SpendModel(p, q, v * unit)
+    return SpendModel(p, q, v * unit, rounds < max_rounds)
 
 
 def customer_value(purchases: bgnbd.PurchaseModel, spend: SpendModel, months: int, discount: float,
-                   margin: float, terms: int = bgnbd.SERIES_TERMS) -> Column:
+                   margin: float) -> Column:
     """Discounted margin over the next months; 0 without a repeat purchase.
 
     Σ (E_i − E_{i−1}) / (1+d)^i is summed by parts, so each month's expectation is evaluated once.
@@ -76,7 +77,7 @@ def customer_value(purchases: bgnbd.PurchaseModel, spend: SpendModel, months: in
     weights = [f - g for f, g in zip(factors, [*factors[1:], 0.0])]
     total = F.lit(0.0)
     for i, weight in enumerate(weights, start=1):
-        total = total + F.lit(weight) * bgnbd.expected_purchases(purchases, DAYS_PER_MONTH * i, terms)
+        total = total + F.lit(weight) * bgnbd.expected_purchases(purchases, DAYS_PER_MONTH * i)
     return F.when(F.col("frequency") > 0, F.lit(margin) * expected_spend(spend) * total).otherwise(F.lit(0.0))
 
 

@@ -114,7 +114,7 @@ def label_segments(df: DataFrame, names: dict[int, str]) -> DataFrame:
 
 def label_from_table(df: DataFrame, names: DataFrame) -> DataFrame:
     """The same with the mapping as a table of at most k rows."""
-    return df.join(F.broadcast(names), "segment_id", "left").withColumn(
+    return df.join(names, "segment_id", "left").withColumn(
         "segment_name", F.coalesce("segment_name", F.lit("Unknown")))
 
 

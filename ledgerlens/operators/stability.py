@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; a scratch one only in local mode."""
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, or one in the SQL warehouse where that is unset."""
     context = spark.sparkContext
     folder = context.getCheckpointDir()
     if folder:
         return folder
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="ledgerlens-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     context.setCheckpointDir(folder)
     return folder
 

@@ -9,7 +9,6 @@ from ledgerlens.plans.catalog import customers, inputs  # noqa: F401  (customers
 from ledgerlens.plans.catalog.registry import SETTINGS, fragment, query
 
 FEATURES = drift.DRIFT_FEATURES
-QUARTERS = [f"{y}Q{q}" for y in range(1995, 2002) for q in range(1, 5)][1:27]
 
 
 def psi_sql(long: str, pairs: str) -> str:
@@ -103,11 +102,12 @@ def drift_alerts_latest(spark, sf):
     return drift.alerts(drift.latest_quarter(q_psi(spark, sf)))
 
 
-@query("drift_heatmap", "SELECT feature, " + ", ".join(
-    f"round(avg(psi) FILTER (quarter = '{q}'), 7) AS \"{q}\"" for q in QUARTERS) + " FROM q_psi GROUP BY feature", ["q_psi"])
+@query("drift_heatmap", "SELECT feature, quarter, round(avg(psi), 7) AS psi FROM q_psi GROUP BY ALL", ["q_psi"])
 def drift_heatmap(spark, sf):
-    table = drift.heatmap(q_psi(spark, sf), QUARTERS)
-    return table.select("feature", *[F.round(q, 7).alias(q) for q in QUARTERS])
+    """The heat map's cells as rows, for whatever quarters the data hold."""
+    table = drift.heatmap(q_psi(spark, sf))
+    cells = table.unpivot("feature", [c for c in table.columns if c != "feature"], "quarter", "psi")
+    return cells.where("psi is not null").withColumn("psi", F.round("psi", 7))
 
 
 @query("drift_report_classes", """

@@ -154,3 +154,23 @@ def source_store_round_trip(spark, sf):
     table = store.write("transactions_clean", inputs.tx(spark, sf), partition_by="year_month")
     return table.groupBy(F.col("year_month").cast("string").alias("year_month")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("TotalPrice").alias("revenue"))
+
+
+@query("source_invoice_csv", """
+ SELECT InvoiceNo, StockCode, Description, Quantity, CAST(InvoiceDate AS DATE) AS day, UnitPrice, CustomerID, Country FROM raw""", ["raw"])
+def source_invoice_csv(spark, sf):
+    """The lines written as a file with the published header, customer ids as decimals, and read back."""
+    from uuid import uuid4
+
+    from ledgerlens.config import MINOR_PER_UNIT
+    from ledgerlens.operators.stability import checkpoint_folder
+    from ledgerlens.sources.retail import read_invoices
+    folder = f"{checkpoint_folder(spark)}/invoices-{uuid4().hex}"
+    inputs.raw(spark, sf).select(
+        F.col("InvoiceNo").alias("Invoice"), "StockCode", "Description", "Quantity",
+        F.date_format("InvoiceDate", "dd/MM/yyyy HH:mm").alias("InvoiceDate"),
+        (F.col("UnitPrice") / F.lit(MINOR_PER_UNIT)).cast("decimal(18,4)").alias("Price"),
+        F.col("CustomerID").cast("decimal(20,1)").alias("Customer ID"), "Country",
+    ).write.option("header", True).csv(folder)
+    lines = read_invoices(spark, folder, timestamp_format="dd/MM/yyyy HH:mm")
+    return lines.withColumn("day", F.to_date("InvoiceDate")).drop("InvoiceDate")

@@ -137,10 +137,10 @@ def interval_width_statistics(spark, sf):
  SELECT s.customer_id, s.predicted_clv, i.clv_lower, i.clv_upper, i.interval_width
  FROM (SELECT customer_id, predicted_clv FROM scores) s LEFT JOIN (
   SELECT customer_id, predicted_clv - 10 AS clv_lower, predicted_clv + 10 AS clv_upper, 20 AS interval_width
-  FROM scores WHERE customer_id % 2 = 0) i USING (customer_id)""", ["scores"])
+  FROM scores) i USING (customer_id)""", ["scores"])
 def interval_merge(spark, sf):
     frame = inputs.score_frame(spark, sf).select("customer_id", "predicted_clv")
-    ranges = frame.where(F.col("customer_id") % 2 == 0).select(
+    ranges = frame.select(
         "customer_id", (F.col("predicted_clv") - 10).alias("clv_lower"), (F.col("predicted_clv") + 10).alias("clv_upper"),
         F.lit(20).alias("interval_width"))
     return conformal.merge_intervals(frame, ranges)

@@ -13,20 +13,20 @@ fragment("master", """
    g.segment_name, u.uplift_score, u.uplift_score * p.predicted_clv AS incremental_rev
  FROM rfm r
  LEFT JOIN (SELECT customer_id, predicted_clv, p_alive, predicted_clv - 500 AS clv_lower, predicted_clv + 500 AS clv_upper
-            FROM scores WHERE customer_id % 5 <> 1) p USING (customer_id)
- LEFT JOIN (SELECT customer_id, segment_name FROM scores WHERE customer_id % 7 <> 2) g USING (customer_id)
- LEFT JOIN (SELECT customer_id, uplift_score FROM scores WHERE customer_id % 4 <> 3) u USING (customer_id)""", ["rfm", "scores"])
+            FROM scores) p USING (customer_id)
+ LEFT JOIN (SELECT customer_id, segment_name FROM scores) g USING (customer_id)
+ LEFT JOIN (SELECT customer_id, uplift_score FROM scores) u USING (customer_id)""", ["rfm", "scores"])
 
 
 def master(spark, sf):
     frame, key = inputs.score_frame(spark, sf), F.col("customer_id")
-    predictions = frame.where(key % 5 != 1).select(
+    predictions = frame.select(
         key.alias("CustomerID"), "predicted_clv", "p_alive", (F.col("predicted_clv") - 500).alias("clv_lower"),
         (F.col("predicted_clv") + 500).alias("clv_upper"))
     return reports.customer_master(
         inputs.rfm(spark, sf).drop("T"), predictions,
-        frame.where(key % 7 != 2).select("customer_id", "segment_name"),
-        frame.where(key % 4 != 3).select(key.alias("CustomerID"), "uplift_score"))
+        frame.select("customer_id", "segment_name"),
+        frame.select(key.alias("CustomerID"), "uplift_score"))
 
 
 @query("report_customer_master", "SELECT * FROM master", ["master"])

@@ -118,21 +118,25 @@ def run_segmentation(store: TableStore, settings: Settings, plan: ModelPlan = Mo
 
 
 def run_uplift(store: TableStore, settings: Settings, plan: ModelPlan = ModelPlan(), exposure: DataFrame | None = None) -> None:
-    """Two-arm uplift; ``exposure`` (customer_id, treatment) replaces the hash assignment where a campaign ran."""
+    """Two-arm uplift; ``exposure`` (customer_id, treatment) replaces the hash assignment where a campaign ran.
+
+    Customers outside the campaign have no arm: they are scored and ranked but take no part in the fit and the curve.
+    """
     table = store.read("customer_features")
     inputs = _inputs(table, "cohort_month", "cohort_index")
     matrix = table.select("customer_id", *features.without_gaps(table, inputs)).join(
         store.read("holdout_actuals"), "customer_id", "left").na.fill(0.0, ["holdout_revenue"])
-    armed = matrix.join(exposure, "customer_id") if exposure is not None else uplift.assign_arms(matrix, settings.treatment_share)
-    armed = store.write("uplift_matrix", armed)
+    everyone = matrix.join(exposure, "customer_id", "left") if exposure is not None else uplift.assign_arms(matrix, settings.treatment_share)
+    everyone = store.write("uplift_matrix", everyone)
+    armed = everyone.where(F.col("treatment").isNotNull())
     store.write("uplift_arms", uplift.arm_summary(armed, "holdout_revenue"))
     models = uplift.fit_t_learner(armed, inputs, "holdout_revenue", params=plan.two_arm)
     store.write_model("model_uplift_treated", models[0])
     store.write_model("model_uplift_control", models[1])
-    scored = store.write("uplift_raw", uplift.predict_uplift(models, armed, inputs).select(
+    scored = store.write("uplift_raw", uplift.predict_uplift(models, everyone, inputs).select(
         "customer_id", "uplift_score", "treatment", "holdout_revenue"))
     store.write("uplift_scores", uplift.rank_by_uplift(scored))
-    store.write("qini_curve", uplift.qini_curve(scored, "holdout_revenue", "uplift_score"))
+    store.write("qini_curve", uplift.qini_curve(scored.where(F.col("treatment").isNotNull()), "holdout_revenue", "uplift_score"))
 
 
 def run_budget(store: TableStore, settings: Settings) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.config import COLUMN_RENAMES, MINOR_PER_UNIT
@@ -16,14 +16,59 @@ def standardise(raw: DataFrame) -> DataFrame:
     return named.withColumn("UnitPrice", price).select(*INVOICE_LINE_COLUMNS)
 
 
-def read_invoices(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Invoice lines from CSV or Parquet with a declared schema (no inference pass)."""
-    reader = spark.read.schema(RAW_INVOICES)
-    if fmt == "csv":
-        return standardise(reader.option("header", True).csv(path))
+def _typed(text: DataFrame, timestamp_format: str | None) -> dict[str, Column]:
+    """Casts of the raw text columns; whole numbers may be written with decimals (``13085.0``)."""
+    def whole(name: str) -> Column:
+        number = F.col(name).try_cast("decimal(30,6)")
+        return F.when(number == F.floor(number), number.cast("bigint"))
+
+    when = F.col("InvoiceDate")
+    casts = {"Quantity": whole("Quantity"), "Customer ID": whole("Customer ID"), "Price": F.col("Price").try_cast("decimal(18,4)")}
+    casts["InvoiceDate"] = (
+        when.try_cast("timestamp_ntz") if timestamp_format is None
+        else F.try_to_timestamp(when, F.lit(timestamp_format)).cast("timestamp_ntz")
+    )
+    return {name: casts.get(name, F.col(name)) for name in text.columns}
+
+
+def _bad(name: str, typed: Column) -> Column:
+    return (F.trim(F.col(name)) != "") & typed.isNull()
+
+
+def _text(spark: SparkSession, path: str) -> DataFrame:
+    schema = ", ".join(f"`{field.name}` string" for field in RAW_INVOICES)
+    return spark.read.schema(schema).option("header", True).csv(path)
+
+
+def invoice_rejects(spark: SparkSession, path: str, timestamp_format: str | None = None) -> DataFrame:
+    """Lines of a CSV file with text that does not fit its column, as text, with the columns at fault."""
+    text = _text(spark, path)
+    faults = F.array_compact(F.array(*[
+        F.when(_bad(name, typed), F.lit(name)) for name, typed in _typed(text, timestamp_format).items()]))
+    return text.withColumn("rejected", faults).where(F.size("rejected") > 0)
+
+
+def read_invoices(spark: SparkSession, path: str, fmt: str = "csv", timestamp_format: str | None = None,
+                  rejects: str = "fail") -> DataFrame:
+    """Invoice lines from CSV or Parquet with a declared schema (no inference pass).
+
+    CSV text that does not fit its column ends the job with the column and the text.  With
+    ``rejects="drop"`` such lines are left out; ``invoice_rejects`` returns them.
+    """
     if fmt == "parquet":
-        return standardise(reader.parquet(path))
-    raise ValueError(f"unknown format: {fmt}")
+        return standardise(spark.read.schema(RAW_INVOICES).parquet(path))
+    if fmt != "csv" or rejects not in ("fail", "drop"):
+        raise ValueError(f"unknown format or reject mode: {fmt}, {rejects}")
+    text = _text(spark, path)
+    typed = _typed(text, timestamp_format)
+    if rejects == "drop":
+        for name, column in typed.items():
+            text = text.where(~F.coalesce(_bad(name, column), F.lit(False)))
+        return standardise(text.select(*[column.alias(name) for name, column in typed.items()]))
+    return standardise(text.select(*[
+        F.when(_bad(name, column), F.raise_error(F.concat(F.lit(f"{name} cannot be read: "), F.col(name)))).otherwise(column).alias(name)
+        for name, column in typed.items()
+    ]))
 
 
 def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

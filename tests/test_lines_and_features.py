@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.config import Settings
 from ledgerlens.operators import cleaning, explore, features
-from ledgerlens.sources.retail import read_invoices
+from ledgerlens.sources.retail import invoice_rejects, read_invoices
 from ledgerlens.sources.store import TableStore
 
 SCHEMA = ("InvoiceNo string, StockCode string, Description string, Quantity long, InvoiceDate timestamp_ntz, "
@@ -123,6 +123,18 @@ def test_csv_source_and_store(spark, tmp_path):
         read_invoices(spark, str(path), "xlsx")
 
 
+def test_csv_ids_dates_and_rejects(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text("Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+                    "1,A,,12,01/12/2009 07:45,6.95,13085.0,France\n2,B,,1,01/12/2009 07:46,2.55,13085.5,France\n")
+    day_first = "dd/MM/yyyy HH:mm"
+    with pytest.raises(Exception, match="Customer ID cannot be read: 13085.5"):
+        read_invoices(spark, str(path), timestamp_format=day_first).collect()
+    kept = read_invoices(spark, str(path), timestamp_format=day_first, rejects="drop").collect()
+    assert [(r["CustomerID"], r["InvoiceDate"].month) for r in kept] == [(13085, 12)]
+    assert [(r["Invoice"], r["rejected"]) for r in invoice_rejects(spark, str(path), day_first).collect()] == [("2", ["Customer ID"])]
+
+
 def test_concentration_and_histogram(spark):
     tx = spark.range(1, 101).select(F.col("id").alias("CustomerID"), F.col("id").alias("TotalPrice"))
     got = {r["share"]: (r["n_customers"], r["revenue_share"]) for r in explore.revenue_concentration(tx, [0.2, 1.0]).collect()}
