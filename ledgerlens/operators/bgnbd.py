@@ -93,7 +93,7 @@ def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
 
 
 def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200) -> PurchaseModel:
-    """Penalised maximum likelihood; ``converged`` tells whether the rounds sufficed.
+    """Penalised maximum likelihood; ``converged`` tells whether the search ended at a maximum.
 
     Customers with equal (frequency, recency, T) are one weighted row, so the iterations run over
     combinations of day counts — bounded by the calendar — and not over customers.
@@ -106,6 +106,6 @@ def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200) -> Purch
         _double("frequency").alias("x"), (_double("recency") * scale).alias("tx"), (_double("T") * scale).alias("t"),
         F.col("n").cast("double").alias("weight"),
     ))
-    found, _, rounds = maximise(rows, _log_likelihood, (1.0, 1.0, 1.0, 1.0), penalizer, max_rounds)
+    found, _, converged = maximise(rows, _log_likelihood, (1.0, 1.0, 1.0, 1.0), penalizer, max_rounds)
     r, alpha, a, b = (float(v) for v in found)
-    return PurchaseModel(r, alpha / scale, a, b, rounds < max_rounds)
+    return PurchaseModel(r, alpha / scale, a, b, converged)

@@ -50,7 +50,7 @@ def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
 
 
 def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200, unit: float = 1.0) -> SpendModel:
-    """Penalised maximum likelihood over repeat customers; ``converged`` tells whether the rounds sufficed.
+    """Penalised maximum likelihood over repeat customers; ``converged`` tells whether the search ended at a maximum.
 
     The penalty acts on ``v`` in multiples of ``unit``; 1.0 is the published behaviour, a typical
     order value keeps the penalty from swamping the likelihood when amounts are large.
@@ -62,9 +62,9 @@ def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200, unit: fl
                  (F.col("monetary_value").cast("double") / F.lit(float(unit))).alias("m"))
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
-    found, _, rounds = maximise(rows, _log_likelihood, (1.0, 1.5, 1.0), penalizer, max_rounds)
+    found, _, converged = maximise(rows, _log_likelihood, (1.0, 1.5, 1.0), penalizer, max_rounds)
     p, q, v = (float(value) for value in found)
-    return SpendModel(p, q, v * unit, rounds < max_rounds)
+    return SpendModel(p, q, v * unit, converged)
 
 
 def customer_value(purchases: bgnbd.PurchaseModel, spend: SpendModel, months: int, discount: float,

@@ -45,8 +45,8 @@ def _evaluate(rows: DataFrame, model: RowModel, points: Sequence[np.ndarray]):
 
 
 def maximise(rows: DataFrame, model: RowModel, start: Sequence[float], penalizer: float,
-             max_rounds: int = 40, tolerance: float = 1e-6) -> tuple[np.ndarray, float, int]:
-    """(parameters, penalised mean log-likelihood, rounds).
+             max_rounds: int = 200, tolerance: float = 1e-6) -> tuple[np.ndarray, float, bool]:
+    """(parameters, penalised mean log-likelihood, whether the expected gain fell below ``tolerance``).
 
     ``rows`` carries a ``weight`` column; ``model`` adds ``ll`` and the gradient ``g0…`` with respect
     to the log-parameters.  The penalty is ``penalizer · Σ θ²`` on the parameters themselves.
@@ -61,12 +61,13 @@ def maximise(rows: DataFrame, model: RowModel, start: Sequence[float], penalizer
     point = np.log(np.asarray(start, dtype=float))
     value, gradient, outer = penalised(point, _evaluate(rows, model, [point])[0])
     inverse = np.linalg.pinv(outer + 1e-6 * max(np.trace(outer), 1e-12) * np.eye(k))
-    rounds, shrink = 1, 1.0
+    rounds, shrink, converged = 1, 1.0, False
     while rounds < max_rounds:
         damped = outer + 1e-3 * max(np.trace(outer) / k, 1e-12) * np.eye(k)
         scoring, quasi = np.linalg.solve(damped, gradient), inverse @ gradient
         expected = max(float(gradient @ quasi), float(gradient @ scoring))
-        if expected < tolerance or shrink < 1e-4:
+        converged = expected < tolerance
+        if converged or shrink < 1e-4:
             break
         steps = [shrink * f * s for s in (quasi, scoring) for f in (1.0, 0.3)] + [shrink * gradient]
         steps = [s * min(1.0, MAX_LOG_STEP / max(np.abs(s).max(), 1e-300)) for s in steps]
@@ -84,4 +85,4 @@ def maximise(rows: DataFrame, model: RowModel, start: Sequence[float], penalizer
             left = np.eye(k) - np.outer(moved, turned) / bend
             inverse = left @ inverse @ left.T + np.outer(moved, moved) / bend
         point, (value, gradient, outer) = candidates[best], results[best]
-    return np.exp(point), float(value), rounds
+    return np.exp(point), float(value), converged
