@@ -86,10 +86,9 @@ orders AS MATERIALIZED (
 turns(turn, slot, taken) AS (
   SELECT -1::BIGINT, -1::BIGINT, repeat('0', {slots})
   UNION ALL
-  SELECT t.turn + 1, list_filter(o.pref, lambda s: substr(t.taken, s + 1, 1) = '0')[1],
-         substr(t.taken, 1, list_filter(o.pref, lambda s: substr(t.taken, s + 1, 1) = '0')[1]) || '1'
-         || substr(t.taken, list_filter(o.pref, lambda s: substr(t.taken, s + 1, 1) = '0')[1] + 2)
-  FROM turns t JOIN orders o ON o.i = (t.turn + 1) % {shards} WHERE t.turn + 1 < {slots}
+  SELECT turn + 1, free, substr(taken, 1, free) || '1' || substr(taken, free + 2) FROM (
+    SELECT t.turn, t.taken, list_filter(o.pref, lambda s: substr(t.taken, s + 1, 1) = '0')[1] AS free
+    FROM turns t JOIN orders o ON o.i = (t.turn + 1) % {shards} WHERE t.turn + 1 < {slots})
 )
 SELECT d.doc_id, t.slot::INTEGER AS slot, s.name AS shard
 FROM documents d
