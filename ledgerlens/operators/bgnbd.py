@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +57,19 @@ def expected_purchases(model: PurchaseModel, days: float) -> Column:
     return c / F.lit(a - 1.0) * drop / (F.lit(1.0) + _dropout_odds(model))
 
 
+@lru_cache(maxsize=1)
+def _rising_terms() -> tuple[Column, ...]:
+    """Log ratio of the rising factorials and its slopes; they hang on column names only, so every round uses the same ones.
+
+    Several hundred operations: putting them together anew took longer than a round's job.
+    """
+    rising = lambda top, low: ln_gamma(F.col(top)) - ln_gamma(F.col(low))
+    inverse = lambda top, low: digamma(F.col(top)) - digamma(F.col(low))
+    return (
+        rising("rx", "r") + rising("bx", "b") - rising("abx", "ab"), inverse("rx", "r"), inverse("bx", "b"), inverse("abx", "ab"),
+    )
+
+
 def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
     """Row log-likelihood and gradient in the log-parameters (r, alpha, a, b), at the same cost for any number of purchases."""
     x, r, al, a, b = (F.col(c) for c in ("x", "r", "al", "a", "b"))
@@ -75,11 +89,9 @@ def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
         "*", (1 / (1 + F.exp(-lo))).alias("out"), (1 / (1 + F.exp(lo))).alias("in"),
         F.when(lo > 0, lo + F.log1p(F.exp(-lo))).otherwise(F.log1p(F.exp(lo))).alias("log_sum"),
     )
-    rising = lambda top, low: ln_gamma(F.col(top)) - ln_gamma(F.col(low))
-    inverse = lambda top, low: digamma(F.col(top)) - digamma(F.col(low))
+    log_ratio, inv_r, inv_b, inv_ab = _rising_terms()
     staged = staged.select(
-        "*", (rising("rx", "r") + rising("bx", "b") - rising("abx", "ab")).alias("log_ratio"),
-        inverse("rx", "r").alias("inv_r"), inverse("bx", "b").alias("inv_b"), inverse("abx", "ab").alias("inv_ab"),
+        "*", log_ratio.alias("log_ratio"), inv_r.alias("inv_r"), inv_b.alias("inv_b"), inv_ab.alias("inv_ab"),
     )
     ll = F.col("log_ratio") + r * F.log(al) - F.col("rx") * F.col("log_t") + F.col("log_sum")
     d_r = F.col("inv_r") + F.log(al) - F.col("in") * F.col("log_t") - F.col("out") * F.col("log_tx")

@@ -116,6 +116,7 @@ def metrics_coverage(spark, sf):
  SELECT customer_id, round(predicted, 3) AS predicted, actual, round(residual, 3) AS residual,
    round(least(greatest(residual, lo), hi), 3) AS clipped FROM r, q""", ["pairs"])
 def report_residuals(spark, sf):
+    inputs.land_lines(spark, sf)
     frame = pairs(spark, sf)
     table = metrics.residuals(frame.select("customer_id", F.col("p").alias("predicted_clv")),
                               frame.select("customer_id", F.col("y").alias("holdout_revenue")))

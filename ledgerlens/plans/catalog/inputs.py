@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import cleaning, features
-from ledgerlens.plans.catalog.registry import SETTINGS, fragment
+from ledgerlens.operators.stability import landed
+from ledgerlens.plans.catalog.registry import SETTINGS, fragment, once, replace_input
 from ledgerlens.sources.retail import retail_lines
 
 OBS = (f"InvoiceDate >= DATE '{SETTINGS.observation_start}' AND "
@@ -17,10 +18,20 @@ END = f"DATE '{SETTINGS.observation_end}'"
 CODES = ", ".join(f"'{c}'" for c in SETTINGS.non_product_codes)
 
 
+@once
 def raw(spark: SparkSession, sf: str) -> DataFrame:
     return retail_lines(spark, sf)
 
 
+def land_lines(spark: SparkSession, sf: str) -> None:
+    """For queries with more than two passes: the fact join runs once, every pass reads its columns of the result.
+
+    One or two passes (caps and cleaned lines) cost less without the write.
+    """
+    replace_input("raw", sf, lambda: landed(raw(spark, sf)))
+
+
+@once
 def tx(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean(raw(spark, sf), SETTINGS)
 
@@ -33,11 +44,14 @@ def held_out(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.temporal_split(tx(spark, sf), SETTINGS)[1]
 
 
+@once
 def rfm(spark: SparkSession, sf: str) -> DataFrame:
     return features.rfm_summary(observed(spark, sf), SETTINGS.observation_end)
 
 
+@once
 def customer_features(spark: SparkSession, sf: str) -> DataFrame:
+    land_lines(spark, sf)
     raw_observed = cleaning.temporal_split(raw(spark, sf), SETTINGS)[0]
     return features.customer_features(observed(spark, sf), raw_observed, SETTINGS.observation_end)
 

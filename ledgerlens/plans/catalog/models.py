@@ -74,6 +74,7 @@ def stack_evaluate(spark, sf):
  FROM rfm f LEFT JOIN stand_in s USING (customer_id)
  LEFT JOIN (SELECT customer_id, CAST(customer_id % 777 AS DOUBLE) AS prediction FROM rfm) g USING (customer_id)""", ["rfm", "stand_in"])
 def stack_final_predictions(spark, sf):
+    inputs.land_lines(spark, sf)
     rfm = inputs.rfm(spark, sf)
     boosted = rfm.select("customer_id", (F.col("customer_id") % 777).cast("double").alias("prediction"))
     table = stacking.final_predictions(rfm, customers.stand_in(spark, sf), boosted, FIXED)

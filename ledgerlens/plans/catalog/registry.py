@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextvars import ContextVar
 from datetime import date
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +19,8 @@ SETTINGS = Settings(
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL_TEXTS: dict[str, str] = {}
+# Inputs that the query being built has made so far; None outside a query.
+_INPUTS: ContextVar[dict | None] = ContextVar("inputs", default=None)
 # name → (names it builds on, SELECT)
 FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -46,13 +50,45 @@ def compose(body: str, needs) -> str:
     return f"WITH {parts}\n{body}"
 
 
+def once(build: Callable[[SparkSession, str], DataFrame]):
+    """An input that several parts of one query share: built on first use, and anew for every query."""
+
+    @wraps(build)
+    def get(spark: SparkSession, sf: str) -> DataFrame:
+        made = _INPUTS.get()
+        if made is None:
+            return build(spark, sf)
+        key = (build.__name__, sf)
+        if key not in made:
+            made[key] = build(spark, sf)
+        return made[key]
+
+    return get
+
+
+def replace_input(name: str, sf: str, change: Callable[[], DataFrame]) -> None:
+    """Let the rest of the query being built read ``change()`` for the input ``name``; done at most once."""
+    made = _INPUTS.get()
+    if made is not None and (name, sf, "replaced") not in made:
+        made[name, sf] = made[name, sf, "replaced"] = change()
+
+
 def query(name: str, sql: str | None = None, needs=()):
     """Register a query; with ``sql`` it is compared value by value."""
 
     def wrap(build: Callable[[SparkSession, str], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
-        QUERIES[name] = build
+
+        @wraps(build)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            token = _INPUTS.set({})
+            try:
+                return build(spark, sf)
+            finally:
+                _INPUTS.reset(token)
+
+        QUERIES[name] = run
         if sql is not None:
             SQL_TEXTS[name] = compose(sql, needs)
         return build

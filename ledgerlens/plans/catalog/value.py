@@ -86,6 +86,7 @@ def value_frequency_recency(spark, sf):
    round(avg({expectation_sql(HOLDOUT_DAYS)}), 7) AS expected
  FROM rfm LEFT JOIN h USING (customer_id) GROUP BY 1""", ["rfm", "hold"])
 def value_calibration(spark, sf):
+    inputs.land_lines(spark, sf)
     held = inputs.held_out(spark, sf).groupBy(F.col("CustomerID").alias("customer_id")).agg(
         F.count_distinct(F.to_date("InvoiceDate")).alias("n_purchases"))
     table = gamma_gamma.calibration(inputs.rfm(spark, sf), held, BUY, HOLDOUT_DAYS)
@@ -98,6 +99,7 @@ def value_calibration(spark, sf):
  FROM (SELECT a.holdout_revenue AS y, x.predicted_clv AS p FROM predictions x JOIN actuals a USING (customer_id))""",
        ["predictions", "actuals"])
 def value_holdout_validation(spark, sf):
+    inputs.land_lines(spark, sf)
     joined = predictions(spark, sf).join(inputs.actuals(spark, sf), "customer_id")
     table = metrics.regression_report(joined, "holdout_revenue", "predicted_clv")
     return table.withColumns({"mae": F.round("mae", 0), "rmse": F.round("rmse", 0), "mape": F.round("mape", 6),

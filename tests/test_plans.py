@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import cleaning, uplift
-from ledgerlens.plans.catalog import QUERIES
+from ledgerlens.plans.catalog import QUERIES, registry
 from ledgerlens.plans.catalog.registry import SETTINGS
 from ledgerlens.sources.retail import retail_lines
 from ledgerlens.sources.store import TableStore
@@ -37,3 +37,28 @@ def test_ranking_windows_are_cut_into_slots(spark):
     text = plan(uplift.rank_by_uplift(df))
     assert "Window [row_number() windowspecdefinition(_slot#" in text
     assert "Exchange SinglePartition" not in text.split("Subquery")[0]
+
+
+@pytest.mark.parametrize("name", ["matrix_value", "value_calibration", "stack_final_predictions", "report_residuals"])
+def test_queries_with_many_passes_read_the_landed_lines(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    assert "lineitem.parquet" not in text and "/table-" in text
+
+
+def test_inputs_are_shared_within_a_query_only(spark):
+    made = []
+
+    @registry.once
+    def source(spark, sf):
+        made.append(sf)
+        return spark.range(len(made))
+
+    assert source(spark, "a").count() == 1 and source(spark, "a").count() == 2  # outside a query: anew
+    token = registry._INPUTS.set({})
+    try:
+        assert source(spark, "a") is source(spark, "a")
+        registry.replace_input("source", "a", lambda: spark.range(9))
+        registry.replace_input("source", "a", lambda: spark.range(1))  # at most once
+        assert source(spark, "a").count() == 9
+    finally:
+        registry._INPUTS.reset(token)
