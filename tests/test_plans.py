@@ -42,7 +42,7 @@ def test_ranking_windows_are_cut_into_slots(spark):
 @pytest.mark.parametrize("name", ["matrix_value", "value_calibration", "stack_final_predictions", "report_residuals"])
 def test_queries_with_many_passes_read_the_landed_lines(spark, name):
     text = plan(QUERIES[name](spark, SF))
-    assert "lineitem.parquet" not in text and "/table-" in text
+    assert "l_orderkey" not in text and "ReadSchema: struct<InvoiceNo:string" in text  # paths are cut in plan texts
 
 
 def test_inputs_are_shared_within_a_query_only(spark):
