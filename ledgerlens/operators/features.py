@@ -193,14 +193,19 @@ MATRIX_EXCLUDED = ("target_revenue", "total_revenue", "cohort_month", "cohort_in
 PROBABILITY_COLUMNS = ("predicted_purchases", "p_alive", "predicted_clv")
 
 
-def value_matrix(features: DataFrame, probabilities: DataFrame, actuals: DataFrame) -> DataFrame:
-    """Training matrix: every feature customer, probability columns prefixed, target 0 when absent."""
+def value_matrix(features: DataFrame, probabilities: DataFrame, actuals: DataFrame | None = None) -> DataFrame:
+    """Training matrix: every feature customer, probability columns prefixed, target 0 when absent.
+
+    Without ``actuals`` the matrix has no target and serves for scoring.
+    """
     renamed = probabilities.select("customer_id", *[F.col(c).alias(f"prob_{c}") for c in PROBABILITY_COLUMNS])
-    joined = features.join(renamed, "customer_id", "left").join(
-        actuals.select("customer_id", F.col("holdout_revenue").alias("target_revenue")), "customer_id", "left"
-    )
+    joined, target = features.join(renamed, "customer_id", "left"), []
+    if actuals is not None:
+        joined, target = joined.join(
+            actuals.select("customer_id", F.col("holdout_revenue").alias("target_revenue")), "customer_id", "left"
+        ), ["target_revenue"]
     inputs = [c for c in joined.columns if c not in MATRIX_EXCLUDED and c != "customer_id"]
-    return joined.select("customer_id", *without_gaps(joined, [*inputs, "target_revenue"]))
+    return joined.select("customer_id", *without_gaps(joined, [*inputs, *target]))
 
 
 def numeric_matrix(features: DataFrame, probabilities: DataFrame, target: str | None = None) -> DataFrame:

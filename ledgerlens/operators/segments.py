@@ -77,6 +77,23 @@ def fit(df: DataFrame, k_range: Sequence[int] = (5,), select_starts: int = 3, fi
     return SegmentModel(scaler, mixture, names, scores)
 
 
+def store_model(store, model: SegmentModel) -> None:
+    """Scaler, mixture, names and BIC under the names ``model_segment_*``."""
+    store.write_model("model_segment_scaler", model.scaler)
+    store.write_model("model_segment_mixture", model.mixture)
+    spark = store.spark
+    store.write("model_segment_names", spark.createDataFrame(list(model.names.items()), "segment_id int, segment_name string"))
+    store.write("model_segment_bic", spark.createDataFrame([(k, float(v)) for k, v in model.bic.items()], "k int, bic double"))
+
+
+def load_model(store) -> SegmentModel:
+    names = {r["segment_id"]: r["segment_name"] for r in store.read("model_segment_names").collect()}  # k rows
+    scores = {r["k"]: r["bic"] for r in store.read("model_segment_bic").collect()}  # one row per tried k
+    return SegmentModel(
+        store.read_model("model_segment_scaler", StandardScalerModel),
+        store.read_model("model_segment_mixture", GaussianMixtureModel), names, scores)
+
+
 def predict(model: SegmentModel, df: DataFrame) -> DataFrame:
     """(customer_id, segment_id)."""
     rows = model.scaler.transform(_vector(segment_inputs(df)))

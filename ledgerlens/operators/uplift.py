@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.splits import treatment_flag
+from ledgerlens.functions.splits import fold_id, treatment_flag
 from ledgerlens.operators.ranking import by_score, place, unfold, whole
 
 # Targeting classes by share of the ranking.
@@ -72,6 +74,18 @@ def fit_t_learner(df: DataFrame, inputs, outcome: str, treatment: str = "treatme
     )
 
 
+def cross_fitted(df: DataFrame, inputs, outcome: str, treatment: str = "treatment", params=None, folds: int = 5,
+                 key: str = "customer_id") -> DataFrame:
+    """df plus ``uplift_score`` from models that have not seen the row's fold, for curves that do not flatter."""
+    from ledgerlens.operators.stability import materialise
+    rows = materialise(df.withColumn("_fold", fold_id(key, folds, "uplift")))
+    parts = []
+    for fold in range(folds):
+        models = fit_t_learner(rows.where(F.col("_fold") != fold), inputs, outcome, treatment, params)
+        parts.append(predict_uplift(models, rows.where(F.col("_fold") == fold), inputs))
+    return reduce(DataFrame.unionByName, parts).drop("_fold")
+
+
 def predict_uplift(models, df: DataFrame, inputs) -> DataFrame:
     """df plus ``uplift_score`` = treated prediction − control prediction; both models score the same row."""
     from ledgerlens.operators.boosting import predict

@@ -202,7 +202,7 @@ def boost_predictions(spark, sf):
 @query("boost_search")
 def boost_search(spark, sf):
     trials = boosting.draw_trials(2, SETTINGS.seed, SMALL_SPACE)
-    best, errors = boosting.tune(training_matrix(spark, sf), MATRIX_INPUTS, "target", trials, folds=3)
+    best, errors = boosting.tune(training_matrix(spark, sf), MATRIX_INPUTS, "target", trials, SETTINGS.folds)
     return spark.createDataFrame(
         [(i, t.n_estimators, t.learning_rate, t.max_depth, float(e), t == best) for i, (t, e) in enumerate(zip(trials, errors))],
         "trial int, n_estimators int, learning_rate double, max_depth int, mae double, chosen boolean")
@@ -212,7 +212,20 @@ def boost_search(spark, sf):
 def boost_attributions(spark, sf):
     matrix = training_matrix(spark, sf)
     model = boosting.train(matrix, MATRIX_INPUTS, "target", SMALL)
-    return boosting.attributions(model, matrix, MATRIX_INPUTS, permutations=2)
+    return boosting.attributions(model, matrix, MATRIX_INPUTS)
+
+
+@query("boost_attribution_totals", f"SELECT customer_id, {len(MATRIX_INPUTS)}::BIGINT AS n_features, true AS adds_up FROM features", ["features"])
+def boost_attribution_totals(spark, sf):
+    """Base and contributions of a customer add up to the prediction."""
+    matrix = training_matrix(spark, sf)
+    model = boosting.train(matrix, MATRIX_INPUTS, "target", SMALL)
+    totals = boosting.attributions(model, matrix, MATRIX_INPUTS).groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n_features"), (F.sum("contribution") + F.first("base_value")).alias("total"))
+    scored = boosting.predict(model, matrix, MATRIX_INPUTS).select("customer_id", "prediction")
+    gap = F.abs(F.col("total") - F.col("prediction"))
+    return totals.join(scored, "customer_id").select(
+        "customer_id", "n_features", (gap <= F.abs("prediction") * 1e-9 + 1e-6).alias("adds_up"))
 
 
 @query("boost_split_importance")
@@ -223,7 +236,38 @@ def boost_split_importance(spark, sf):
 
 @query("stack_out_of_fold")
 def stack_out_of_fold(spark, sf):
-    return boosting.out_of_fold(training_matrix(spark, sf), MATRIX_INPUTS, "target", SMALL, folds=3)
+    return boosting.out_of_fold(training_matrix(spark, sf), MATRIX_INPUTS, "target", SMALL, SETTINGS.folds)
+
+
+@query("stack_out_of_fold_rows", f"""
+ SELECT customer_id, CAST({HASH.format(salt='fold', key='customer_id')} % 5 AS INTEGER) AS fold,
+   coalesce(holdout_revenue, 0.0::DOUBLE) AS target, 1::BIGINT AS predictions
+ FROM features LEFT JOIN actuals USING (customer_id)""", ["features", "actuals"])
+def stack_out_of_fold_rows(spark, sf):
+    """Every customer is predicted once, beside the own target."""
+    table = boosting.out_of_fold(training_matrix(spark, sf), MATRIX_INPUTS, "target", SMALL, SETTINGS.folds)
+    return table.groupBy("customer_id", fold_id("customer_id", SETTINGS.folds).alias("fold"), "target").agg(
+        F.count("oof").alias("predictions"))
+
+
+@query("store_models_reloaded", """
+ SELECT customer_id, round((intercept + bgf * p2 + gbt * p) / 1000, 0) AS stacked_thousands, round(2 * half_width, 2) AS interval_width,
+   n_calibration FROM pairs, ridge, half""", ["pairs", "ridge", "half"])
+def store_models_reloaded(spark, sf):
+    """Stack and interval model fitted, stored, loaded and applied."""
+    from uuid import uuid4
+
+    from ledgerlens.operators.stability import checkpoint_folder
+    from ledgerlens.sources.store import TableStore
+    store, table = TableStore(spark, f"{checkpoint_folder(spark)}/store-{uuid4().hex}"), stack_pairs(spark, sf)
+    store.write_params("model_stack", stacking.fit(table, "y", "p2", "p"))
+    store.write_params("model_intervals", conformal.calibrate(
+        table.where(conformal_part("customer_id") == "calibration"), "y", "p", SETTINGS.conformal_alpha))
+    stack, half = store.read_params("model_stack", stacking.StackModel), store.read_params("model_intervals", conformal.IntervalModel)
+    scored = table.select("customer_id", stacking.stacked(stack, F.col("p2"), F.col("p")).alias("p"))
+    return conformal.with_intervals(scored, half, "p").select(
+        "customer_id", F.round(F.col("p") / 1000, 0).alias("stacked_thousands"), F.round("interval_width", 2).alias("interval_width"),
+        F.lit(half.n_calibration).cast("bigint").alias("n_calibration"))
 
 
 @query("uplift_t_learner")
@@ -233,6 +277,17 @@ def uplift_t_learner(spark, sf):
     return uplift.predict_uplift(models, matrix, MATRIX_INPUTS).select("customer_id", "uplift_score")
 
 
+@query("uplift_difference_of_arms", "SELECT customer_id, true AS equals_difference FROM features", ["features"])
+def uplift_difference_of_arms(spark, sf):
+    """The score is the treated prediction less the control prediction, each made on its own."""
+    matrix = materialise(uplift.assign_arms(training_matrix(spark, sf)))
+    models = uplift.fit_t_learner(matrix, MATRIX_INPUTS, "target", params=SMALL)
+    scored = uplift.predict_uplift(models, matrix, MATRIX_INPUTS).select("customer_id", "uplift_score")
+    for name, model in zip(("treated", "control"), models):
+        scored = scored.join(boosting.predict(model, matrix, MATRIX_INPUTS, name).select("customer_id", name), "customer_id")
+    return scored.select("customer_id", (F.col("uplift_score") == F.col("treated") - F.col("control")).alias("equals_difference"))
+
+
 @query("interval_fitted_model")
 def interval_fitted_model(spark, sf):
     """Fit on the training part, calibrate on the next, report coverage on the last."""

@@ -100,5 +100,5 @@ def segment_mixture(spark, sf):
         (1.0 / (1.0 + F.exp((F.col("T") - F.col("recency")) / 200.0 - 2.0))).alias("p_alive"), F.col("recency").alias("recency_days"))
     from ledgerlens.operators.stability import materialise
     frame = materialise(frame)
-    model = segments.fit(frame, k_range=(3, 4, 5), select_starts=1, final_starts=2, select_rounds=20, final_rounds=30)
+    model = segments.fit(frame, k_range=(3, 4, 5))
     return segments.label_segments(segments.predict(model, frame), model.names)

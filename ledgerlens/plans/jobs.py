@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from ledgerlens.config import Settings
 from ledgerlens.functions.splits import conformal_part
 from ledgerlens.operators import (
-    bgnbd, boosting, budget, cleaning, conformal, drift, features, gamma_gamma, metrics, segments, stacking, uplift,
+    bgnbd, boosting, budget, cleaning, conformal, drift, explore, features, gamma_gamma, metrics, segments, stacking, uplift,
 )
+from ledgerlens.operators.stability import landed
 from ledgerlens.plans import reports
+from ledgerlens.schemas import require_unique
 from ledgerlens.sources.store import TableStore
 
 
@@ -25,10 +27,13 @@ from ledgerlens.sources.store import TableStore
 class ModelPlan:
     """How much fitting to do; the defaults follow the published run."""
 
-    trials: int = 30
+    trials: int | None = None  # None: as the settings say; 0: published defaults without a search
     search_space: dict | None = None
     parallelism: int = 4
-    stack_mode: str = "oof"  # or "passthrough": stack on predictions of rows the base model has seen
+    # "oof": stack, intervals and comparison use predictions by models that have not seen the customer;
+    # "passthrough": they use those of the final model, as published.
+    stack_mode: str = "oof"
+    uplift_folds: int = 5  # for the curve of held-out scores; 0 leaves only the curve of the fitted ones
     attribution_permutations: int = 4
     two_arm: boosting.BoostParams = boosting.TWO_ARM
     interval_base: boosting.BoostParams = boosting.INTERVAL_BASE
@@ -74,8 +79,9 @@ def run_value_models(store: TableStore, settings: Settings, plan: ModelPlan = Mo
     matrix = store.write("value_matrix", features.value_matrix(
         store.read("customer_features"), probabilities, store.read("holdout_actuals")))
     inputs = _inputs(matrix, "target_revenue")
-    if plan.trials > 0:
-        trials = boosting.draw_trials(plan.trials, settings.seed, plan.search_space or boosting.SEARCH_SPACE)
+    count = settings.tuning_trials if plan.trials is None else plan.trials
+    if count > 0:
+        trials = boosting.draw_trials(count, settings.seed, plan.search_space or boosting.SEARCH_SPACE)
         best, _ = boosting.tune(matrix, inputs, "target_revenue", trials, settings.folds, plan.parallelism)
     else:
         best = boosting.BoostParams(seed=settings.seed)
@@ -97,9 +103,20 @@ def run_value_models(store: TableStore, settings: Settings, plan: ModelPlan = Mo
     store.write_params("model_stack", stack)
     final = store.write("clv_predictions", stacking.final_predictions(matrix, probabilities, boosted, stack))
 
-    compared = final.join(matrix.select("customer_id", "target_revenue"), "customer_id")
-    store.write("model_comparison", metrics.model_scores(compared, "target_revenue", {
-        "BG/NBD": "predicted_clv_bgnbd", "LightGBM": "predicted_clv_lgbm", "Stacked": "predicted_clv"}))
+    # The same table from what the stack was fitted on: equal to the final one in passthrough mode.
+    known = store.write("clv_predictions_known", stacking.final_predictions(
+        matrix, probabilities, pairs.select("customer_id", F.col("gbt").alias("prediction")), stack))
+
+    def compared(table: DataFrame, mode: str) -> DataFrame:
+        rows = table.join(matrix.select("customer_id", "target_revenue"), "customer_id")
+        return metrics.model_scores(rows, "target_revenue", {
+            "BG/NBD": "predicted_clv_bgnbd", "LightGBM": "predicted_clv_lgbm", "Stacked": "predicted_clv",
+        }).withColumn("mode", F.lit(mode))
+
+    comparison = compared(final, "in-sample")
+    if plan.stack_mode == "oof":
+        comparison = comparison.unionByName(compared(known, "out-of-fold"))
+    store.write("model_comparison", comparison)
     store.write("attributions", boosting.attributions(
         model, matrix, inputs, plan.attribution_permutations, settings.seed))
 
@@ -109,8 +126,7 @@ def run_segmentation(store: TableStore, settings: Settings, plan: ModelPlan = Mo
     recency = store.read("rfm_summary").select("customer_id", F.col("recency").alias("recency_days"))
     base = final.join(recency, "customer_id", "left").na.fill(0, ["recency_days"])
     model = segments.fit(base, settings.segment_k, final_starts=plan.segment_starts, seed=settings.seed)
-    store.write_model("model_segment_scaler", model.scaler)
-    store.write_model("model_segment_mixture", model.mixture)
+    segments.store_model(store, model)
     ids = segments.predict(model, base)
     labelled = segments.label_segments(base.join(ids, "customer_id"), model.names)
     table = store.write("customer_segments", labelled)
@@ -126,6 +142,8 @@ def run_uplift(store: TableStore, settings: Settings, plan: ModelPlan = ModelPla
     inputs = _inputs(table, "cohort_month", "cohort_index")
     matrix = table.select("customer_id", *features.without_gaps(table, inputs)).join(
         store.read("holdout_actuals"), "customer_id", "left").na.fill(0.0, ["holdout_revenue"])
+    if exposure is not None:
+        require_unique(exposure, "customer_id", "exposure")
     everyone = matrix.join(exposure, "customer_id", "left") if exposure is not None else uplift.assign_arms(matrix, settings.treatment_share)
     everyone = store.write("uplift_matrix", everyone)
     armed = everyone.where(F.col("treatment").isNotNull())
@@ -136,7 +154,13 @@ def run_uplift(store: TableStore, settings: Settings, plan: ModelPlan = ModelPla
     scored = store.write("uplift_raw", uplift.predict_uplift(models, everyone, inputs).select(
         "customer_id", "uplift_score", "treatment", "holdout_revenue"))
     store.write("uplift_scores", uplift.rank_by_uplift(scored))
-    store.write("qini_curve", uplift.qini_curve(scored.where(F.col("treatment").isNotNull()), "holdout_revenue", "uplift_score"))
+    curve = uplift.qini_curve(scored.where(F.col("treatment").isNotNull()), "holdout_revenue", "uplift_score").withColumn("mode", F.lit("in-sample"))
+    if plan.uplift_folds > 1:
+        unseen = store.write("uplift_held_out", uplift.cross_fitted(
+            armed, inputs, "holdout_revenue", params=plan.two_arm, folds=plan.uplift_folds).select(
+            "customer_id", "uplift_score", "treatment", "holdout_revenue"))
+        curve = curve.unionByName(uplift.qini_curve(unseen, "holdout_revenue", "uplift_score").withColumn("mode", F.lit("out-of-fold")))
+    store.write("qini_curve", curve)
 
 
 def run_budget(store: TableStore, settings: Settings) -> None:
@@ -151,8 +175,9 @@ def run_budget(store: TableStore, settings: Settings) -> None:
 
 
 def run_intervals(store: TableStore, settings: Settings, plan: ModelPlan = ModelPlan()) -> None:
-    table, final = store.read("customer_features"), store.read("clv_predictions")
-    known = store.write("interval_matrix", features.interval_matrix(table, final, store.read("holdout_actuals"))
+    # Inputs by models that have not seen a customer's target keep training, calibration and test rows exchangeable.
+    table, final, unseen = store.read("customer_features"), store.read("clv_predictions"), store.read("clv_predictions_known")
+    known = store.write("interval_matrix", features.interval_matrix(table, unseen, store.read("holdout_actuals"))
                         .withColumn("part", conformal_part("customer_id")))
     inputs = _inputs(known, "holdout_revenue", "part")
     params = replace(plan.interval_base, seed=settings.seed)
@@ -163,7 +188,7 @@ def run_intervals(store: TableStore, settings: Settings, plan: ModelPlan = Model
     store.write_params("model_intervals", half)
     test = conformal.with_intervals(scored.where(F.col("part") == "test"), half, "center")
     store.write("interval_coverage", conformal.evaluate_coverage(test, "holdout_revenue"))
-    everyone = boosting.predict(model, features.interval_matrix(table, final), inputs, "center")
+    everyone = boosting.predict(model, features.interval_matrix(table, unseen), inputs, "center")
     ranges = conformal.with_intervals(everyone.select("customer_id", "center"), half, "center")
     store.write("clv_predictions_with_intervals", conformal.merge_intervals(final, ranges))
 
@@ -176,13 +201,92 @@ def run_drift(store: TableStore, settings: Settings) -> None:
 
 
 def run_reports(store: TableStore) -> None:
-    master = store.write("customer_master", reports.customer_master(
-        store.read("customer_features"), store.read("clv_predictions_with_intervals"),
-        store.read("customer_segments"), store.read("uplift_scores")))
+    sides = [require_unique(store.read(name), "customer_id", name) for name in (
+        "customer_features", "clv_predictions_with_intervals", "customer_segments", "uplift_scores")]
+    master = store.write("customer_master", reports.customer_master(*sides))
     store.write("segment_summary", reports.segment_summary(master))
     store.write("retraining", drift.retraining_decision(store.read("quarterly_psi"), store.read("interval_coverage")))
 
 
+def run_exploration(store: TableStore) -> None:
+    """The tables behind the study of lines, customers and drift."""
+    raw, tx, rfm = store.read("invoice_lines"), store.read("transactions_clean"), store.read("rfm_summary")
+    store.write("explore_nulls", explore.null_profile(raw))
+    store.write("explore_lines", explore.describe(raw, ["Quantity", "UnitPrice"], digits=4))
+    store.write("explore_customers", explore.describe(rfm, ["frequency", "recency", "T", "monetary_value"]))
+    store.write("explore_overview", explore.overview(tx))
+    store.write("explore_countries", explore.top_countries(tx, 10))
+    store.write("explore_months", explore.monthly_series(tx))
+    store.write("explore_amounts", explore.histogram(tx, "TotalPrice", bins=200, upper_quantile=0.95))
+    store.write("explore_frequency", explore.histogram(rfm, "frequency", bins=30))
+    store.write("explore_monetary", explore.histogram(
+        rfm.where(F.col("monetary_value") > 0), "monetary_value", bins=30, upper_quantile=0.99, clip=True))
+    store.write("explore_concentration", explore.revenue_concentration(tx, [0.1, 0.2, 0.5, 1.0]))
+    table = store.read("customer_features")
+    store.write("explore_correlations", explore.correlations(table, _inputs(table, "cohort_month")))
+    store.write("drift_heatmap", drift.heatmap(store.read("quarterly_psi")))
+    store.write("drift_densities", drift.density_histograms(
+        store.read("transactions_observation"), store.read("transactions_holdout"), "TotalPrice"))
+
+
+def run_evaluation(store: TableStore, settings: Settings) -> None:
+    """How good each model is, and what drives it; held-out scores where there are any."""
+    rfm, actuals, known = store.read("rfm_summary"), store.read("holdout_actuals"), store.read("clv_predictions_known")
+    purchases = store.read_params("model_purchases", bgnbd.PurchaseModel)
+    days = (settings.holdout_end - settings.holdout_start).days + 1
+    held = store.read("transactions_holdout").groupBy(F.col("CustomerID").alias("customer_id")).agg(
+        F.count_distinct(F.to_date("InvoiceDate")).alias("n_purchases"))
+    store.write("value_calibration", gamma_gamma.calibration(rfm, held, purchases, days))
+    store.write("value_frequency_recency", gamma_gamma.frequency_recency_table(rfm, purchases, days))
+    matrix = store.read("value_matrix")
+    with_target = known.join(matrix.select("customer_id", "target_revenue"), "customer_id")
+    store.write("evaluation_decile_lift", metrics.decile_lift(with_target, "target_revenue", "predicted_clv"))
+    store.write("evaluation_residuals", metrics.residuals(known, actuals))
+    top = store.read("clv_predictions").select("customer_id", "predicted_clv")
+    store.write("report_rank_slice", explore.rank_slice(top, "predicted_clv", 10, 30))
+    ranges = store.read("clv_predictions_with_intervals")
+    store.write("interval_widths", conformal.width_statistics(ranges))
+    store.write("report_below_p95", explore.quantile_below(ranges, "predicted_clv", 0.95))
+    parts = store.read("attributions")
+    store.write("attribution_importance", boosting.global_importance(parts))
+    store.write("attribution_waterfall", boosting.waterfall(parts))
+    store.write("boosting_importance", boosting.split_importance(load_boosting(store), _inputs(matrix, "target_revenue")))
+    armed = store.read("uplift_raw").where(F.col("treatment").isNotNull())
+    store.write("evaluation_qini", metrics.qini_coefficient(armed, "holdout_revenue", "uplift_score", "treatment"))
+    scores = store.read("uplift_scores").join(top, "customer_id", "left").na.fill(0.0, ["predicted_clv"])
+    store.write("budget_cumulative_gain", budget.cumulative_gain(budget.with_clv_gain(scores), "gain"))
+    store.write("persuadable_threshold", budget.persuadable_threshold(scores))
+
+
+def score_customers(store: TableStore, table: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Values, intervals, segment and uplift of the customers in ``table`` (features as in ``customer_features``).
+
+    Only stored models are used: nothing is fitted and no target is read.
+    """
+    trained_on = store.read("customer_features").columns  # models know their inputs by position
+    table = require_unique(table.select(trained_on), "customer_id", "features")
+    rfm = table.select("customer_id", "frequency", "recency", "T", "monetary_value")
+    probabilities = gamma_gamma.predict_all(
+        rfm, store.read_params("model_purchases", bgnbd.PurchaseModel), store.read_params("model_spend", gamma_gamma.SpendModel), settings)
+    matrix = features.value_matrix(table, probabilities)
+    boosted = boosting.predict(load_boosting(store), matrix, _inputs(matrix)).select("customer_id", "prediction")
+    final = landed(stacking.final_predictions(matrix, probabilities, boosted, store.read_params("model_stack", stacking.StackModel)))
+
+    base = final.join(rfm.select("customer_id", F.col("recency").alias("recency_days")), "customer_id", "left").na.fill(0, ["recency_days"])
+    model = segments.load_model(store)
+    named = segments.label_segments(segments.predict(model, base), model.names)
+
+    inputs = _inputs(table, "cohort_month", "cohort_index")
+    arms = (load_boosting(store, "model_uplift_treated"), load_boosting(store, "model_uplift_control"))
+    lifted = uplift.predict_uplift(arms, table.select("customer_id", *features.without_gaps(table, inputs)), inputs).select(
+        "customer_id", "uplift_score")
+
+    wide = features.interval_matrix(table, final)
+    centers = boosting.predict(load_boosting(store, "model_interval_base"), wide, _inputs(wide), "center").select("customer_id", "center")
+    ranges = conformal.with_intervals(centers, store.read_params("model_intervals", conformal.IntervalModel), "center")
+    return conformal.merge_intervals(final, ranges).join(named, "customer_id", "left").join(lifted, "customer_id", "left")
+
+
 def run_all(store: TableStore, raw: DataFrame, settings: Settings = Settings(), plan: ModelPlan = ModelPlan()) -> None:
     run_data(store, raw, settings)
     run_probabilistic(store, settings)
@@ -193,6 +297,8 @@ def run_all(store: TableStore, raw: DataFrame, settings: Settings = Settings(),
     run_intervals(store, settings, plan)
     run_drift(store, settings)
     run_reports(store)
+    run_exploration(store)
+    run_evaluation(store, settings)
 
 
 def load_boosting(store: TableStore, name: str = "model_boosting") -> GBTRegressionModel:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.ranking import by_score
 
+# Action and colour of a segment without its own.
 DEFAULT_SEGMENT_ACTION = "Target"
 DEFAULT_SEGMENT_COLOR = "#4fd1c7"
 

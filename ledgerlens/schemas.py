@@ -36,6 +36,14 @@ def require_columns(df: DataFrame, columns) -> DataFrame:
     return df
 
 
+def require_unique(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Fail before a join on ``key`` would multiply rows."""
+    repeated = duplicate_keys(df, key).limit(3).collect()
+    if repeated:
+        raise ValueError(f"{name}: {key} repeats, e.g. {', '.join(str(r[key]) for r in repeated)}")
+    return df
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Key values that occur more than once; empty for a well-formed customer table."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -14,6 +14,15 @@ SF = "/root/testdata/sf0.001"
 TINY = boosting.BoostParams(n_estimators=3, max_depth=3, learning_rate=0.3)
 
 
+REPORT_TABLES = (
+    "explore_nulls", "explore_lines", "explore_customers", "explore_overview", "explore_countries", "explore_months",
+    "explore_amounts", "explore_frequency", "explore_monetary", "explore_concentration", "explore_correlations",
+    "drift_heatmap", "drift_densities", "value_calibration", "value_frequency_recency", "evaluation_decile_lift",
+    "evaluation_residuals", "report_rank_slice", "interval_widths", "report_below_p95", "attribution_importance",
+    "attribution_waterfall", "boosting_importance", "evaluation_qini", "budget_cumulative_gain", "persuadable_threshold",
+)
+
+
 def test_every_sql_text_has_its_query():
     assert set(driver.oracle_sql()) <= set(driver.queries())
     assert len(driver.queries()) > 90
@@ -40,7 +49,8 @@ def test_query_equals_its_sql(spark, name):
 
 def test_the_whole_run(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
-    plan = jobs.ModelPlan(trials=0, attribution_permutations=1, two_arm=TINY, interval_base=TINY, segment_starts=1)
+    plan = jobs.ModelPlan(
+        trials=0, attribution_permutations=1, two_arm=TINY, interval_base=TINY, segment_starts=1, uplift_folds=2)
     raw = retail_lines(spark, SF)
     original = boosting.BoostParams
     try:
@@ -61,3 +71,18 @@ def test_the_whole_run(spark, tmp_path):
     assert store.read("quarterly_psi").columns == ["quarter", "baseline_quarter", "feature", "psi"]
     model = jobs.load_boosting(store)
     assert model.getNumTrees == 3
+    assert {r["mode"] for r in store.read("model_comparison").collect()} == {"in-sample", "out-of-fold"}
+    assert {r["mode"] for r in store.read("qini_curve").collect()} == {"in-sample", "out-of-fold"}
+    for table in REPORT_TABLES:
+        assert not store.read(table).isEmpty(), table
+
+    # The stored models alone give every customer the scores of the run.
+    again = jobs.score_customers(store, store.read("customer_features"), SETTINGS)
+    assert again.count() == customers
+    both = again.alias("n").join(store.read("customer_master").alias("o"), "customer_id")
+    far = lambda c: F.abs(F.col(f"n.{c}") - F.col(f"o.{c}")) > F.abs(F.col(f"o.{c}")) * 1e-9 + 1e-6
+    assert both.where(far("predicted_clv") | far("uplift_score")).count() == 0
+    assert both.where(F.col("n.segment_name") != F.col("o.segment_name")).count() == 0
+    assert again.where("clv_lower is null or clv_upper < clv_lower").count() == 0
+    with pytest.raises(ValueError, match="repeats"):
+        jobs.score_customers(store, store.read("customer_features").union(store.read("customer_features")), SETTINGS)
