@@ -3,16 +3,17 @@
 Test items are taken in chunks of bounded size, so what is sent to the workers does not grow with
 the benchmark; each chunk is held against every training text.
 
-1. Document frequencies: how many texts hold each word n-gram of the chunk's items.
-2. Seeds: of every few consecutive n-grams of an item the rarest.  No item loses all its seeds
-   however often its passages are copied, and any intact run of ``SPAN + GRAM - 1`` words has one.
-3. Texts meet items where they share a seed.  Around the meeting diagonals the item's words are
-   aligned with the passage's words; the alignment score over the best possible one is the share.
+1. Seeds: every word n-gram of an item.  Choosing the rarest of a window would lose edited copies:
+   an n-gram of theirs is never the rarest beside those of the verbatim copies in other texts.
+2. Texts meet items where they share a seed.  A bound on the words they can have in common drops
+   chance meetings without losing a match.
+3. Around the remaining diagonals the item's words are aligned with the passage's words; the
+   alignment score over the best possible one is the share.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import land, plain_words, ship
 
 GRAM = 4
-SPAN = 3  # of this many consecutive n-grams the rarest is a seed
 MATCH, MISMATCH, GAP = 2, -1, -1
 SHARE = 0.5  # least alignment share that counts as contaminated
 WORDS = 6  # least number of aligned words
@@ -55,19 +55,17 @@ class Items:
                 self.names.append(name)
                 self.words.append(np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]))
         self.grams = [gram_keys(words) for words in self.words]
-        self.known = np.unique(np.concatenate(self.grams)) if self.grams else np.zeros(0, np.uint64)
-        self.seeds = self.known
-        self.places: dict[int, list[tuple[int, int]]] = {}
-
-    def choose_seeds(self, frequency: dict[int, int]) -> None:
-        places = defaultdict(list)
-        for item, grams in enumerate(self.grams):
-            rarity = [(frequency.get(int(g), 0), i) for i, g in enumerate(grams)]
-            chosen = {min(rarity[i : i + SPAN])[1] for i in range(max(1, len(rarity) - SPAN + 1))}
-            for at in sorted(chosen):
-                places[int(grams[at])].append((item, at))
-        self.places = dict(places)
-        self.seeds = np.array(sorted(places), np.uint64)
+        self.bags = [np.unique(words, return_counts=True) for words in self.words]
+        self.choose_seeds()
+
+    def choose_seeds(self, frequency: dict[int, int] | None = None) -> None:
+        """All n-grams, sorted, with item and place in it; how many texts hold them does not matter."""
+        sizes = [len(grams) for grams in self.grams]
+        keys = np.concatenate([np.zeros(0, np.uint64), *self.grams])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.item_of = keys[order], np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.inside = np.concatenate([np.zeros(0, np.int64), *map(np.arange, sizes)])[order]
+        self.seeds = np.unique(self.keys)
 
     def read(self, text: str | None) -> np.ndarray:
         """Word numbers of a text; 0 stands for words that no item has."""
@@ -93,13 +91,21 @@ class Items:
         found = among[place] == keys
         return at[found], keys[found]
 
+    def may_match(self, item: int, passage: np.ndarray) -> bool:
+        """Whether the words in common, order aside, are enough for the share: no alignment has more equal words."""
+        words, counts = self.bags[item]
+        place = np.minimum(np.searchsorted(words, passage), len(words) - 1)
+        common = np.bincount(place[words[place] == passage], minlength=len(words))
+        return int(np.minimum(common, counts).sum()) >= SHARE * len(self.words[item])
+
     def matches(self, text: str | None) -> list[tuple]:
         """(item, share, aligned words, first word, word after the last) of each item found in a text."""
         ids = self.read(text)
         at, keys = self.hits(ids, self.seeds)
         diagonals = defaultdict(set)
-        for position, key in zip(at.tolist(), keys.tolist()):
-            for item, inside in self.places[key]:
+        places = zip(np.searchsorted(self.keys, keys, "left").tolist(), np.searchsorted(self.keys, keys, "right").tolist())
+        for position, (lo, hi) in zip(at.tolist(), places):
+            for item, inside in zip(self.item_of[lo:hi].tolist(), self.inside[lo:hi].tolist()):
                 diagonals[item].add(position - inside)
         out = []
         for item, offsets in sorted(diagonals.items()):
@@ -109,12 +115,15 @@ class Items:
             for offset in [*sorted(offsets), None]:
                 lo, hi = (len(ids), None) if offset is None else (max(0, offset - slack), offset + len(words) + slack)
                 if begin is not None and (offset is None or lo > end):
-                    found = align(words, ids[begin:end])
-                    found = (found[0], found[1], found[2] + begin, found[3] + begin)
-                    best = found if best is None or found[0] > best[0] else best
+                    if self.may_match(item, ids[begin:end]):
+                        found = align(words, ids[begin:end])
+                        found = (found[0], found[1], found[2] + begin, found[3] + begin)
+                        best = found if best is None or found[0] > best[0] else best
                     begin = None
                 if offset is not None:
                     begin, end = (lo, hi) if begin is None else (begin, max(end, hi))
+            if best is None:
+                continue
             share = best[0] / (MATCH * len(words))
             if share >= SHARE and best[1] >= min(WORDS, len(words)):
                 out.append((self.names[item], share, *best[1:]))
@@ -184,20 +193,6 @@ def contaminated(
         chunk = Items(rows)
         if not chunk.names:
             continue
-        sent = spark.sparkContext.broadcast(chunk)
-
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items, seen = sent.value, Counter()
-            for batch in batches:
-                for value in batch.column(0):
-                    _, keys = items.hits(items.read(value.as_py()), items.known)
-                    seen.update(np.unique(keys).tolist())
-            grams = np.array(list(seen), np.uint64).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(list(seen.values()), pa.int64())], ["gram", "n"])
-
-        counted = docs.select(text).mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-        frequency = {r[0] % (1 << 64): r[1] for r in counted.collect()}  # at most one row per n-gram of the chunk
-        chunk.choose_seeds(frequency)
         seeded = spark.sparkContext.broadcast(chunk)
 
         def search(batches: Iterator[pa.RecordBatch], seeded=seeded) -> Iterator[pa.RecordBatch]:

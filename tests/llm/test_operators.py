@@ -185,6 +185,18 @@ def test_contaminated_texts_are_found(spark):
     assert decontaminate.contaminated(docs, tests.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("step", [5, 6])
+def test_edited_copies_are_found_beside_verbatim_ones(spark, step):
+    """Intact runs of four or five words, whose n-grams are more common than those that only verbatim copies hold."""
+    rng = random.Random(17)
+    items = [(i, " ".join(f"v{rng.randrange(3000)}" for _ in range(60))) for i in range(8)]
+    edited = [(100 + i, " ".join("changed" if at % step == step - 1 else w for at, w in enumerate(t.split())), "x") for i, t in items]
+    verbatim = [(200 + i, t, "x") for i, t in items[:4]]
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(frame(spark, edited + verbatim), tests)
+    assert rows_of(got, "doc_id", "item_id") == sorted([(100 + i, i) for i in range(8)] + [(200 + i, i) for i in range(4)], key=repr)
+
+
 def toxic_rows():
     rng = random.Random(13)
     words, bad = [f"w{i}" for i in range(400)], ["vile", "nastyness", "nastyful"]
