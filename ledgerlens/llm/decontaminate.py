@@ -8,7 +8,8 @@ the benchmark; each chunk is held against every training text.
 2. Texts meet items where they share a seed.  A bound on the words they can have in common drops
    chance meetings without losing a match.
 3. Around the remaining diagonals the item's words are aligned with the passage's words; the
-   alignment score over the best possible one is the share.
+   alignment score over the best possible one is the share.  A long passage counts whatever its share:
+   ``PASSAGE`` equal words within ``STRETCH`` steps of an alignment, which always hold a seed.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ GRAM = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 SHARE = 0.5  # least alignment share that counts as contaminated
 WORDS = 6  # least number of aligned words
+PASSAGE, STRETCH = 13, 16  # so many equal words in so many steps count for any length of item; four of them are in a row
 CHUNK_WORDS = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd; a clash of keys only costs an alignment
@@ -92,11 +94,30 @@ class Items:
         return at[found], keys[found]
 
     def may_match(self, item: int, passage: np.ndarray) -> bool:
-        """Whether the words in common, order aside, are enough for the share: no alignment has more equal words."""
+        """Whether the words in common, order aside, are enough for the share or for a long passage: no alignment has more equal words."""
         words, counts = self.bags[item]
         place = np.minimum(np.searchsorted(words, passage), len(words) - 1)
-        common = np.bincount(place[words[place] == passage], minlength=len(words))
-        return int(np.minimum(common, counts).sum()) >= SHARE * len(self.words[item])
+        shared = words[place] == passage
+        common = np.bincount(place[shared], minlength=len(words))
+        if int(np.minimum(common, counts).sum()) >= SHARE * len(self.words[item]):
+            return True
+        running = np.concatenate([[0], np.cumsum(shared), np.full(STRETCH, shared.sum())])
+        return bool((running[STRETCH:] - running[:-STRETCH]).max() >= PASSAGE)
+
+    def alignments(self, item: int, passage: np.ndarray) -> Iterator[tuple]:
+        """(counts, score, equal words, first, after last): the best alignment, and while none counts the best of what is left.
+
+        A long passage may lie beside a looser alignment of a higher score, so aligned words are blanked and the rest aligned again.
+        """
+        words = self.words[item]
+        while True:
+            score, equal, first, last, dense = align_path(words, passage)
+            counts = dense or score >= SHARE * MATCH * len(words) and equal >= min(WORDS, len(words))
+            yield counts, score, equal, first, last
+            if counts or score < MATCH * PASSAGE - (STRETCH - PASSAGE):
+                return
+            passage = passage.copy()
+            passage[first:last] = 0
 
     def matches(self, text: str | None) -> list[tuple]:
         """(item, share, aligned words, first word, word after the last) of each item found in a text."""
@@ -116,17 +137,16 @@ class Items:
                 lo, hi = (len(ids), None) if offset is None else (max(0, offset - slack), offset + len(words) + slack)
                 if begin is not None and (offset is None or lo > end):
                     if self.may_match(item, ids[begin:end]):
-                        found = align(words, ids[begin:end])
-                        found = (found[0], found[1], found[2] + begin, found[3] + begin)
-                        best = found if best is None or found[0] > best[0] else best
+                        for found in self.alignments(item, ids[begin:end]):
+                            found = (*found[:3], found[3] + begin, found[4] + begin)
+                            best = found if best is None or found[:2] > best[:2] else best
                     begin = None
                 if offset is not None:
                     begin, end = (lo, hi) if begin is None else (begin, max(end, hi))
             if best is None:
                 continue
-            share = best[0] / (MATCH * len(words))
-            if share >= SHARE and best[1] >= min(WORDS, len(words)):
-                out.append((self.names[item], share, *best[1:]))
+            if best[0]:
+                out.append((self.names[item], best[1] / (MATCH * len(words)), *best[2:]))
         return out
 
 
@@ -142,22 +162,31 @@ def _table(item: np.ndarray, passage: np.ndarray) -> np.ndarray:
     return rows
 
 
-def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
-    """(score, equal words, first, after last) of the best local alignment, positions in the passage."""
+def align_path(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int, bool]:
+    """(score, equal words, first, after last, long passage) of the best local alignment, positions in the passage."""
     if not len(passage):
-        return 0, 0, 0, 0
+        return 0, 0, 0, 0, False
     rows = _table(item, passage)
     i, j = np.unravel_index(int(rows.argmax()), rows.shape)
-    score, last, equal = int(rows[i, j]), int(j), 0
+    score, last, step, equal = int(rows[i, j]), int(j), 0, []
     while i and j and rows[i, j] > 0:
         same = item[i - 1] == passage[j - 1]
         if rows[i, j] == rows[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            equal, i, j = equal + bool(same), i - 1, j - 1
+            if same:
+                equal.append(step)
+            i, j = i - 1, j - 1
         elif rows[i, j] == rows[i - 1, j] + GAP:
             i -= 1
         else:
             j -= 1
-    return score, equal, int(j), last
+        step += 1
+    dense = any(end - begin < STRETCH for begin, end in zip(equal, equal[PASSAGE - 1 :]))
+    return score, len(equal), int(j), last, dense
+
+
+def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
+    """(score, equal words, first, after last) of the best local alignment, positions in the passage."""
+    return align_path(item, passage)[:4]
 
 
 def _chunks(items: DataFrame, key: str, text: str, chunk_words: int) -> Iterator[list[tuple]]:
@@ -178,7 +207,7 @@ def contaminated(
 ) -> DataFrame:
     """(``key``, ``item_key``, share, words, first_word, end_word): one row per text and test item found in it.
 
-    ``share`` is the alignment score over that of a verbatim copy.  Texts and items that are null or
+    ``share`` is the alignment score over that of a verbatim copy; a long passage of a longer item has a small one.  Texts and items that are null or
     shorter than the n-gram match nothing.  Repeated rows of texts are reported once each, equal
     items each on their own; other columns are ignored; an empty table on either side gives no rows.
     """

@@ -282,6 +282,21 @@ def test_token_store_round_trip(spark):
     assert token_store.round_trip(frame(spark, []), path).count() == 0
 
 
+def test_long_passages_of_longer_items_are_found(spark):
+    rng = random.Random(23)
+    some = lambda n: [f"v{rng.randrange(3000)}" for _ in range(n)]
+    items = {i: some(length) for i, length in enumerate((59, 500, 500, 500, 500))}
+    passages = {0: items[0][20:45], 1: items[1][100:320], 2: items[2][-13:], 3: items[3][50:62]}
+    passages[4] = [w if at % 6 else "changed" for at, w in enumerate(items[4][200:240])]
+    # A looser alignment of a higher score, but below half of the item, beside a long passage.
+    passages[5] = [w if at % 3 else "changed" for at, w in enumerate(items[1][:150])] + some(40) + items[1][400:414]
+    docs = frame(spark, [(100 + i, " ".join(some(100) + words + some(150)), "x") for i, words in passages.items()])
+    tests = spark.createDataFrame([(i, " ".join(words)) for i, words in items.items()], "item_id long, text string")
+    got = rows_of(decontaminate.contaminated(docs, tests), "doc_id", "item_id")
+    assert got == [(100, 0), (101, 1), (102, 2), (104, 4), (105, 1)]
+    assert rows_of(decontaminate.clean(docs, tests), "doc_id") == [(103,)]
+
+
 def test_nearest_finds_most_and_scores_exactly(spark):
     rng = np.random.default_rng(29)
     vectors = rng.normal(size=(1500, 32)) * rng.uniform(0.5, 2, size=(1500, 1))
