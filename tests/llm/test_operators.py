@@ -322,6 +322,32 @@ def test_nearest_finds_most_and_scores_exactly(spark):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
+def test_nearest_of_small_classes_long_vectors_and_lone_queries(spark, monkeypatch):
+    """Few vectors of a length, norms that differ much, and a query that points away from all others."""
+    rng = np.random.default_rng(31)
+    vectors = [*rng.normal(size=(10, 16)), *rng.normal(size=(60, 24))]
+    monkeypatch.setattr(ann, "EXACT", 100)
+    few = len(vectors)
+    vectors += list(rng.normal(size=(2000, 64)) * rng.lognormal(0, 1, size=(2000, 1)))
+    lone = len(vectors)
+    vectors += list(np.eye(32)[0] + rng.normal(size=(159, 32)) * 0.01)
+    vectors += [-np.eye(32)[0]]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(df, every=1).where(f"query_id < {few} or query_id % 20 = 0 or query_id = {len(vectors) - 1}").collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = total = 0
+    for query in [i for i in range(len(vectors)) if i < few or i % 20 == 0 or i == len(vectors) - 1]:
+        own = [i for i, v in enumerate(vectors) if len(v) == len(vectors[query]) and i != query]
+        best = {i for _, i in sorted((-float(vectors[i] @ vectors[query]), i) for i in own)[:20]}
+        assert len(got[query]) == min(20, len(own))
+        if query < few or query == len(vectors) - 1:
+            assert got[query] == best
+        elif query < lone:
+            hits, total = hits + len(got[query] & best), total + 20
+    assert hits / total >= 0.97
+
+
 URLS = [
     (1, "http://a.ORG/x?y"), (2, "https://www.example.org/es/1"), (3, "https://example.org/en/12#t"), (4, "ftp://badexample.org/es/"), (5, "http://org"),
     (6, "http://news.com/fr/"), (7, "http://com/de/x"), (8, "http://other.net/de/x"), (9, None), (10, "no scheme"), (11, ""), (12, "x://"),
