@@ -27,10 +27,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def land(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: lineage is cut, columns can be pruned, the size is known."""
+    return land_at(df)[0]
+
+
+def land_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """As :func:`land`, with the path written, for :func:`discard`."""
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a landed table that nothing reads any more, through the file system Spark itself uses."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ship(spark: SparkSession) -> None:
