@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import ann, ball_codes, decontaminate, mixing, secret_scan, sharding, simhash, token_counts, token_store, toxicity, url_filter
+from ledgerlens.llm import ann, ball_codes, decontaminate, mixing, prefix_trie, secret_scan, sharding, simhash, token_counts, token_store, toxicity, url_filter
 from ledgerlens.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_codes.code_digest(table(spark, sf_dir, "embeddings"))
 
@@ -59,10 +63,10 @@ def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_sharding, op3_simhash, op4_decontamination, op5_toxicity, op6_mixing, op7_token_store,
-        op8_cross_polytope, op9_url_filter, op10_secret_scan, op12_ball_codes,
+        op8_cross_polytope, op9_url_filter, op10_secret_scan, op11_prefix_trie, op12_ball_codes,
     )
 }
 SQL_TEXTS: dict[str, str] = {
     "op2_sharding": sharding.sql(), "op6_mixing": mixing.sql(), "op9_url_filter": url_filter.sql(), "op10_secret_scan": secret_scan.sql(),
-    "op12_ball_codes": ball_codes.sql(),
+    "op11_prefix_trie": prefix_trie.sql(), "op12_ball_codes": ball_codes.sql(),
 }
