@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import ann, ball_codes, decontaminate, mixing, prefix_trie, secret_scan, sharding, simhash, token_counts, token_store, toxicity, url_filter
+from ledgerlens.llm import (
+    ann, ball_codes, decontaminate, mixing, prefix_bpe, prefix_trie, secret_scan, sharding, simhash, token_counts, token_store, toxicity,
+    url_filter,
+)
 from ledgerlens.llm.common import table
 
 
@@ -60,10 +63,15 @@ def op12_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ball_codes.code_digest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts, op2_sharding, op3_simhash, op4_decontamination, op5_toxicity, op6_mixing, op7_token_store,
-        op8_cross_polytope, op9_url_filter, op10_secret_scan, op11_prefix_trie, op12_ball_codes,
+        op8_cross_polytope, op9_url_filter, op10_secret_scan, op11_prefix_trie, op12_ball_codes, op13_prefix_bpe,
     )
 }
 SQL_TEXTS: dict[str, str] = {
