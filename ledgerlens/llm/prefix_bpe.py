@@ -41,11 +41,12 @@ class _Lengths(dict):
 class Vocabulary:
     """Ranks, and how each token is made: ``left`` and ``right`` halves of its last merge, -1 for single bytes.
 
-    A vocabulary string that merging never produces has no halves; it can only be a whole piece.
+    A vocabulary string that merging never produces has no halves; it can only be a whole piece.  Ranks
+    must follow the merges, as those of trained vocabularies do: no token before its parts.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        if sorted(ranks[bytes([b])] for b in range(256)) != list(range(256)) or sorted(ranks.values()) != list(range(len(ranks))):
+        if sorted(ranks.get(bytes([b]), -1) for b in range(256)) != list(range(256)) or sorted(ranks.values()) != list(range(len(ranks))):
             raise ValueError("ranks must be 0 to n, the single bytes first")
         self.ranks = ranks
         self.tokens = sorted(ranks, key=ranks.__getitem__)
@@ -61,6 +62,9 @@ class Vocabulary:
                     rank = ranks[token]
                     self.left[rank], self.right[rank], self.merged[a, b], self.made[token] = a, b, rank, rank
                     break
+            else:
+                if self._reached(token):
+                    raise ValueError("a token ranks before the parts it is merged from")
         # By the last two bytes, how long tokens ending in them are, the longest first.
         ends: dict[bytes, set[int]] = {}
         for token in self.made:
@@ -72,6 +76,17 @@ class Vocabulary:
         with open(path, "rb") as lines:
             return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
 
+    def _reached(self, token: bytes) -> bool:
+        """Whether merging any vocabulary strings, the least rank first, makes a string whole."""
+        parts = [token[i:i + 1] for i in range(len(token))]
+        while len(parts) > 1:
+            ranks = [self.ranks.get(a + b, len(self.ranks)) for a, b in zip(parts, parts[1:])]
+            at = min(range(len(ranks)), key=ranks.__getitem__)
+            if ranks[at] == len(self.ranks):
+                return False
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return True
+
     def _stay_apart(self, a: int, b: int) -> bool:
         merged, left, right = self.merged.get, self.left, self.right
         before = len(left)  # only merges that come before this rank can still cross the border
