@@ -33,18 +33,3 @@ def digamma(z: Column) -> Column:
     series = inv2 * (F.lit(1 / 12) - inv2 * (F.lit(1 / 120) - inv2 * (F.lit(1 / 252) - inv2 / F.lit(240.0))))
     steps = reduce(lambda acc, i: acc + F.lit(1.0) / (z + F.lit(float(i))), range(1, _SHIFT), F.lit(1.0) / z)
     return F.log(w) - F.lit(0.5) * inv - series - steps
-
-
-def hyp2f1(a: float, b: float, c: Column, z: Column) -> Column:
-    """₂F₁(a, b; c; z) for 0 < z < 1 by Horner's rule with one DOUBLE accumulator.
-
-    Terms fall at least like zⁿ once n is past the parameters, so each row takes just the number it
-    needs for 1e-13: a dozen for the usual small z, tens of thousands where z nears 1.
-    """
-
-    def step(acc: Column, k: Column) -> Column:
-        j = k.cast("double")
-        return F.lit(1.0) + acc * (F.lit(a - 1.0) + j) * (F.lit(b - 1.0) + j) / ((c - F.lit(1.0) + j) * j) * z
-
-    terms = F.greatest(F.ceil(F.lit(-30.0) / F.log(z)).cast("int") + F.lit(8), F.lit(8))
-    return F.aggregate(F.sequence(terms, F.lit(1), F.lit(-1)), F.lit(1.0), step)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.special import digamma, hyp2f1, ln_gamma
+from ledgerlens.functions.quadrature import logit_rule
+from ledgerlens.functions.special import digamma, ln_gamma
 from ledgerlens.operators.likelihood import maximise
 from ledgerlens.operators.stability import materialise
 from ledgerlens.schemas import require_columns
@@ -41,20 +45,47 @@ def p_alive(model: PurchaseModel) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + _dropout_odds(model))
 
 
-def expected_purchases(model: PurchaseModel, days: float) -> Column:
-    """Expected purchases in the next ``days``.
+def active_purchases(model: PurchaseModel, plans: Sequence[Sequence[tuple[float, float]]]) -> Column:
+    """Struct p0, p1, …: per plan Σ weight · E[purchases in the next ``days`` | still active] over its (days, weight) pairs.
 
-    The Euler-transformed series keeps its first two parameters free of x; every row takes as many
-    terms as its own argument needs.
+    A customer active now with dropout chance p and purchase rate λ buys (1 − e^(−λpt)) / p times on
+    average; λ is gamma and p beta distributed given the history, which leaves the mean of
+    (1 − (1 + p·t/(α+T))^−(r+x)) / p over Beta(a, b+x).  All rows and plans share one set of nodes
+    (about a hundred, set by a and b alone), and nothing special happens where a nears 1, T nears 0
+    or t is long.  Evaluated in Arrow batches: one array operation covers all nodes of many rows.
     """
-    r, alpha, b = model.r, model.alpha, model.b
-    a = model.a if abs(model.a - 1.0) > 1e-6 else 1.0 + 1e-6  # the closed form has a removable pole at a = 1
-    x, t = _double("frequency"), _double("T")
-    c = F.lit(a + b - 1.0) + x
-    z = F.lit(float(days)) / (F.lit(alpha + float(days)) + t)
-    series = hyp2f1(a + b - 1.0 - r, a - 1.0, c, z)
-    drop = F.lit(1.0) - F.pow(F.lit(1.0) - z, F.lit(a - 1.0)) * series
-    return c / F.lit(a - 1.0) * drop / (F.lit(1.0) + _dropout_odds(model))
+    longest = max((days for plan in plans for days, _ in plan), default=1.0)
+    rule = logit_rule(model.a, model.b, longest * max(1.0, model.r / model.alpha))
+    alpha, r, inverse = model.alpha, model.r, 1.0 / rule.p
+    names = [f"p{i}" for i in range(len(plans))]
+    slice_rows = max(1, (1 << 18) // len(rule.p))
+
+    @F.pandas_udf(", ".join(f"{n} double" for n in names))
+    def means(frequency: pd.Series, age: pd.Series) -> pd.DataFrame:
+        out = np.empty((len(frequency), len(plans)))
+        for at in range(0, len(frequency), slice_rows):
+            here = slice(at, at + slice_rows)
+            x = frequency.to_numpy(np.float64, na_value=np.nan)[here, None]
+            pace = rule.p / (alpha + age.to_numpy(np.float64, na_value=np.nan)[here, None])
+            weight = rule.log_weight + x * rule.log_rest
+            weight = np.exp(weight - weight.max(axis=1, keepdims=True))
+            known: dict[float, np.ndarray] = {}
+            for i, plan in enumerate(plans):
+                total = np.zeros_like(weight)
+                for days, factor in plan:
+                    if days not in known:
+                        known[days] = np.expm1(-(r + x) * np.log1p(pace * days))
+                    total -= factor * known[days]
+                out[here, i] = (weight * inverse * total).sum(axis=1) / weight.sum(axis=1)
+        return pd.DataFrame(out, columns=names)
+
+    complete = F.col("frequency").isNotNull() & F.col("T").isNotNull()
+    return F.when(complete, means(_double("frequency"), _double("T")))
+
+
+def expected_purchases(model: PurchaseModel, days: float) -> Column:
+    """Expected purchases in the next ``days``."""
+    return active_purchases(model, [[(float(days), 1.0)]])["p0"] * p_alive(model)
 
 
 @lru_cache(maxsize=1)

@@ -67,28 +67,35 @@ def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200, unit: fl
     return SpendModel(p, q, v * unit, converged)
 
 
+def _monthly_plan(months: int, discount: float) -> list[tuple[float, float]]:
+    """Σ (E_i − E_{i−1}) / (1+d)^i summed by parts: (days, weight) of each month's expectation."""
+    factors = [(1.0 + discount) ** -i for i in range(1, months + 1)]
+    return [(float(DAYS_PER_MONTH * i), f - g) for i, (f, g) in enumerate(zip(factors, [*factors[1:], 0.0]), start=1)]
+
+
+def _value(discounted: Column, purchases: bgnbd.PurchaseModel, spend: SpendModel, margin: float) -> Column:
+    worth = F.lit(margin) * expected_spend(spend) * discounted * bgnbd.p_alive(purchases)
+    return F.when(F.col("frequency") > 0, worth).otherwise(F.lit(0.0))
+
+
 def customer_value(purchases: bgnbd.PurchaseModel, spend: SpendModel, months: int, discount: float,
                    margin: float) -> Column:
-    """Discounted margin over the next months; 0 without a repeat purchase.
-
-    Σ (E_i − E_{i−1}) / (1+d)^i is summed by parts, so each month's expectation is evaluated once.
-    """
-    factors = [(1.0 + discount) ** -i for i in range(1, months + 1)]
-    weights = [f - g for f, g in zip(factors, [*factors[1:], 0.0])]
-    total = F.lit(0.0)
-    for i, weight in enumerate(weights, start=1):
-        total = total + F.lit(weight) * bgnbd.expected_purchases(purchases, DAYS_PER_MONTH * i)
-    return F.when(F.col("frequency") > 0, F.lit(margin) * expected_spend(spend) * total).otherwise(F.lit(0.0))
+    """Discounted margin over the next months; 0 without a repeat purchase."""
+    return _value(bgnbd.active_purchases(purchases, [_monthly_plan(months, discount)])["p0"], purchases, spend, margin)
 
 
 def predict_all(rfm: DataFrame, purchases: bgnbd.PurchaseModel, spend: SpendModel, settings: Settings) -> DataFrame:
-    """(customer_id, predicted_purchases, p_alive, predicted_clv, clv_inr): one projection, no shuffle."""
+    """(customer_id, predicted_purchases, p_alive, predicted_clv, clv_inr): one pass, no shuffle.
+
+    The horizon's expectation and the discounted months come from the same evaluation of a row.
+    """
     months = settings.horizon_months
-    return rfm.select(
-        "customer_id",
-        bgnbd.expected_purchases(purchases, DAYS_PER_MONTH * months).alias("predicted_purchases"),
-        bgnbd.p_alive(purchases).alias("p_alive"),
-        customer_value(purchases, spend, months, settings.monthly_discount, settings.gross_margin).alias("predicted_clv"),
+    plans = [[(float(DAYS_PER_MONTH * months), 1.0)], _monthly_plan(months, settings.monthly_discount)]
+    alive = bgnbd.p_alive(purchases)
+    scored = rfm.withColumn("_active", bgnbd.active_purchases(purchases, plans))
+    return scored.select(
+        "customer_id", (F.col("_active.p0") * alive).alias("predicted_purchases"), alive.alias("p_alive"),
+        _value(F.col("_active.p1"), purchases, spend, settings.gross_margin).alias("predicted_clv"),
     ).withColumn("clv_inr", F.col("predicted_clv"))
 
 

@@ -1,9 +1,11 @@
 import math
+from decimal import Decimal, getcontext
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.special import digamma, hyp2f1, ln_gamma
+from ledgerlens.functions.special import digamma, ln_gamma
 from ledgerlens.functions.splits import conformal_part, fold_id, treatment_flag
 from ledgerlens.operators import bgnbd
 
@@ -19,14 +21,76 @@ def test_ln_gamma_and_digamma(spark):
         assert row["d"] == pytest.approx(slope, rel=1e-4, abs=1e-5)
 
 
-@pytest.mark.parametrize("a,b,c,z", [(2.4, 0.5, 3.0, 0.86), (-0.7, 0.2, 12.0, 0.3), (1.9, -0.4, 2.2, 0.01), (2.0, 0.5, 2.9, 0.95)])
-def test_hypergeometric_series(spark, a, b, c, z):
-    term = total = 1.0
-    for k in range(4000):
+def bernoulli(n):
+    out = [Fraction(1)]
+    for m in range(1, n + 1):
+        out.append(-sum(Fraction(math.comb(m + 1, k)) * out[k] for k in range(m)) / (m + 1))
+    return out
+
+
+BERNOULLI = bernoulli(60)
+PI = Decimal("3.14159265358979323846264338327950288419716939937510582097494459")
+
+
+def exact_gamma(z):
+    """Γ to some 50 digits."""
+    shift = Decimal(1)
+    while z < 60:
+        shift, z = shift * z, z + 1
+    log = (z - Decimal("0.5")) * z.ln() - z + (2 * PI).ln() / 2
+    for k in range(1, 30):
+        log += Decimal(BERNOULLI[2 * k].numerator) / Decimal(BERNOULLI[2 * k].denominator) / (2 * k * (2 * k - 1)) / z ** (2 * k - 1)
+    return log.exp() / shift
+
+
+def exact_series(a, b, c, z):
+    term, total, k = Decimal(1), Decimal(1), 0
+    while k < 50 or abs(term) > abs(total) * Decimal("1e-45"):
         term *= (a + k) * (b + k) / ((c + k) * (k + 1)) * z
-        total += term
-    got = spark.range(1).select(hyp2f1(a, b, F.lit(c), F.lit(z)).alias("h")).first()["h"]
-    assert got == pytest.approx(total, rel=1e-11)
+        total, k = total + term, k + 1
+        if not term:
+            break
+    return total
+
+
+def exact_purchases(r, alpha, a, b, x, age, days):
+    """Purchases of an active customer by the hypergeometric closed form; two series in 1 − z where z is large (gaps must not be whole)."""
+    getcontext().prec = 60
+    r, alpha, a, b, x, age, days = (Decimal(repr(float(v))) for v in (r, alpha, a, b, x, age, days))
+    aa, bb, c = a + b - 1 - r, a - 1, a + b - 1 + x
+    w = (alpha + age) / (alpha + age + days)
+    if w > Decimal("0.4"):
+        value = exact_series(aa, bb, c, 1 - w)
+    else:
+        s = c - aa - bb
+        value = (exact_gamma(c) * exact_gamma(s) / (exact_gamma(c - aa) * exact_gamma(c - bb)) * exact_series(aa, bb, 1 - s, w)
+                 + w ** s * exact_gamma(c) * exact_gamma(-s) / (exact_gamma(aa) * exact_gamma(bb)) * exact_series(c - aa, c - bb, s + 1, w))
+    return float(c / bb * (1 - w ** bb * value))
+
+
+@pytest.mark.parametrize("r,alpha,a,b,x,age,days", [
+    (0.6, 60.0, 1.5, 2.5, 0, 0, 365), (0.6, 60.0, 1.5, 2.5, 40, 900, 365), (0.25, 4.4, 0.793, 2.426, 5, 38, 39),
+    (0.25, 1e-4, 0.8, 2.4, 0, 0, 720), (0.25, 1e-4, 0.8, 2.4, 300, 700, 720), (0.6, 7.2e-7, 1.5, 2.55, 0, 0, 720),
+    (0.6, 60.0, 1.0001, 2.5, 2, 30, 365), (2.2, 10.0, 0.3, 0.4, 3, 100, 3650), (0.05, 1e-6, 2.3, 0.7, 0, 0, 720),
+    (1.3, 5.0, 6.2, 9.1, 1200, 1500, 360), (0.25, 4.0, 0.1, 0.15, 12, 400, 30), (0.6, 7.2e-7, 1.5, 2.55, 7, 0.001, 720),
+    (3.5, 40.0, 30.2, 55.0, 4, 100, 365),
+])
+def test_purchases_of_active_customers_to_ten_digits(spark, r, alpha, a, b, x, age, days):
+    row = spark.createDataFrame([(x, float(age))], "frequency int, T double")
+    plan = [[(float(days), 1.0)], [(float(days), 0.25), (days / 2, 3.0)]]
+    got = row.select(bgnbd.active_purchases(bgnbd.PurchaseModel(r, alpha, a, b), plan).alias("e")).first()["e"]
+    want = exact_purchases(r, alpha, a, b, x, age, days)
+    assert got["p0"] == pytest.approx(want, rel=1e-10)
+    assert got["p1"] == pytest.approx(0.25 * want + 3.0 * exact_purchases(r, alpha, a, b, x, age, days / 2), rel=1e-10)
+
+
+def test_unknown_histories_have_no_expectation(spark):
+    rows = spark.createDataFrame([(1, None, 5), (2, 3, None), (3, 0, 0)], "id int, frequency int, T int").withColumn("recency", F.lit(0))
+    got = {r["id"]: r["e"] for r in rows.select("id", bgnbd.expected_purchases(bgnbd.PurchaseModel(0.6, 60.0, 1.0, 2.5), 30).alias("e")).collect()}
+    assert got[1] is None and got[2] is None and 0 < got[3] < 1
+    assert rows.limit(0).select(bgnbd.expected_purchases(bgnbd.PurchaseModel(0.6, 60.0, 1.5, 2.5), 30)).count() == 0
+    with pytest.raises(ValueError):
+        bgnbd.expected_purchases(bgnbd.PurchaseModel(0.6, 60.0, 0.0, 2.5), 30)
 
 
 def test_hash_splits_depend_on_the_key_only(spark):
