@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.quadrature import logit_rule
-from ledgerlens.functions.special import digamma, ln_gamma
+from ledgerlens.functions.special import digamma, ln_gamma, polygammas
 from ledgerlens.operators.likelihood import maximise
 from ledgerlens.operators.stability import materialise
 from ledgerlens.schemas import require_columns
@@ -135,6 +135,47 @@ def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
     )
 
 
+def log_likelihood(rfm: DataFrame, model: PurchaseModel) -> DataFrame:
+    """(customer_id, ll, g0…g3): each customer's log-likelihood and its slopes by ln r, ln alpha, ln a, ln b."""
+    rows = rfm.select(F.col("customer_id").alias("i"), F.lit(1.0).alias("weight"), _double("frequency").alias("x"),
+                      _double("recency").alias("tx"), _double("T").alias("t"))
+    theta = [F.lit(float(v)) for v in (model.r, model.alpha, model.a, model.b)]
+    return _log_likelihood(rows, theta).withColumnRenamed("i", "customer_id").drop("weight")
+
+
+def row_model(data: dict[str, np.ndarray], theta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihood of histories (x, tx, t) and its first and second derivatives by r, alpha, a, b."""
+    r, al, a, b = (float(v) for v in theta)
+    x, tx, t = data["x"], data["tx"], data["t"]
+    again = x > 0
+    rx, at, atx, last = r + x, al + t, al + tx, np.where(again, b + x - 1, 1.0)
+    (l_rx, p_rx, q_rx), (l_bx, p_bx, q_bx), (l_abx, p_abx, q_abx) = (polygammas(v) for v in (rx, b + x, a + b + x))
+    (l_r, p_r, q_r), (l_b, p_b, q_b), (l_ab, p_ab, q_ab) = (polygammas(np.array([v])) for v in (r, b, a + b))
+    log_t, log_tx = np.log(at), np.log(atx)
+    # Odds of having dropped out since the last purchase against being active; "out" and "in" are the two chances.
+    odds = np.where(again, np.log(a) - np.log(last) + rx * (log_t - log_tx), -np.inf)
+    out = np.where(odds > 0, 1 / (1 + np.exp(-np.abs(odds))), np.exp(-np.abs(odds)) / (1 + np.exp(-np.abs(odds))))
+    stay = 1 - out
+    ll = (l_rx - l_r) + (l_bx - l_b) - (l_abx - l_ab) + r * np.log(al) - rx * log_t + np.maximum(odds, 0) + np.log1p(np.exp(-np.abs(odds)))
+    none = np.zeros_like(x)
+    # Slopes of the two branches: active, dropped out.
+    active = np.stack([-log_t, -rx / at, none, none])
+    gone = np.stack([-log_tx, -rx / atx, none + 1 / a, -1 / last])
+    first = stay * active + out * gone
+    first += np.stack([p_rx - p_r + np.log(al), none + r / al, p_ab - p_abx, p_bx - p_b + p_ab - p_abx])
+    apart = gone - active
+    second = stay * out * apart[:, None] * apart[None]
+    second[0, 0] += q_rx - q_r
+    second[0, 1] += 1 / al - stay / at - out / atx
+    second[1, 0] = second[0, 1]
+    second[1, 1] += -r / al ** 2 + rx * (stay / at ** 2 + out / atx ** 2)
+    second[2, 2] += q_ab - q_abx - out / a ** 2
+    second[2, 3] += q_ab - q_abx
+    second[3, 2] = second[2, 3]
+    second[3, 3] += q_bx - q_b + q_ab - q_abx + out / last ** 2
+    return ll, first, second
+
+
 def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200) -> PurchaseModel:
     """Penalised maximum likelihood; ``converged`` tells whether the search ended at a maximum.
 
@@ -149,6 +190,6 @@ def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200) -> Purch
         _double("frequency").alias("x"), (_double("recency") * scale).alias("tx"), (_double("T") * scale).alias("t"),
         F.col("n").cast("double").alias("weight"),
     ))
-    found, _, converged = maximise(rows, _log_likelihood, (1.0, 1.0, 1.0, 1.0), penalizer, max_rounds)
+    found, _, converged = maximise(rows, row_model, (1.0, 1.0, 1.0, 1.0), penalizer, max_rounds)
     r, alpha, a, b = (float(v) for v in found)
     return PurchaseModel(r, alpha / scale, a, b, converged)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.config import Settings
-from ledgerlens.functions.special import digamma, ln_gamma
+from ledgerlens.functions.special import polygammas
 from ledgerlens.operators import bgnbd
 from ledgerlens.operators.likelihood import maximise
 from ledgerlens.operators.stability import materialise
@@ -32,21 +33,22 @@ def expected_spend(model: SpendModel) -> Column:
     return weight * m + (F.lit(1.0) - weight) * F.lit(model.p * model.v / (model.q - 1.0))
 
 
-def _log_likelihood(rows: DataFrame, theta: list[Column]) -> DataFrame:
-    """Row log-likelihood and gradient in the log-parameters (p, q, v)."""
-    x, m, p, q, v, px, total = (F.col(c) for c in ("x", "m", "p", "q", "v", "px", "total"))
-    staged = rows.select("i", "weight", "x", "m", *[value.alias(n) for n, value in zip(("p", "q", "v"), theta)])
-    staged = staged.select("*", (p * x).alias("px"), (x * m + v).alias("total"))
-    staged = staged.select("*", (px + q).alias("shape"), F.log("total").alias("log_total"))
-    staged = staged.select("*", digamma(F.col("shape")).alias("psi_shape"))
-    ll = (
-        ln_gamma(F.col("shape")) - ln_gamma(px) - ln_gamma(q) + q * F.log(v) + (px - 1) * F.log(m) + px * F.log(x)
-        - F.col("shape") * F.col("log_total")
-    )
-    d_p = x * (F.col("psi_shape") - digamma(px) + F.log(m) + F.log(x) - F.col("log_total"))
-    d_q = F.col("psi_shape") - digamma(q) + F.log(v) - F.col("log_total")
-    d_v = q / v - F.col("shape") / total
-    return staged.select("i", "weight", ll.alias("ll"), (p * d_p).alias("g0"), (q * d_q).alias("g1"), (v * d_v).alias("g2"))
+def row_model(data: dict[str, np.ndarray], theta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-likelihood of mean amounts m over x purchases and its first and second derivatives by p, q, v."""
+    p, q, v = (float(value) for value in theta)
+    x, m = data["x"], data["m"]
+    px, total = p * x, x * m + v
+    shape, log_total, log_m, log_x = px + q, np.log(total), np.log(m), np.log(x)
+    (l_s, p_s, q_s), (l_px, p_px, q_px) = polygammas(shape), polygammas(px)
+    l_q, p_q, q_q = (value[0] for value in polygammas(np.array([q])))
+    ll = l_s - l_px - l_q + q * np.log(v) + (px - 1) * log_m + px * log_x - shape * log_total
+    first = np.stack([x * (p_s - p_px + log_m + log_x - log_total), p_s - p_q + np.log(v) - log_total, q / v - shape / total])
+    second = np.empty((3, 3, len(x)))
+    second[0, 0], second[1, 1], second[2, 2] = x * x * (q_s - q_px), q_s - q_q, shape / total ** 2 - q / v ** 2
+    second[0, 1] = second[1, 0] = x * q_s
+    second[0, 2] = second[2, 0] = -x / total
+    second[1, 2] = second[2, 1] = 1 / v - 1 / total
+    return ll, first, second
 
 
 def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200, unit: float = 1.0) -> SpendModel:
@@ -62,7 +64,7 @@ def fit(rfm: DataFrame, penalizer: float = 0.01, max_rounds: int = 200, unit: fl
                  (F.col("monetary_value").cast("double") / F.lit(float(unit))).alias("m"))
         .agg(F.count(F.lit(1)).cast("double").alias("weight"))
     )
-    found, _, converged = maximise(rows, _log_likelihood, (1.0, 1.5, 1.0), penalizer, max_rounds)
+    found, _, converged = maximise(rows, row_model, (1.0, 1.5, 1.0), penalizer, max_rounds)
     p, q, v = (float(value) for value in found)
     return SpendModel(p, q, v * unit, converged)
 

@@ -1,8 +1,11 @@
-"""Materialise an intermediate once so that everything derived from it agrees."""
+"""Materialise an intermediate once so that everything derived from it agrees; code for the workers."""
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +39,20 @@ def landed(df: DataFrame) -> DataFrame:
 
 def partition_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per session, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if getattr(context, "_ledgerlens_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.path.isdir(root):
+        handle, path = tempfile.mkstemp(prefix="ledgerlens-", suffix=".zip")
+        with os.fdopen(handle, "wb") as raw, zipfile.ZipFile(raw, "w") as package:
+            for folder, _, files in sorted(os.walk(root)):
+                for name in sorted(f for f in files if f.endswith(".py")):
+                    full = os.path.join(folder, name)
+                    package.write(full, os.path.join("ledgerlens", os.path.relpath(full, root)))
+        context.addPyFile(path)
+    context._ledgerlens_shipped = True

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import asdict
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import bgnbd, gamma_gamma, metrics
+from ledgerlens.operators import bgnbd, gamma_gamma, likelihood, metrics
 from ledgerlens.plans.catalog import inputs
 from ledgerlens.plans.catalog.registry import SETTINGS, fragment, query
 
@@ -162,3 +164,54 @@ def value_fit_purchases(spark, sf):
 def value_fit_spend(spark, sf):
     """Amounts of the test tables are in the ten-millions, hence the unit of the penalty."""
     return _as_row(spark, gamma_gamma.fit(inputs.rfm(spark, sf), SETTINGS.penalizer, unit=10_000_000.0))
+
+
+# --- likelihoods at a fixed point: the sums that the fits run on ---------------------------------
+
+STEP = 1e-3  # of the logarithms, for the differences in SQL
+
+
+def _difference_points(theta):
+    """(what, weight, parameters): points whose weighted sum is the value, a slope or a curvature by the logarithms."""
+    k = len(theta)
+    at = lambda *moves: [v * float(np.exp(STEP * sum(m for j, m in moves if j == i))) for i, v in enumerate(theta)]
+    yield from [("value", 1.0, at())]
+    for i in range(k):
+        yield from ((f"slope{i}", s / (2 * STEP), at((i, s))) for s in (1, -1))
+        yield from ((f"bend{i}{i}", w / STEP ** 2, at((i, s))) for s, w in ((1, 1), (0, -2), (-1, 1)))
+    for i, j in itertools.combinations(range(k), 2):
+        yield from ((f"bend{i}{j}", s * u / (4 * STEP ** 2), at((i, s), (j, u))) for s in (1, -1) for u in (1, -1))
+
+
+def _likelihood_sql(label, names, theta, ll, source):
+    points = ", ".join(f"('{what}', {weight!r}::DOUBLE, {', '.join(f'{v!r}::DOUBLE' for v in at)})" for what, weight, at in _difference_points(theta))
+    return (f"SELECT '{label}' AS model, what, round(sum(weight * m), 4) AS amount FROM (SELECT what, weight, {', '.join(names)}, avg({ll}) AS m "
+            f"FROM (VALUES {points}) AS p(what, weight, {', '.join(names)}), ({source}) GROUP BY ALL) GROUP BY 1, 2")
+
+
+_BUY_LL = """lgamma(r + x) - lgamma(r) + r * ln(al) + lgamma(a + b) - lgamma(a + b + x) + lgamma(b + x) - lgamma(b) - (r + x) * ln(al + t)
+ + CASE WHEN x > 0 THEN ln(1 + exp(ln(a) - ln(b + x - 1) + (r + x) * (ln(al + t) - ln(al + tx)))) ELSE 0 END"""
+_SPEND_LL = """lgamma(p * x + q) - lgamma(p * x) - lgamma(q) + q * ln(v) + (p * x - 1) * ln(m) + p * x * ln(x) - (p * x + q) * ln(x * m + v)"""
+
+
+@query("value_likelihood_derivatives",
+       _likelihood_sql("purchases", ("r", "al", "a", "b"), (BUY.r, BUY.alpha, BUY.a, BUY.b), _BUY_LL,
+                       "SELECT frequency::DOUBLE AS x, recency::DOUBLE AS tx, T::DOUBLE AS t FROM rfm")
+       + " UNION ALL " + _likelihood_sql("spend", ("p", "q", "v"), (SPEND.p, SPEND.q, 1.5), _SPEND_LL,
+                                         "SELECT frequency::DOUBLE AS x, monetary_value / 1e7::DOUBLE AS m FROM rfm WHERE frequency > 0 AND monetary_value > 0"),
+       ["rfm"])
+def value_likelihood_derivatives(spark, sf):
+    """Mean log-likelihood, slopes and curvatures of both models at fixed parameters; the SQL takes differences."""
+    rfm = inputs.rfm(spark, sf)
+    double = lambda name, unit=1.0: (F.col(name).cast("double") / unit)
+    bought = rfm.select(double("frequency").alias("x"), double("recency").alias("tx"), double("T").alias("t"), F.lit(1.0).alias("weight"))
+    spent = rfm.where("frequency > 0 and monetary_value > 0").select(
+        double("frequency").alias("x"), double("monetary_value", 1e7).alias("m"), F.lit(1.0).alias("weight"))
+    out = []
+    for label, rows, model, theta in (("purchases", bought, bgnbd.row_model, (BUY.r, BUY.alpha, BUY.a, BUY.b)),
+                                      ("spend", spent, gamma_gamma.row_model, (SPEND.p, SPEND.q, 1.5))):
+        value, slopes, bends = likelihood.by_logarithms(np.log(theta), likelihood.evaluate(rows, model, [theta])[0])
+        out.append((label, "value", float(value)))
+        out += [(label, f"slope{i}", float(v)) for i, v in enumerate(slopes)]
+        out += [(label, f"bend{i}{j}", float(bends[i, j])) for i in range(len(theta)) for j in range(i, len(theta))]
+    return spark.createDataFrame(out, "model string, what string, amount double").withColumn("amount", F.round("amount", 4))

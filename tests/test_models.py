@@ -6,7 +6,7 @@ from pyspark.ml.clustering import GaussianMixtureModel
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import bgnbd, boosting, conformal, gamma_gamma, segments, stacking
+from ledgerlens.operators import bgnbd, boosting, conformal, gamma_gamma, likelihood, segments, stacking
 from ledgerlens.operators.stability import materialise
 from ledgerlens.sources.store import TableStore
 
@@ -54,6 +54,43 @@ def test_spend_model_recovers_planted_parameters(spark):
     assert found.q == pytest.approx(q, rel=0.2)
 
 
+def test_fits_need_few_rounds_and_tell_when_they_stop_early(rfm, monkeypatch):
+    rounds, evaluate = [], likelihood.evaluate
+    monkeypatch.setattr(likelihood, "evaluate", lambda rows, model, points: rounds.append(len(points)) or evaluate(rows, model, points))
+    assert bgnbd.fit(rfm, penalizer=0.0).converged and len(rounds) < 8
+    assert not bgnbd.fit(rfm, penalizer=0.0, max_rounds=2).converged
+    rounds.clear()
+    assert gamma_gamma.fit(rfm, penalizer=0.01).converged and len(rounds) < 9
+    assert not gamma_gamma.fit(rfm, penalizer=0.01, max_rounds=1).converged
+
+
+@pytest.mark.parametrize("model,theta", [(bgnbd.row_model, (0.7, 12.0, 1.3, 2.1)), (gamma_gamma.row_model, (5.0, 3.5, 14.0))])
+def test_row_derivatives_equal_differences(model, theta):
+    draw = np.random.default_rng(3)
+    x = draw.integers(1, 40, 50).astype(float)
+    data = {"x": x, "t": x * 9 + 50, "tx": x * 9, "m": draw.lognormal(3, 1, 50), "weight": np.ones(50)}
+    if model is bgnbd.row_model:
+        data["x"][::4] = 0.0
+    theta = np.array(theta)
+    _, first, second = model(data, theta)
+    for i in range(len(theta)):
+        step = np.zeros(len(theta))
+        step[i] = 1e-5 * theta[i]
+        (up, up1, _), (down, down1, _) = model(data, theta + step), model(data, theta - step)
+        assert np.allclose(first[i], (up - down) / (2 * step[i]), rtol=1e-5, atol=1e-6)
+        assert np.allclose(second[i], (up1 - down1) / (2 * step[i]), rtol=1e-5, atol=1e-6)
+
+
+def test_array_and_column_likelihoods_agree(rfm):
+    part = rfm.where("customer_id < 300")
+    mean = bgnbd.log_likelihood(part, TRUE).agg(F.avg("ll"), *[F.avg(f"g{i}") for i in range(4)]).first()
+    rows = part.select(F.col("frequency").cast("double").alias("x"), F.col("recency").cast("double").alias("tx"),
+                       F.col("T").cast("double").alias("t"), F.lit(1.0).alias("weight"))
+    theta = (TRUE.r, TRUE.alpha, TRUE.a, TRUE.b)
+    value, slopes, _ = likelihood.by_logarithms(np.log(theta), likelihood.evaluate(rows, bgnbd.row_model, [theta])[0])
+    assert [value, *slopes] == pytest.approx(list(mean), rel=1e-7)
+
+
 def test_scoring_identities(rfm):
     scored = rfm.select("frequency", bgnbd.p_alive(TRUE).alias("alive"), *[
         bgnbd.expected_purchases(TRUE, d).alias(f"e{d}") for d in (1, 30, 365)])
