@@ -8,13 +8,13 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.quadrature import logit_rule
 from ledgerlens.functions.special import digamma, ln_gamma, polygammas
 from ledgerlens.operators.likelihood import maximise
-from ledgerlens.operators.stability import materialise
+from ledgerlens.operators.stability import materialise, ship
 from ledgerlens.schemas import require_columns
 
 
@@ -55,6 +55,7 @@ def active_purchases(model: PurchaseModel, plans: Sequence[Sequence[tuple[float,
     or t is long.  Evaluated in Arrow batches: one array operation covers all nodes of many rows.
     """
     longest = max((days for plan in plans for days, _ in plan), default=1.0)
+    ship(SparkSession.active())
     rule = logit_rule(model.a, model.b, longest * max(1.0, model.r / model.alpha))
     alpha, r, inverse = model.alpha, model.r, 1.0 / rule.p
     names = [f"p{i}" for i in range(len(plans))]
@@ -67,8 +68,7 @@ def active_purchases(model: PurchaseModel, plans: Sequence[Sequence[tuple[float,
             here = slice(at, at + slice_rows)
             x = frequency.to_numpy(np.float64, na_value=np.nan)[here, None]
             pace = rule.p / (alpha + age.to_numpy(np.float64, na_value=np.nan)[here, None])
-            weight = rule.log_weight + x * rule.log_rest
-            weight = np.exp(weight - weight.max(axis=1, keepdims=True))
+            weight = rule.weights(x[:, 0])
             known: dict[float, np.ndarray] = {}
             for i, plan in enumerate(plans):
                 total = np.zeros_like(weight)

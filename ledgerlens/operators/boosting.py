@@ -24,15 +24,24 @@ VECTOR = "_inputs"
 
 @dataclass(frozen=True)
 class BoostParams:
-    """Published defaults.  Depth 5 stands for 31 leaves; L1/L2 penalties have no Spark counterpart."""
+    """Published defaults.  ``max_depth`` −1: no limit but ``num_leaves``.
+
+    Spark's own trees (this module) know neither leaf limits nor penalties: there the depth of as many leaves stands for the limit.
+    """
 
     n_estimators: int = 500
     learning_rate: float = 0.05
-    max_depth: int = 5
+    max_depth: int = -1
     min_child_samples: int = 20
     subsample: float = 0.8
     colsample: float = 0.8
     seed: int = 42
+    num_leaves: int = 31
+    reg_alpha: float = 0.1
+    reg_lambda: float = 0.1
+
+    def levels(self) -> int:
+        return self.max_depth if self.max_depth >= 0 else max(1, math.ceil(math.log2(self.num_leaves)))
 
 
 TWO_ARM = BoostParams(n_estimators=300, max_depth=6)
@@ -56,7 +65,7 @@ def vectors(df: DataFrame, inputs: Sequence[str]) -> DataFrame:
 def estimator(label: str, params: BoostParams) -> GBTRegressor:
     return GBTRegressor(
         featuresCol=VECTOR, labelCol=label, maxIter=params.n_estimators, stepSize=params.learning_rate,
-        maxDepth=params.max_depth, minInstancesPerNode=params.min_child_samples, subsamplingRate=params.subsample,
+        maxDepth=params.levels(), minInstancesPerNode=params.min_child_samples, subsamplingRate=params.subsample,
         featureSubsetStrategy="all" if params.colsample >= 1.0 else str(params.colsample), seed=params.seed,
         checkpointInterval=10,
     )
@@ -98,7 +107,7 @@ def tune(df: DataFrame, inputs: Sequence[str], label: str, trials: Sequence[Boos
              ("minInstancesPerNode", "min_child_samples"), ("subsamplingRate", "subsample"))
     maps = []
     for trial in trials:
-        options = {base.getParam(spark_name): getattr(trial, ours) for spark_name, ours in names}
+        options = {base.getParam(spark_name): trial.levels() if ours == "max_depth" else getattr(trial, ours) for spark_name, ours in names}
         options[base.featureSubsetStrategy] = "all" if trial.colsample >= 1.0 else str(trial.colsample)
         maps.append(options)
     search = CrossValidator(

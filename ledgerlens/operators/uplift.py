@@ -66,7 +66,8 @@ def qini_curve(df: DataFrame, outcome: str, score: str, treatment: str = "treatm
 
 def fit_t_learner(df: DataFrame, inputs, outcome: str, treatment: str = "treatment", params=None):
     """One boosted regressor per arm: (treated model, control model)."""
-    from ledgerlens.operators.boosting import TWO_ARM, train
+    from ledgerlens.operators.boosting import TWO_ARM
+    from ledgerlens.operators.forest import train
     settings = params or TWO_ARM
     return (
         train(df.where(F.col(treatment) == 1), inputs, outcome, settings),
@@ -88,7 +89,7 @@ def cross_fitted(df: DataFrame, inputs, outcome: str, treatment: str = "treatmen
 
 def predict_uplift(models, df: DataFrame, inputs) -> DataFrame:
     """df plus ``uplift_score`` = treated prediction − control prediction; both models score the same row."""
-    from ledgerlens.operators.boosting import predict
+    from ledgerlens.operators.forest import predict
     treated, control = models
     scored = predict(control, predict(treated, df, inputs, "_treated"), inputs, "_control")
     return scored.withColumn("uplift_score", F.col("_treated") - F.col("_control")).drop("_treated", "_control")

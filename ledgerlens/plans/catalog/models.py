@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import factorial
+from uuid import uuid4
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.splits import conformal_part, fold_id
-from ledgerlens.operators import boosting, conformal, stacking, uplift
-from ledgerlens.operators.stability import materialise
-from ledgerlens.plans.catalog import customers, inputs
+from ledgerlens.operators import bgnbd, boosting, conformal, forest, gamma_gamma, search, stacking, uplift
+from ledgerlens.operators.stability import checkpoint_folder, materialise, ship
+from ledgerlens.plans.catalog import customers, inputs, value
 from ledgerlens.plans.catalog.evaluation import HASH, pairs
 from ledgerlens.plans.catalog.registry import SETTINGS, fragment, query
-
-SMALL = boosting.BoostParams(n_estimators=10, learning_rate=0.2, max_depth=4, colsample=1.0)
-SMALL_SPACE = {**boosting.SEARCH_SPACE, "n_estimators": (4, 8), "max_depth": (3, 4), "learning_rate": (0.1, 0.3)}
-
+from ledgerlens.sources.store import TableStore
 
 @query("split_folds", f"SELECT c_custkey AS customer_id, CAST({HASH.format(salt='fold', key='c_custkey')} % 5 AS INTEGER) AS fold FROM customer")
 def split_folds(spark, sf):
@@ -182,9 +184,94 @@ def attribution_global_importance(spark, sf):
     return boosting.global_importance(linear_parts(spark, sf)).withColumn("importance", F.round("importance", 5))
 
 
-# --- fits (checked by rows and by property tests) ----------------------------------------------
+# --- trees written down by hand: what is exact about a model, in SQL -----------------------------
+
+TREE_INPUTS = ("frequency", "recency", "T")
+BY_HAND = (
+    ("frequency", 3.5, ("recency", 400.0, (120.0, 30.0), (340.0, 20.0)),
+     ("T", 1500.0, (90.0, 10.0), ("frequency", 9.5, (410.0, 25.0), (700.0, 15.0)))),
+    ("T", 1000.0, (-50.0, 40.0), ("recency", 900.0, (15.5, 35.0), ("T", 1700.5, (260.0, 15.0), (31.0, 10.0)))),
+    ("recency", 200.0, ("frequency", 1.5, (-20.0, 12.0), (33.0, 18.0)), ("T", 1700.5, (5.0, 44.0), (88.0, 26.0))),
+)
+OTHER_ARM = (("T", 1200.0, (60.0, 50.0), ("frequency", 5.5, (-10.0, 20.0), (25.0, 30.0))),)
+
+
+def _cover(node):
+    return node[1] if len(node) == 2 else _cover(node[2]) + _cover(node[3])
+
+
+def tree_sql(node, known=TREE_INPUTS):
+    """The tree's value where the inputs in ``known`` are known: the others go both ways, by their shares of training rows."""
+    if len(node) == 2:
+        return f"{node[0]}::DOUBLE"
+    name, cut, left, right = node
+    a, b = tree_sql(left, known), tree_sql(right, known)
+    if name in known:
+        return f"(CASE WHEN {name} <= {cut} THEN {a} ELSE {b} END)"
+    return f"(({_cover(left)}::DOUBLE * {a} + {_cover(right)}::DOUBLE * {b}) / {_cover(left) + _cover(right)}::DOUBLE)"
+
+
+def forest_sql(trees, base, known=TREE_INPUTS):
+    return " + ".join([f"{base}::DOUBLE", *(tree_sql(t, known) for t in trees)])
+
+
+def shapley_sql(trees, base, name):
+    """Σ over subsets of the other inputs of |S|!(d−|S|−1)!/d! times what knowing ``name`` adds."""
+    others, d, terms = [n for n in TREE_INPUTS if n != name], len(TREE_INPUTS), []
+    for size in range(len(others) + 1):
+        weight = factorial(size) * factorial(d - size - 1) / factorial(d)
+        terms += [f"{weight!r}::DOUBLE * (({forest_sql(trees, base, (*s, name))}) - ({forest_sql(trees, base, s)}))" for s in combinations(others, size)]
+    return " + ".join(terms)
+
+
+def by_hand(trees=BY_HAND, base=1000.0):
+    return forest.from_nested(TREE_INPUTS, base, trees)
+
+
+@query("attribution_tree_exact", " UNION ALL ".join(
+    f"SELECT customer_id, '{n}' AS feature, round({shapley_sql(BY_HAND, 1000.0, n)}, 6) AS contribution, "
+    f"round({forest_sql(BY_HAND, 1000.0, ())}, 6) AS base_value FROM rfm" for n in TREE_INPUTS), ["rfm"])
+def attribution_tree_exact(spark, sf):
+    """Attributions by path integrals; the SQL enumerates all subsets of the inputs."""
+    return forest.attributions(by_hand(), inputs.rfm(spark, sf), TREE_INPUTS).withColumns(
+        {"contribution": F.round("contribution", 6), "base_value": F.round("base_value", 6)})
+
+
+@query("store_forest_reloaded", f"SELECT customer_id, {forest_sql(BY_HAND, 1000.0)} AS prediction FROM rfm", ["rfm"])
+def store_forest_reloaded(spark, sf):
+    """Trees stored as a table, loaded and applied."""
+    store = TableStore(spark, f"{checkpoint_folder(spark)}/store-{uuid4().hex}")
+    store.write("model", by_hand().table(spark).repartition(3))
+    model = forest.from_table(store.read("model"), TREE_INPUTS)
+    return forest.predict(model, inputs.rfm(spark, sf), TREE_INPUTS).select("customer_id", "prediction")
+
+
+@query("uplift_stored_arms", f"""
+ SELECT customer_id, ({forest_sql(BY_HAND, 1000.0)}) - ({forest_sql(OTHER_ARM, 900.0)}) AS uplift_score FROM rfm""", ["rfm"])
+def uplift_stored_arms(spark, sf):
+    """The treated model's prediction less the control model's, value by value."""
+    arms = (by_hand(), by_hand(OTHER_ARM, 900.0))
+    return uplift.predict_uplift(arms, inputs.rfm(spark, sf), TREE_INPUTS).select("customer_id", "uplift_score")
+
+
+@query("store_value_models_reloaded", """
+ SELECT customer_id, round(predicted_purchases, 7) AS predicted_purchases, round(p_alive, 9) AS p_alive,
+   round(predicted_clv, 0) AS predicted_clv FROM predictions""", ["predictions"])
+def store_value_models_reloaded(spark, sf):
+    """Purchase and spend model stored, loaded and applied."""
+    store = TableStore(spark, f"{checkpoint_folder(spark)}/store-{uuid4().hex}")
+    store.write_params("model_purchases", value.BUY)
+    store.write_params("model_spend", value.SPEND)
+    scored = gamma_gamma.predict_all(
+        inputs.rfm(spark, sf), store.read_params("model_purchases", bgnbd.PurchaseModel), store.read_params("model_spend", gamma_gamma.SpendModel), SETTINGS)
+    return scored.select("customer_id", F.round("predicted_purchases", 7).alias("predicted_purchases"),
+                         F.round("p_alive", 9).alias("p_alive"), F.round("predicted_clv", 0).alias("predicted_clv"))
+
+
+# --- fits at the published sizes -------------------------------------------------------------------
 
 MATRIX_INPUTS = ("frequency", "recency", "T", "monetary_value", "n_orders", "n_products", "avg_order_value", "return_rate")
+PUBLISHED = boosting.BoostParams(seed=SETTINGS.seed)
 
 
 def training_matrix(spark, sf):
@@ -195,34 +282,108 @@ def training_matrix(spark, sf):
 @query("boost_predictions")
 def boost_predictions(spark, sf):
     matrix = training_matrix(spark, sf)
-    model = boosting.train(matrix, MATRIX_INPUTS, "target", SMALL)
-    return boosting.predict(model, matrix, MATRIX_INPUTS).select("customer_id", "target", "prediction")
+    model = forest.train(matrix, MATRIX_INPUTS, "target", PUBLISHED)
+    return forest.predict(model, matrix, MATRIX_INPUTS).select("customer_id", "target", "prediction")
+
+
+SPLIT_INPUTS = ("frequency", "active_months", "cohort_index")
+_WORTH = "(greatest(abs({g}) - 0.1::DOUBLE, 0) * greatest(abs({g}) - 0.1::DOUBLE, 0) / ({n} + 0.1::DOUBLE))"
+
+
+@query("boost_first_split", f"""
+ WITH y AS (SELECT f.*, coalesce(holdout_revenue, 0.0::DOUBLE) AS y FROM features f LEFT JOIN actuals USING (customer_id)),
+ g AS (SELECT y.*, m - y AS g FROM y, (SELECT avg(y) AS m FROM y)),
+ v AS ({" UNION ALL ".join(f"SELECT {i} AS place, '{c}' AS feature, {c}::DOUBLE AS x, g FROM g" for i, c in enumerate(SPLIT_INPUTS))}),
+ d AS (SELECT place, feature, x, count(*) AS n, sum(g) AS g FROM v GROUP BY ALL),
+ c AS (SELECT place, feature, x, lead(x) OVER w AS next, sum(n) OVER w AS n, sum(g) OVER w AS g,
+   sum(n) OVER (PARTITION BY place) AS all_n, sum(g) OVER (PARTITION BY place) AS all_g FROM d WINDOW w AS (PARTITION BY place ORDER BY x)),
+ s AS (SELECT *, {_WORTH.format(g='g', n='n')} + {_WORTH.format(g='(all_g - g)', n='(all_n - n)')} - {_WORTH.format(g='all_g', n='all_n')} AS gain
+   FROM c WHERE next IS NOT NULL AND n >= 20 AND all_n - n >= 20)
+ SELECT feature, (x + next) / 2 AS threshold, round(-sign(g) * greatest(abs(g) - 0.1::DOUBLE, 0) / (n + 0.1::DOUBLE), 2) AS left_value,
+   round(-sign(all_g - g) * greatest(abs(all_g - g) - 0.1::DOUBLE, 0) / (all_n - n + 0.1::DOUBLE), 2) AS right_value,
+   CAST(n AS DOUBLE) AS left_rows FROM s ORDER BY gain DESC, place, x LIMIT 1""", ["features", "actuals"])
+def boost_first_split(spark, sf):
+    """The first split of a fitted model under both penalties; the SQL tries every border of every input."""
+    table = inputs.customer_features(spark, sf).join(inputs.actuals(spark, sf), "customer_id", "left").withColumn(
+        "target", F.coalesce("holdout_revenue", F.lit(0.0)))
+    one = boosting.BoostParams(n_estimators=1, learning_rate=1.0, num_leaves=2, subsample=1.0, colsample=1.0)
+    nodes = forest.train(table, SPLIT_INPUTS, "target", one).table(spark).where("tree = 0")
+    side = lambda name: nodes.select(F.col("node").alias(name), F.col("value").alias(f"{name}_value"), F.col("cover").alias(f"{name}_rows"))
+    return nodes.where("node = 0").join(side("left"), "left").join(side("right"), "right").select(
+        "feature", "threshold", F.round("left_value", 2).alias("left_value"), F.round("right_value", 2).alias("right_value"), "left_rows")
 
 
 @query("boost_search")
 def boost_search(spark, sf):
-    trials = boosting.draw_trials(2, SETTINGS.seed, SMALL_SPACE)
-    best, errors = boosting.tune(training_matrix(spark, sf), MATRIX_INPUTS, "target", trials, SETTINGS.folds)
-    return spark.createDataFrame(
-        [(i, t.n_estimators, t.learning_rate, t.max_depth, float(e), t == best) for i, (t, e) in enumerate(zip(trials, errors))],
-        "trial int, n_estimators int, learning_rate double, max_depth int, mae double, chosen boolean")
+    """The published search: 30 trials over five folds."""
+    best, trials = search.search(training_matrix(spark, sf), MATRIX_INPUTS, "target", SETTINGS.tuning_trials, SETTINGS.seed, SETTINGS.folds)
+    table = search.trial_table(spark, trials, SETTINGS.seed)
+    chosen = next(t.trial for t in trials if search.params_of(t.unit, SETTINGS.seed) == best)
+    return table.withColumn("chosen", F.col("trial") == chosen)
+
+
+STUDY_NAMES = ("learning_rate", "num_leaves")
+_HEX = "CAST('0x' || substr(md5({text}), {at}, {n}) AS BIGINT)"
+_KEY = "'42:' || next_trial || ':' || name || ':{what}' || c"
+_UNIFORM = "(" + _HEX.format(text=_KEY, at=1, n=8) + " / 4294967296.0::DOUBLE)"
+_NORMAL = "(((" + " + ".join(_HEX.format(text=_KEY, at=4 * i + 1, n=4) for i in range(8)) + ") / 65536.0::DOUBLE - 4) / sqrt(8.0::DOUBLE / 12))"
+_KERNEL = "exp(-0.5::DOUBLE * pow((x - {m}) / width, 2))"
+_DENSITY = f"(1 + sum({' + '.join(_KERNEL.format(m=m) for m in ('u', '(-u)', '(2 - u)'))}) / (any_value(width) * sqrt(2 * pi()))) / (count(*) + 1)"
+
+
+@query("boost_search_proposals", f"""
+ WITH t AS (SELECT c_nationkey AS study, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS trial,
+   (c_custkey * 7919 % 1009) / 1009.0::DOUBLE AS learning_rate, (c_custkey * 104729 % 2003) / 2003.0::DOUBLE AS num_leaves,
+   (c_custkey * 31 % 977)::DOUBLE AS loss, c_custkey % 6 <> 0 AS finished FROM customer),
+ r AS (SELECT *, row_number() OVER (PARTITION BY study ORDER BY finished DESC, loss, trial) AS place, count(*) OVER (PARTITION BY study) AS n FROM t),
+ p AS MATERIALIZED (
+  SELECT study, name, place, n AS next_trial, least(CAST(ceil(0.1::DOUBLE * n) AS BIGINT), 25) AS top, place <= least(CAST(ceil(0.1::DOUBLE * n) AS BIGINT), 25) AS good,
+   CASE name WHEN 'learning_rate' THEN learning_rate ELSE num_leaves END AS u FROM r, (SELECT unnest(['learning_rate', 'num_leaves']) AS name) WHERE n >= 10),
+ w AS MATERIALIZED (SELECT study, name, good, any_value(next_trial) AS next_trial, any_value(top) AS top,
+   greatest(1.06::DOUBLE * sqrt(greatest(0, avg(u * u) - avg(u) * avg(u))) * pow(count(*), -0.2::DOUBLE), 1 / (1.0::DOUBLE + count(*))) AS width FROM p GROUP BY 1, 2, 3),
+ k AS (SELECT study, name, width, c, next_trial, top, CAST(floor({_UNIFORM.format(what='kernel')} * (top + 1)) AS BIGINT) AS kernel,
+   {_UNIFORM.format(what='flat')} AS flat, {_NORMAL.format(what='normal')} AS z FROM w, (SELECT unnest(range(24)) AS c) WHERE good),
+ m AS (SELECT k.*, CASE WHEN kernel = k.top THEN flat ELSE u + width * z END AS raw FROM k LEFT JOIN p ON p.study = k.study AND p.name = k.name AND place = kernel + 1),
+ x AS MATERIALIZED (SELECT study, name, c, CASE WHEN kernel = top THEN raw WHEN raw - 2 * floor(raw / 2) > 1 THEN 2 - (raw - 2 * floor(raw / 2)) ELSE raw - 2 * floor(raw / 2) END AS x FROM m),
+ d AS (SELECT x.study, x.name, c, any_value(x) AS pt, p.good, ln({_DENSITY}) AS density FROM x JOIN p ON p.study = x.study AND p.name = x.name
+   JOIN w ON w.study = x.study AND w.name = x.name AND w.good = p.good GROUP BY x.study, x.name, c, p.good),
+ s AS (SELECT study, name, c, any_value(pt) AS x, sum(CASE WHEN good THEN density ELSE -density END) AS score FROM d GROUP BY 1, 2, 3)
+ SELECT study, name AS parameter, round(arg_max(x, score), 9) AS proposal FROM s GROUP BY 1, 2""")
+def boost_search_proposals(spark, sf):
+    """Next points of many searches, each from its trial table alone: a nation's customers stand for the trials of one."""
+    key = F.col("c_custkey")
+    table = spark.read.parquet(f"{sf}/customer.parquet").select(
+        F.col("c_nationkey").alias("study"), key.alias("key"), (key * 7919 % 1009 / 1009.0).alias("learning_rate"),
+        (key * 104729 % 2003 / 2003.0).alias("num_leaves"), (key * 31 % 977).cast("double").alias("loss"), (key % 6 != 0).alias("finished"))
+    ship(spark)
+
+    def next_point(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("key")
+        trials = [search.Trial(i, {n: getattr(r, n) for n in STUDY_NAMES}, r.loss, bool(r.finished)) for i, r in enumerate(rows.itertuples())]
+        if len(trials) < search.STARTS:
+            return pd.DataFrame({"study": [], "parameter": [], "proposal": []})
+        point = search.propose(trials, len(trials), SETTINGS.seed, STUDY_NAMES)
+        return pd.DataFrame({"study": rows["study"].iloc[0], "parameter": list(point), "proposal": list(point.values())})
+
+    found = table.groupBy("study").applyInPandas(next_point, f"study {table.schema['study'].dataType.simpleString()}, parameter string, proposal double")
+    return found.withColumn("proposal", F.round("proposal", 9))
 
 
 @query("boost_attributions")
 def boost_attributions(spark, sf):
     matrix = training_matrix(spark, sf)
-    model = boosting.train(matrix, MATRIX_INPUTS, "target", SMALL)
-    return boosting.attributions(model, matrix, MATRIX_INPUTS)
+    model = forest.train(matrix, MATRIX_INPUTS, "target", PUBLISHED)
+    return forest.attributions(model, matrix, MATRIX_INPUTS)
 
 
 @query("boost_attribution_totals", f"SELECT customer_id, {len(MATRIX_INPUTS)}::BIGINT AS n_features, true AS adds_up FROM features", ["features"])
 def boost_attribution_totals(spark, sf):
     """Base and contributions of a customer add up to the prediction."""
     matrix = training_matrix(spark, sf)
-    model = boosting.train(matrix, MATRIX_INPUTS, "target", SMALL)
-    totals = boosting.attributions(model, matrix, MATRIX_INPUTS).groupBy("customer_id").agg(
+    model = forest.train(matrix, MATRIX_INPUTS, "target", PUBLISHED)
+    totals = forest.attributions(model, matrix, MATRIX_INPUTS).groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("n_features"), (F.sum("contribution") + F.first("base_value")).alias("total"))
-    scored = boosting.predict(model, matrix, MATRIX_INPUTS).select("customer_id", "prediction")
+    scored = forest.predict(model, matrix, MATRIX_INPUTS).select("customer_id", "prediction")
     gap = F.abs(F.col("total") - F.col("prediction"))
     return totals.join(scored, "customer_id").select(
         "customer_id", "n_features", (gap <= F.abs("prediction") * 1e-9 + 1e-6).alias("adds_up"))
@@ -231,34 +392,44 @@ def boost_attribution_totals(spark, sf):
 @query("boost_split_importance")
 def boost_split_importance(spark, sf):
     matrix = training_matrix(spark, sf)
-    return boosting.split_importance(boosting.train(matrix, MATRIX_INPUTS, "target", SMALL), MATRIX_INPUTS)
+    return forest.split_importance(forest.train(matrix, MATRIX_INPUTS, "target", PUBLISHED), MATRIX_INPUTS)
 
 
 @query("stack_out_of_fold")
 def stack_out_of_fold(spark, sf):
-    return boosting.out_of_fold(training_matrix(spark, sf), MATRIX_INPUTS, "target", SMALL, SETTINGS.folds)
+    return forest.out_of_fold(training_matrix(spark, sf), MATRIX_INPUTS, "target", PUBLISHED, SETTINGS.folds)
+
+
+FOLD_SQL = f"CAST({HASH.format(salt='fold', key='customer_id')} % 5 AS INTEGER)"
 
 
 @query("stack_out_of_fold_rows", f"""
- SELECT customer_id, CAST({HASH.format(salt='fold', key='customer_id')} % 5 AS INTEGER) AS fold,
+ SELECT customer_id, {FOLD_SQL} AS fold,
    coalesce(holdout_revenue, 0.0::DOUBLE) AS target, 1::BIGINT AS predictions
  FROM features LEFT JOIN actuals USING (customer_id)""", ["features", "actuals"])
 def stack_out_of_fold_rows(spark, sf):
     """Every customer is predicted once, beside the own target."""
-    table = boosting.out_of_fold(training_matrix(spark, sf), MATRIX_INPUTS, "target", SMALL, SETTINGS.folds)
+    table = forest.out_of_fold(training_matrix(spark, sf), MATRIX_INPUTS, "target", PUBLISHED, SETTINGS.folds)
     return table.groupBy("customer_id", fold_id("customer_id", SETTINGS.folds).alias("fold"), "target").agg(
         F.count("oof").alias("predictions"))
 
 
+@query("stack_out_of_fold_means", f"""
+ WITH y AS (SELECT customer_id, {FOLD_SQL} AS fold, coalesce(holdout_revenue, 0.0::DOUBLE) AS target FROM features LEFT JOIN actuals USING (customer_id)),
+ f AS (SELECT fold, sum(target) AS s, count(*) AS n FROM y GROUP BY 1)
+ SELECT customer_id, target, round(((SELECT sum(s) FROM f) - s) / ((SELECT sum(n) FROM f) - n), 2) AS oof FROM y JOIN f USING (fold)""", ["features", "actuals"])
+def stack_out_of_fold_means(spark, sf):
+    """Models without trees: everybody gets the mean of the folds that are not their own."""
+    bare = boosting.BoostParams(n_estimators=0)
+    table = forest.out_of_fold(training_matrix(spark, sf), MATRIX_INPUTS, "target", bare, SETTINGS.folds)
+    return table.withColumn("oof", F.round("oof", 2))
+
+
 @query("store_models_reloaded", """
  SELECT customer_id, round((intercept + bgf * p2 + gbt * p) / 1000, 0) AS stacked_thousands, round(2 * half_width, 2) AS interval_width,
    n_calibration FROM pairs, ridge, half""", ["pairs", "ridge", "half"])
 def store_models_reloaded(spark, sf):
     """Stack and interval model fitted, stored, loaded and applied."""
-    from uuid import uuid4
-
-    from ledgerlens.operators.stability import checkpoint_folder
-    from ledgerlens.sources.store import TableStore
     store, table = TableStore(spark, f"{checkpoint_folder(spark)}/store-{uuid4().hex}"), stack_pairs(spark, sf)
     store.write_params("model_stack", stacking.fit(table, "y", "p2", "p"))
     store.write_params("model_intervals", conformal.calibrate(
@@ -273,7 +444,7 @@ def store_models_reloaded(spark, sf):
 @query("uplift_t_learner")
 def uplift_t_learner(spark, sf):
     matrix = materialise(uplift.assign_arms(training_matrix(spark, sf)))
-    models = uplift.fit_t_learner(matrix, MATRIX_INPUTS, "target", params=SMALL)
+    models = uplift.fit_t_learner(matrix, MATRIX_INPUTS, "target")
     return uplift.predict_uplift(models, matrix, MATRIX_INPUTS).select("customer_id", "uplift_score")
 
 
@@ -281,10 +452,10 @@ def uplift_t_learner(spark, sf):
 def uplift_difference_of_arms(spark, sf):
     """The score is the treated prediction less the control prediction, each made on its own."""
     matrix = materialise(uplift.assign_arms(training_matrix(spark, sf)))
-    models = uplift.fit_t_learner(matrix, MATRIX_INPUTS, "target", params=SMALL)
+    models = uplift.fit_t_learner(matrix, MATRIX_INPUTS, "target")
     scored = uplift.predict_uplift(models, matrix, MATRIX_INPUTS).select("customer_id", "uplift_score")
     for name, model in zip(("treated", "control"), models):
-        scored = scored.join(boosting.predict(model, matrix, MATRIX_INPUTS, name).select("customer_id", name), "customer_id")
+        scored = scored.join(forest.predict(model, matrix, MATRIX_INPUTS, name).select("customer_id", name), "customer_id")
     return scored.select("customer_id", (F.col("uplift_score") == F.col("treated") - F.col("control")).alias("equals_difference"))
 
 
@@ -292,7 +463,7 @@ def uplift_difference_of_arms(spark, sf):
 def interval_fitted_model(spark, sf):
     """Fit on the training part, calibrate on the next, report coverage on the last."""
     matrix = materialise(training_matrix(spark, sf).withColumn("part", conformal_part("customer_id")))
-    model = boosting.train(matrix.where(F.col("part") == "train"), MATRIX_INPUTS, "target", SMALL)
-    scored = boosting.predict(model, matrix.where(F.col("part") != "train"), MATRIX_INPUTS, "p")
+    model = forest.train(matrix.where(F.col("part") == "train"), MATRIX_INPUTS, "target", boosting.INTERVAL_BASE)
+    scored = forest.predict(model, matrix.where(F.col("part") != "train"), MATRIX_INPUTS, "p")
     half = conformal.calibrate(scored.where(F.col("part") == "calibration"), "target", "p", SETTINGS.conformal_alpha)
     return conformal.evaluate_coverage(conformal.with_intervals(scored.where(F.col("part") == "test"), half, "p"), "target")

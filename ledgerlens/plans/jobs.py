@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.config import Settings
 from ledgerlens.functions.splits import conformal_part
 from ledgerlens.operators import (
-    bgnbd, boosting, budget, cleaning, conformal, drift, explore, features, gamma_gamma, metrics, segments, stacking, uplift,
+    bgnbd, boosting, budget, cleaning, conformal, drift, explore, features, forest, gamma_gamma, metrics, search, segments, stacking, uplift,
 )
 from ledgerlens.operators.stability import landed
 from ledgerlens.plans import reports
@@ -29,12 +28,12 @@ class ModelPlan:
 
     trials: int | None = None  # None: as the settings say; 0: published defaults without a search
     search_space: dict | None = None
-    parallelism: int = 4
+    fit_rows: int = forest.FIT_ROWS  # labelled rows that a fit of trees takes at most
     # "oof": stack, intervals and comparison use predictions by models that have not seen the customer;
     # "passthrough": they use those of the final model, as published.
     stack_mode: str = "oof"
     uplift_folds: int = 5  # for the curve of held-out scores; 0 leaves only the curve of the fitted ones
-    attribution_permutations: int = 4
+    attribution_permutations: int = 4  # of no effect: attributions are exact
     two_arm: boosting.BoostParams = boosting.TWO_ARM
     interval_base: boosting.BoostParams = boosting.INTERVAL_BASE
     segment_starts: int = 5
@@ -44,6 +43,12 @@ def _inputs(matrix: DataFrame, *others: str) -> list[str]:
     return [c for c in matrix.columns if c not in ("customer_id", *others)]
 
 
+def _store_forest(store: TableStore, name: str, model: forest.Forest) -> None:
+    """A model as two tables: its nodes, and its inputs in order."""
+    store.write(name, model.table(store.spark).coalesce(1))
+    store.write(f"{name}_inputs", store.spark.createDataFrame(list(enumerate(model.inputs)), "position int, feature string").coalesce(1))
+
+
 def run_data(store: TableStore, raw: DataFrame, settings: Settings) -> None:
     """Land the lines, clean, split, and build every customer table."""
     # Landed once as Parquet: the later passes read two to four columns instead of parsing or joining again.
@@ -81,17 +86,18 @@ def run_value_models(store: TableStore, settings: Settings, plan: ModelPlan = Mo
     inputs = _inputs(matrix, "target_revenue")
     count = settings.tuning_trials if plan.trials is None else plan.trials
     if count > 0:
-        trials = boosting.draw_trials(count, settings.seed, plan.search_space or boosting.SEARCH_SPACE)
-        best, _ = boosting.tune(matrix, inputs, "target_revenue", trials, settings.folds, plan.parallelism)
+        space = plan.search_space or search.SPACE
+        best, trials = search.search(matrix, inputs, "target_revenue", count, settings.seed, settings.folds, space=space, fit_rows=plan.fit_rows)
+        store.write("boost_trials", search.trial_table(store.spark, trials, settings.seed, space))
     else:
         best = boosting.BoostParams(seed=settings.seed)
     store.write_params("boost_params", best)
-    model = boosting.train(matrix, inputs, "target_revenue", best)
-    store.write_model("model_boosting", model)
-    boosted = store.write("boosted_predictions", boosting.predict(model, matrix, inputs).select("customer_id", "prediction"))
+    model = forest.train(matrix, inputs, "target_revenue", best, plan.fit_rows)
+    _store_forest(store, "model_boosting", model)
+    boosted = store.write("boosted_predictions", forest.predict(model, matrix, inputs).select("customer_id", "prediction"))
 
     if plan.stack_mode == "oof":
-        level_one = boosting.out_of_fold(matrix, inputs, "target_revenue", best, settings.folds).withColumnRenamed("oof", "gbt")
+        level_one = forest.out_of_fold(matrix, inputs, "target_revenue", best, settings.folds, fit_rows=plan.fit_rows).withColumnRenamed("oof", "gbt")
     elif plan.stack_mode == "passthrough":
         level_one = matrix.select("customer_id", "target_revenue").join(
             boosted.withColumnRenamed("prediction", "gbt"), "customer_id")
@@ -117,8 +123,7 @@ def run_value_models(store: TableStore, settings: Settings, plan: ModelPlan = Mo
     if plan.stack_mode == "oof":
         comparison = comparison.unionByName(compared(known, "out-of-fold"))
     store.write("model_comparison", comparison)
-    store.write("attributions", boosting.attributions(
-        model, matrix, inputs, plan.attribution_permutations, settings.seed))
+    store.write("attributions", forest.attributions(model, matrix, inputs))
 
 
 def run_segmentation(store: TableStore, settings: Settings, plan: ModelPlan = ModelPlan()) -> None:
@@ -149,8 +154,8 @@ def run_uplift(store: TableStore, settings: Settings, plan: ModelPlan = ModelPla
     armed = everyone.where(F.col("treatment").isNotNull())
     store.write("uplift_arms", uplift.arm_summary(armed, "holdout_revenue"))
     models = uplift.fit_t_learner(armed, inputs, "holdout_revenue", params=plan.two_arm)
-    store.write_model("model_uplift_treated", models[0])
-    store.write_model("model_uplift_control", models[1])
+    _store_forest(store, "model_uplift_treated", models[0])
+    _store_forest(store, "model_uplift_control", models[1])
     scored = store.write("uplift_raw", uplift.predict_uplift(models, everyone, inputs).select(
         "customer_id", "uplift_score", "treatment", "holdout_revenue"))
     store.write("uplift_scores", uplift.rank_by_uplift(scored))
@@ -181,14 +186,14 @@ def run_intervals(store: TableStore, settings: Settings, plan: ModelPlan = Model
                         .withColumn("part", conformal_part("customer_id")))
     inputs = _inputs(known, "holdout_revenue", "part")
     params = replace(plan.interval_base, seed=settings.seed)
-    model = boosting.train(known.where(F.col("part") == "train"), inputs, "holdout_revenue", params)
-    store.write_model("model_interval_base", model)
-    scored = boosting.predict(model, known.where(F.col("part") != "train"), inputs, "center")
+    model = forest.train(known.where(F.col("part") == "train"), inputs, "holdout_revenue", params, plan.fit_rows)
+    _store_forest(store, "model_interval_base", model)
+    scored = forest.predict(model, known.where(F.col("part") != "train"), inputs, "center")
     half = conformal.calibrate(scored.where(F.col("part") == "calibration"), "holdout_revenue", "center", settings.conformal_alpha)
     store.write_params("model_intervals", half)
     test = conformal.with_intervals(scored.where(F.col("part") == "test"), half, "center")
     store.write("interval_coverage", conformal.evaluate_coverage(test, "holdout_revenue"))
-    everyone = boosting.predict(model, features.interval_matrix(table, unseen), inputs, "center")
+    everyone = forest.predict(model, features.interval_matrix(table, unseen), inputs, "center")
     ranges = conformal.with_intervals(everyone.select("customer_id", "center"), half, "center")
     store.write("clv_predictions_with_intervals", conformal.merge_intervals(final, ranges))
 
@@ -250,7 +255,7 @@ def run_evaluation(store: TableStore, settings: Settings) -> None:
     parts = store.read("attributions")
     store.write("attribution_importance", boosting.global_importance(parts))
     store.write("attribution_waterfall", boosting.waterfall(parts))
-    store.write("boosting_importance", boosting.split_importance(load_boosting(store), _inputs(matrix, "target_revenue")))
+    store.write("boosting_importance", forest.split_importance(load_boosting(store), _inputs(matrix, "target_revenue")))
     armed = store.read("uplift_raw").where(F.col("treatment").isNotNull())
     store.write("evaluation_qini", metrics.qini_coefficient(armed, "holdout_revenue", "uplift_score", "treatment"))
     scores = store.read("uplift_scores").join(top, "customer_id", "left").na.fill(0.0, ["predicted_clv"])
@@ -269,7 +274,7 @@ def score_customers(store: TableStore, table: DataFrame, settings: Settings = Se
     probabilities = gamma_gamma.predict_all(
         rfm, store.read_params("model_purchases", bgnbd.PurchaseModel), store.read_params("model_spend", gamma_gamma.SpendModel), settings)
     matrix = features.value_matrix(table, probabilities)
-    boosted = boosting.predict(load_boosting(store), matrix, _inputs(matrix)).select("customer_id", "prediction")
+    boosted = forest.predict(load_boosting(store), matrix, _inputs(matrix)).select("customer_id", "prediction")
     final = landed(stacking.final_predictions(matrix, probabilities, boosted, store.read_params("model_stack", stacking.StackModel)))
 
     base = final.join(rfm.select("customer_id", F.col("recency").alias("recency_days")), "customer_id", "left").na.fill(0, ["recency_days"])
@@ -282,7 +287,7 @@ def score_customers(store: TableStore, table: DataFrame, settings: Settings = Se
         "customer_id", "uplift_score")
 
     wide = features.interval_matrix(table, final)
-    centers = boosting.predict(load_boosting(store, "model_interval_base"), wide, _inputs(wide), "center").select("customer_id", "center")
+    centers = forest.predict(load_boosting(store, "model_interval_base"), wide, _inputs(wide), "center").select("customer_id", "center")
     ranges = conformal.with_intervals(centers, store.read_params("model_intervals", conformal.IntervalModel), "center")
     return conformal.merge_intervals(final, ranges).join(named, "customer_id", "left").join(lifted, "customer_id", "left")
 
@@ -301,5 +306,5 @@ def run_all(store: TableStore, raw: DataFrame, settings: Settings = Settings(),
     run_evaluation(store, settings)
 
 
-def load_boosting(store: TableStore, name: str = "model_boosting") -> GBTRegressionModel:
-    return store.read_model(name, GBTRegressionModel)
+def load_boosting(store: TableStore, name: str = "model_boosting") -> forest.Forest:
+    return forest.from_table(store.read(name), [r["feature"] for r in store.read(f"{name}_inputs").orderBy("position").collect()])

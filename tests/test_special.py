@@ -73,7 +73,8 @@ def exact_purchases(r, alpha, a, b, x, age, days):
     (0.25, 1e-4, 0.8, 2.4, 0, 0, 720), (0.25, 1e-4, 0.8, 2.4, 300, 700, 720), (0.6, 7.2e-7, 1.5, 2.55, 0, 0, 720),
     (0.6, 60.0, 1.0001, 2.5, 2, 30, 365), (2.2, 10.0, 0.3, 0.4, 3, 100, 3650), (0.05, 1e-6, 2.3, 0.7, 0, 0, 720),
     (1.3, 5.0, 6.2, 9.1, 1200, 1500, 360), (0.25, 4.0, 0.1, 0.15, 12, 400, 30), (0.6, 7.2e-7, 1.5, 2.55, 7, 0.001, 720),
-    (3.5, 40.0, 30.2, 55.0, 4, 100, 365),
+    (3.5, 40.0, 30.2, 55.0, 4, 100, 365), (2.1628, 530.6, 1.5e-8, 0.0058, 0, 100, 360), (2.1628, 530.6, 1.5e-8, 0.0058, 17, 900, 30),
+    (0.7, 30.0, 0.02, 3e-5, 0, 10, 360), (0.7, 30.0, 5.3, 0.002, 0, 10, 360), (0.7, 30.0, 0.9, 4e-7, 1, 300, 360),
 ])
 def test_purchases_of_active_customers_to_ten_digits(spark, r, alpha, a, b, x, age, days):
     row = spark.createDataFrame([(x, float(age))], "frequency int, T double")
