@@ -322,11 +322,10 @@ def test_nearest_finds_most_and_scores_exactly(spark):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
-def test_nearest_of_small_classes_long_vectors_and_lone_queries(spark, monkeypatch):
+def test_nearest_of_small_classes_long_vectors_and_lone_queries(spark):
     """Few vectors of a length, norms that differ much, and a query that points away from all others."""
     rng = np.random.default_rng(31)
     vectors = [*rng.normal(size=(10, 16)), *rng.normal(size=(60, 24))]
-    monkeypatch.setattr(ann, "EXACT", 100)
     few = len(vectors)
     vectors += list(rng.normal(size=(2000, 64)) * rng.lognormal(0, 1, size=(2000, 1)))
     lone = len(vectors)
@@ -334,7 +333,7 @@ def test_nearest_of_small_classes_long_vectors_and_lone_queries(spark, monkeypat
     vectors += [-np.eye(32)[0]]
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
     got = {}
-    for r in ann.nearest(df, every=1).where(f"query_id < {few} or query_id % 20 = 0 or query_id = {len(vectors) - 1}").collect():
+    for r in ann.nearest(df, every=1, candidates=100).where(f"query_id < {few} or query_id % 20 = 0 or query_id = {len(vectors) - 1}").collect():
         got.setdefault(r["query_id"], set()).add(r["vec_id"])
     hits = total = 0
     for query in [i for i in range(len(vectors)) if i < few or i % 20 == 0 or i == len(vectors) - 1]:
@@ -348,6 +347,54 @@ def test_nearest_of_small_classes_long_vectors_and_lone_queries(spark, monkeypat
     assert hits / total >= 0.97
 
 
+def nearest_lists(df, **settings):
+    got = {}
+    for r in ann.nearest(df, **settings).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    return got
+
+
+def plain_nearest(vectors, query, k=20):
+    with np.errstate(all="ignore"):
+        scores = (vectors * vectors[query]).sum(axis=1)
+    scores = np.where(np.isnan(scores), -np.finfo(float).max, scores)
+    return [(i, scores[i]) for i in sorted((i for i in range(len(vectors)) if i != query), key=lambda i: (-scores[i], i))[:k]]
+
+
+@pytest.mark.parametrize("kind", ["integers", "large", "small", "one axis"])
+def test_nearest_breaks_ties_by_id_and_survives_extreme_norms(spark, kind):
+    """Different vectors with equal products at every border; products beyond the range of doubles."""
+    rng = np.random.default_rng(37)
+    vectors = {
+        "integers": rng.integers(-3, 4, (900, 8)).astype(float),
+        "large": np.array([[1e200 * (i + 1), 1.0] if i % 3 else [-1e200, 1e200] for i in range(60)]),
+        "small": np.array([[1e-200 * (i + 1), 1e-210] for i in range(60)]),
+        "one axis": np.array([[1.0 + i % 2, 0.0] for i in range(70)]),
+    }[kind]
+    vectors[(vectors == 0).all(axis=1)] = 1.0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    for name in CLASHING + ("band", "step", "v", "qid", "vid", "rank", "query_id"):
+        df = df.withColumn(name, F.lit("x"))
+    got = nearest_lists(df)
+    assert set(got) == set(range(0, len(vectors), 20))
+    for query, found in got.items():
+        assert found == plain_nearest(vectors, query)
+
+
+@pytest.mark.parametrize("spread", [0.0, 0.5])
+def test_nearest_finds_most_at_the_registered_settings(spark, spread):
+    rng = np.random.default_rng(41)
+    vectors = rng.normal(size=(6000, 64))
+    vectors *= np.exp(rng.normal(size=(6000, 1)) * spread) / np.linalg.norm(vectors, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = nearest_lists(df)
+    hits = sum(len({v for v, _ in found} & {v for v, _ in plain_nearest(vectors, query)}) for query, found in got.items())
+    assert hits / (20 * len(got)) >= 0.95
+    if not spread:
+        whole = nearest_lists(df.where("vec_id < 1500"), probes=1.0)
+        assert all([v for v, _ in found] == [v for v, _ in plain_nearest(vectors[:1500], query)] for query, found in whole.items())
+
+
 URLS = [
     (1, "http://a.ORG/x?y"), (2, "https://www.example.org/es/1"), (3, "https://example.org/en/12#t"), (4, "ftp://badexample.org/es/"), (5, "http://org"),
     (6, "http://news.com/fr/"), (7, "http://com/de/x"), (8, "http://other.net/de/x"), (9, None), (10, "no scheme"), (11, ""), (12, "x://"),
