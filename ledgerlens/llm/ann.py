@@ -159,7 +159,7 @@ def _best(queries: np.ndarray, masks: np.ndarray, have: np.ndarray, axis: np.nda
     lowest = -np.finfo(np.float64).max
     with np.errstate(all="ignore"):
         rough = queries @ have.T
-        rough = np.where(masks[:, None] >> axis[None, :] & 1, np.where(np.isnan(rough), lowest, rough), -np.inf)
+        rough = np.where(masks[:, None] >> axis[None, :] & 1, np.where(np.isnan(rough), lowest, np.maximum(rough, lowest)), -np.inf)
         if k < len(ids):
             kth = -np.partition(-rough, k - 1, axis=1)[:, k - 1]
             slack = 4 * (have.shape[1] + 2) * np.finfo(np.float64).eps * (np.abs(queries).sum(axis=1) * np.abs(have).max())
