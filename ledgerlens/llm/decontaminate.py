@@ -241,12 +241,14 @@ def contaminated(
 
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the texts in which a test item was found; rows with a null key stay unless their own text has one."""
-    unkeyed = docs.where(F.col(key).isNull())
-    hit = land(contaminated(docs, items, key, text).select(F.col(key).alias("_hit")).where("_hit is not null").distinct())
-    kept = docs.where(F.col(key).isNotNull()).join(hit, F.col(key) == F.col("_hit"), "left_anti")
-    if unkeyed.isEmpty():
-        return kept
-    texts = unkeyed.select(F.xxhash64(text).alias("_h"), F.col(text).alias("_t")).distinct()
-    bad = contaminated(texts, items, "_t", "_t").select(F.col("_t").alias("_bad")).distinct()
-    return kept.unionByName(unkeyed.join(bad, F.col(text) == F.col("_bad"), "left_anti"))
+    """``docs`` without the texts in which a test item was found.
+
+    The text alone decides: rows go wherever their text stands, whatever their key, and a key that also
+    stands on clean texts keeps those.  Repeated rows go or stay together; all columns are kept.
+    """
+    names, spare = docs.columns, [f"in_{i}" for i in range(len(docs.columns))]
+    said = spare[names.index(text)]
+    rows = docs.toDF(*spare).withColumn("mark", F.md5(F.coalesce(F.col(said).cast("string"), F.lit(""))))
+    hit = land(contaminated(rows.select("mark", F.col(said).alias("said")), items, "mark", "said").select(F.col("mark").alias("hit")).distinct())
+    kept = rows.join(hit, F.col("mark") == F.col("hit"), "left_anti")
+    return kept.select(*[F.col(s).alias(n) for s, n in zip(spare, names)])

@@ -20,7 +20,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import land, ship
@@ -74,9 +74,18 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > total).view(np.uint64)[0])
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(``key``, fp): the fingerprint as a signed long."""
+def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", mark: Column | None = None) -> DataFrame:
+    """(``key``, fp), after it ``mark`` where given: the fingerprint as a signed long."""
     ship(df.sparkSession)
+    if mark is not None:
+        marked = df.select(F.col(key).alias("k"), mark.cast("bigint").alias("mark"), F.col(text).alias("t"))
+
+        def compute_marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                fps = [_signed(fingerprint(value.as_py())) for value in batch.column(2)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), batch.column(1)], [key, "fp", "mark"])
+
+        return marked.mapInArrow(compute_marked, f"`{key}` {df.schema[key].dataType.simpleString()}, fp bigint, mark bigint")
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,6 +176,20 @@ def links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
     return dealt.mapInArrow(_unit_links, "a bigint, b bigint")
 
 
+def _groups(prints: DataFrame, key: str) -> DataFrame:
+    """(fp, root, component_id): each fingerprint's component, by a fingerprint of it, and its least key."""
+    classes = materialise(prints.groupBy("fp").agg(F.min(key).alias("first_key")))
+    nodes = components(links(classes.select("fp"))).withColumnRenamed("node", "fp")
+    named = classes.join(nodes, "fp")
+    roots = named.groupBy("root").agg(F.min("first_key").alias("component_id"))
+    linked = named.join(roots, "root").select(F.col("fp").alias("linked_fp"), "root", "component_id")
+    alone = F.col("linked_fp").isNull()
+    return classes.join(linked, F.col("fp") == F.col("linked_fp"), "left").select(
+        "fp", F.when(alone, F.col("fp")).otherwise(F.col("root")).alias("root"),
+        F.when(alone, F.col("first_key")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``key``, fingerprint (16 hex digits), component_id (least key reachable over links).
 
@@ -175,14 +198,35 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     Other columns are ignored; an empty table gives an empty result.
     """
     prints = materialise(fingerprints(df, key, text))
-    classes = materialise(prints.groupBy("fp").agg(F.min(key).alias("first_key")))
-    nodes = components(links(classes.select("fp"))).withColumnRenamed("node", "fp")
-    named = classes.join(nodes, "fp")
-    roots = named.groupBy("root").agg(F.min("first_key").alias("component_id"))
-    linked = named.join(roots, "root").select("fp", "component_id")
-    resolved = classes.join(linked.withColumnRenamed("fp", "linked_fp"), F.col("fp") == F.col("linked_fp"), "left").select(
-        "fp", F.when(F.col("linked_fp").isNull(), F.col("first_key")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    resolved = _groups(prints, key).select("fp", "component_id")
     return prints.join(resolved, "fp").select(
         key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
     )
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``df`` with one row of each group of near copies: the least key, then fingerprint, then hash of the text; null keys last.
+
+    What goes or stays is a row's key together with its text, so a key that stands on several texts
+    loses only the copies among them.  Rows that repeat both are one document and stay once.
+    """
+    # Texts travel under names of their own, so no column of the table can clash.
+    names, spare = df.columns, [f"in_{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*spare)
+    own, said = spare[names.index(key)], spare[names.index(text)]
+    mark = F.xxhash64(F.coalesce(F.col(said).cast("string"), F.lit("")))
+    prints = materialise(fingerprints(rows, own, said, mark).toDF("key", "fp", "mark"))
+    identity = F.struct(F.col("key").isNull().alias("unnamed"), "key", "fp", "mark")
+    # Equal fingerprints fold before components are joined: a hot text is one row there.
+    best = prints.groupBy("fp").agg(F.min(identity).alias("least")).join(_groups(prints, "key").select("fp", "root"), "fp")
+    kept = best.groupBy("root").agg(F.min("least").alias("least")).select("least.key", "least.mark")
+    counted = land(prints.groupBy("key", "mark").agg(F.count("*").alias("n")).join(
+        kept.select(F.col("key").alias("kept_key"), F.col("mark").alias("kept_mark")),
+        F.col("key").eqNullSafe(F.col("kept_key")) & (F.col("mark") == F.col("kept_mark")), "left"))
+    named = lambda part: part.select(F.col("key").alias("other_key"), F.col("mark").alias("other_mark"))
+    same = F.col(own).eqNullSafe(F.col("other_key")) & (F.col("mark") == F.col("other_mark"))
+    left = rows.withColumn("mark", mark).join(named(counted.where("kept_mark is null")), same, "left_anti")
+    repeated = named(counted.where("kept_mark is not null and n > 1"))
+    # Only rows that repeat key and text have to meet to become one.
+    once = left.join(repeated, same, "left_anti").unionByName(left.join(repeated, same, "left_semi").dropDuplicates([own, "mark"]))
+    return once.select(*[F.col(s).alias(n) for s, n in zip(spare, names)])
