@@ -6,10 +6,9 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlens.llm import decontaminate, mixing, simhash, token_store, toxicity
-from ledgerlens.llm.common import land, table
+from ledgerlens.llm.common import table
 from ledgerlens.operators.stability import checkpoint_folder
 
 # The stages fit no SQL: a fitted model, a 64-bit hash that SQL engines lack, alignments and a tokenizer.
@@ -22,15 +21,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the least id.
+    """One document of each group of near copies, that with the least id; rows that repeat id and text are one document.
 
-    Rows that repeat id and text are one document.  Documents without an id stay, as nothing names them.
+    Only rows that are copies go: an id that stands on several texts keeps those that are none.
+    Documents without an id count after all others of their group.
     """
-    groups = land(simhash.near_duplicates(docs).where("doc_id is not null"))
-    gone = land(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct())
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
-    repeated = not groups.groupBy("doc_id").count().where("count > 1").isEmpty()
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+    return simhash.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
