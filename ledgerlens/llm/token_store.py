@@ -41,17 +41,17 @@ def _packed(ids: list[int]) -> bytes:
 class WordEncoder:
     """Ids of whole texts.  Tokens never cross ASCII white space in this kind of vocabulary, so each distinct word is encoded once.
 
-    Most words consist of printable ASCII and Latin-1 letters, which normalisation only lowers.  They
-    are cut into pieces here and only the merges of a new piece are left to the library; other words
-    go through it as a whole.
+    Most words consist of printable ASCII and Latin-1 letters, which normalisation only lowers.  The new
+    ones of a text are cut into pieces together, and only the merges of a new piece are left to
+    the library; other words go through it as a whole.
     """
 
     SIMPLE = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-    PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+    ALL_SIMPLE = re.compile("[\n!-~À-ÖØ-öø-ÿ]+")
+    PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+|\n")
 
     def __init__(self, path: str):
         self.tokenizer = library(path)
-        self.merges = self.tokenizer.model
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)").search
         letters = [chr(c) for c in range(0xDF, 0x100) if c != 0xF7]
@@ -60,32 +60,52 @@ class WordEncoder:
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            mapped = piece if piece.isascii() else piece.translate(self.bytes_of)
-            ids = _packed([t.id for t in self.merges.tokenize(mapped)])
-            if len(piece) <= LONGEST_KEPT:
-                self.pieces[piece] = ids
-        return ids
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if self.SIMPLE.fullmatch(text) and not self.special(text):
-            pieces = self.PIECES.findall(text.lower())
-            return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
+    def _by_library(self, text: str) -> bytes:
         return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _learn_pieces(self, new: set[str]) -> None:
+        merged, known = self.tokenizer.model.tokenize, self.pieces
+        for piece in new:
+            known[piece] = _packed([t.id for t in merged(piece if piece.isascii() else piece.translate(self.bytes_of))])
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Encode words not met before."""
+        texts = [word.decode() for word in new]
+        joined = "\n".join(texts)
+        if self.special(joined) or not self.ALL_SIMPLE.fullmatch(joined):
+            odd = [i for i, text in enumerate(texts) if self.special(text) or not self.SIMPLE.fullmatch(text)]
+            self.words.update((texts[i].encode(), self._by_library(texts[i])) for i in odd)
+            for i in reversed(odd):
+                del texts[i]
+            joined = "\n".join(texts)
+        if not texts:
+            return
+        found, known = self.PIECES.findall(joined.lower()), self.pieces
+        self._learn_pieces({piece for piece in found if piece not in known and piece != "\n"})
+        long = {piece for piece in found if len(piece) > LONGEST_KEPT}
+        # Word by word again: a line break ends one.
+        parts, at = [], iter(texts)
+        for piece in found:
+            if piece == "\n":
+                self.words[next(at).encode()] = parts[0] if len(parts) == 1 else b"".join(parts)
+                parts = []
+            else:
+                parts.append(known[piece])
+        self.words[next(at).encode()] = b"".join(parts)
+        for piece in long:
+            del known[piece]
+
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers, without special tokens added."""
-        words = text.encode("utf-8", "replace").split() if text else []
-        rest = set(words).difference(self.words)
-        self.words.update((w, self._word(w)) for w in rest)
-        ids = b"".join(map(self.words.__getitem__, words))
-        for word in rest:
+        words, known = text.encode("utf-8", "replace").split() if text else [], self.words
+        new = {word for word in words if word not in known}
+        if new:
+            self._learn(new)
+        ids = b"".join(map(known.__getitem__, words))
+        for word in new:
             if len(word) > LONGEST_KEPT:
-                del self.words[word]
-        for kept in (self.words, self.pieces):
+                del known[word]
+        for kept in (known, self.pieces):
             if len(kept) > KEPT:  # the older half goes
                 for one in list(islice(kept, len(kept) // 2)):
                     del kept[one]
