@@ -12,7 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.splits import fold_id
@@ -175,41 +175,54 @@ def _dense(values):
     return Vectors.dense(values)
 
 
-def linear_attributions(df: DataFrame, coefficients: dict[str, float], intercept: float = 0.0,
-                        key: str = "customer_id") -> DataFrame:
-    """Exact attributions of a linear model: coefficient × (value − mean)."""
+def linear_parts(df: DataFrame, coefficients: dict[str, float], intercept: float = 0.0, key: str = "customer_id") -> DataFrame:
+    """(key, base_value, one column per input): exact attributions of a linear model, coefficient × (value − mean)."""
     names = list(coefficients)
     center = df.agg(F.struct(*[F.avg(F.col(c).cast("double")).alias(c) for c in names])).scalar()
     base = F.lit(float(intercept))
     for c in names:
         base = base + F.lit(float(coefficients[c])) * center[c]
-    parts = df.select(key, base.alias("base_value"), *[
+    return df.select(key, base.alias("base_value"), *[
         (F.lit(float(coefficients[c])) * (F.col(c).cast("double") - center[c])).alias(c) for c in names])
+
+
+def linear_attributions(df: DataFrame, coefficients: dict[str, float], intercept: float = 0.0,
+                        key: str = "customer_id") -> DataFrame:
+    """(key, base_value, feature, contribution) of :func:`linear_parts`."""
+    names = list(coefficients)
+    parts = linear_parts(df, coefficients, intercept, key)
     return melt(parts, names, keep=[key, "base_value"], name="feature").withColumnRenamed("value", "contribution")
 
 
+def _waterfall_rows(top: int) -> Column:
+    """Rows of a customer from columns ``base`` and ``parts`` (feature, contribution), strongest first."""
+    row = lambda position, label, amount: F.struct(
+        position.cast("int").alias("position"), label.alias("label"), amount.alias("amount"))
+    ordered = F.array_sort(F.transform("parts", lambda p: F.struct(
+        (-F.abs(p["contribution"])).alias("r"), p["feature"].alias("feature"), p["contribution"].alias("contribution"))))
+    total = lambda some: F.aggregate(some, F.lit(0.0), lambda s, p: s + p["contribution"])
+    best, rest = F.slice(ordered, 1, top), F.slice(ordered, top + 1, F.greatest(F.size("parts"), F.lit(1)))
+    return F.concat(
+        F.array(row(F.lit(0), F.lit("Base"), F.col("base"))),
+        F.transform(best, lambda p, i: row(i + 1, p["feature"], p["contribution"])),
+        F.array(row(F.lit(top + 1), F.lit("Others"), total(rest)),
+                row(F.lit(top + 2), F.lit("Predicted CLV"), F.col("base") + total(F.col("parts")))))
+
+
+def waterfall_of_parts(parts: DataFrame, names: Sequence[str], top: int = 4, key: str = "customer_id") -> DataFrame:
+    """:func:`waterfall` of (key, base_value, one column per feature): contributions are sorted inside the row, nothing is exchanged."""
+    listed = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("contribution")) for n in names])
+    return parts.select(key, F.col("base_value").alias("base"), listed.alias("parts")).select(key, F.inline(_waterfall_rows(top)))
+
+
 def waterfall(contributions: DataFrame, top: int = 4, key: str = "customer_id") -> DataFrame:
     """(key, position, label, amount): base, the strongest features, Others, and the prediction.
 
-    The window sees one customer's features — as many rows as there are features.
+    A customer's contributions, as many as there are features, are gathered once and sorted in the row.
     """
-    strongest = Window.partitionBy(key).orderBy(F.abs("contribution").desc(), "feature")
-    ranked = contributions.withColumn("r", F.row_number().over(strongest))
-    grouped = ranked.groupBy(key).agg(
-        F.first("base_value").alias("base"),
-        F.sum("contribution").alias("all"),
-        F.coalesce(F.sum(F.when(F.col("r") > top, F.col("contribution"))), F.lit(0.0)).alias("rest"),
-        F.array_sort(F.collect_list(F.when(F.col("r") <= top, F.struct("r", "feature", "contribution")))).alias("best"),
-    )
-    row = lambda position, label, amount: F.struct(
-        position.cast("int").alias("position"), label.alias("label"), amount.alias("amount"))
-    rows = F.concat(
-        F.array(row(F.lit(0), F.lit("Base"), F.col("base"))),
-        F.transform("best", lambda b: row(b["r"], b["feature"], b["contribution"])),
-        F.array(row(F.lit(top + 1), F.lit("Others"), F.col("rest")),
-                row(F.lit(top + 2), F.lit("Predicted CLV"), F.col("base") + F.col("all"))),
-    )
-    return grouped.select(key, F.inline(rows))
+    grouped = contributions.groupBy(key).agg(
+        F.first("base_value").alias("base"), F.collect_list(F.struct("feature", "contribution")).alias("parts"))
+    return grouped.select(key, F.inline(_waterfall_rows(top)))
 
 
 def global_importance(contributions: DataFrame) -> DataFrame:

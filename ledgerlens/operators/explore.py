@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.money import exact_sum, in_units
-from ledgerlens.operators.metrics import safe_corr
 from ledgerlens.operators.quantiles import melt, quantiles, scalar_quantile
 from ledgerlens.operators.ranking import by_score, place, unfold, whole
+from ledgerlens.operators.stability import ship
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -102,25 +104,56 @@ def histogram(df: DataFrame, value: str, bins: int, by=(), upper_quantile: float
     )
 
 
+def _comoments(x: np.ndarray) -> np.ndarray:
+    """Per ordered pair of columns, over rows where both exist: n, mean of the first, and sums of squares and products about the means."""
+    known = ~np.isnan(x)
+    there = known.astype(float)
+    n = there.T @ there
+    filled = np.where(known, x, 0.0)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        near = np.where(there.sum(axis=0) > 0, filled.sum(axis=0) / there.sum(axis=0), 0.0)  # shift towards the means before squaring
+        moved = np.where(known, x - near, 0.0)
+        mean = np.where(n > 0, (moved.T @ there) / n, 0.0)
+        square = (moved * moved).T @ there - n * mean * mean
+        product = moved.T @ moved - n * mean * mean.T
+    return np.stack([n, mean + near[:, None], square, product])
+
+
 def correlations(df: DataFrame, columns: Sequence[str], digits: int | None = None) -> DataFrame:
     """Strict lower triangle of the correlation matrix, pairwise over rows where both values exist.
 
-    Each row is spread over the feature pairs and folded map-side into one group per pair, which
-    keeps the generated code at one correlation instead of one per pair.
+    A task adds up the moments of its rows in matrix products, one row per customer going in and one
+    per pair of features coming out; nulls and NaNs are masks.  Moments of tasks meet about their common
+    mean, so large means cost no digits.
     """
     names = list(columns)
-
-    def value(name: str) -> Column:
-        return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
-
-    pairs = F.array(*[
-        F.struct(F.lit(names[i]).alias("row_feature"), F.lit(names[j]).alias("col_feature"),
-                 value(names[i]).alias("x"), value(names[j]).alias("y"))
-        for i in range(len(names)) for j in range(i)
-    ])
-    r = safe_corr(F.col("x"), F.col("y"))
-    return df.select(F.inline(pairs)).where(F.col("x").isNotNull() & F.col("y").isNotNull()).groupBy("row_feature", "col_feature").agg(
-        (r if digits is None else F.round(r, digits)).alias("r"))
+    ship(df.sparkSession)
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n, mean, square, product = _comoments(np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1))
+                i, j = np.tril_indices(len(names), -1)
+                values = (n[i, j], mean[i, j], mean[j, i], square[i, j], square[j, i], product[i, j])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(i, pa.int32()), pa.array(j, pa.int32()), *map(pa.array, values)], ["i", "j", "n", "mx", "my", "xx", "yy", "xy"])
+
+    parts = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)]).mapInArrow(
+        moments, "i int, j int, n double, mx double, my double, xx double, yy double, xy double").where("n > 0")
+    pair = Window.partitionBy("i", "j")  # one row per batch of rows
+    middle = lambda m: F.sum(F.col("n") * F.col(m)).over(pair) / F.sum("n").over(pair)
+    parts = parts.withColumns({"mean_x": middle("mx"), "mean_y": middle("my")})
+    shifted = parts.withColumns({"dx": F.col("mx") - F.col("mean_x"), "dy": F.col("my") - F.col("mean_y")})
+    whole = lambda c, a, b: F.sum(F.col(c) + F.col("n") * F.col(a) * F.col(b))
+    sums = shifted.groupBy("i", "j").agg(
+        whole("xx", "dx", "dx").alias("xx"), whole("yy", "dy", "dy").alias("yy"), whole("xy", "dx", "dy").alias("xy"),
+        F.sum(F.col("n") * F.col("mean_x") * F.col("mean_x")).alias("size_x"), F.sum(F.col("n") * F.col("mean_y") * F.col("mean_y")).alias("size_y"))
+    label = F.array(*[F.lit(n) for n in names])
+    # A constant column has no correlation: what is left of its variance is rounding.
+    varies = (F.col("xx") > F.col("size_x") * 1e-26) & (F.col("yy") > F.col("size_y") * 1e-26)
+    r = F.when(varies, F.col("xy") / F.sqrt(F.col("xx")) / F.sqrt(F.col("yy")))
+    return sums.select(label[F.col("i")].alias("row_feature"), label[F.col("j")].alias("col_feature"),
+                       (r if digits is None else F.round(r, digits)).alias("r"))
 
 
 def revenue_concentration(tx: DataFrame, shares: Sequence[float]) -> DataFrame:
@@ -145,7 +178,6 @@ def quantile_below(df: DataFrame, value: str, p: float) -> DataFrame:
 
 def rank_slice(df: DataFrame, score: str, start: int, stop: int, key: str = "customer_id") -> DataFrame:
     """Rows ranked start+1..stop by score; only the top ``stop`` rows leave the executors' heaps."""
-    from pyspark.sql import Window
     top = df.orderBy(*by_score(score, key)).limit(stop)
     order = Window.orderBy(*by_score(score, key))  # at most ``stop`` rows remain here
     return top.withColumn("rank", F.row_number().over(order).cast("bigint")).where(F.col("rank") > start)

@@ -176,7 +176,9 @@ def attribution_linear(spark, sf):
  UNION ALL SELECT customer_id, 5, 'Others', round(sum(contribution) FILTER (r > 4), 5) FROM r GROUP BY 1
  UNION ALL SELECT customer_id, 6, 'Predicted CLV', round(any_value(base_value) + sum(contribution), 5) FROM r GROUP BY 1""", ["linear_parts"])
 def attribution_waterfall(spark, sf):
-    return boosting.waterfall(linear_parts(spark, sf)).withColumn("amount", F.round("amount", 5))
+    table = materialise(inputs.customer_features(spark, sf).select("customer_id", *COEFFICIENTS))
+    parts = boosting.linear_parts(table, COEFFICIENTS, intercept=50.0)
+    return boosting.waterfall_of_parts(parts, list(COEFFICIENTS)).withColumn("amount", F.round("amount", 5))
 
 
 @query("attribution_global_importance", "SELECT feature, round(avg(abs(contribution)), 5) AS importance FROM linear_parts GROUP BY 1", ["linear_parts"])

@@ -53,3 +53,33 @@ def test_selection_sorts_and_ranges_nothing(spark, monkeypatch):
     assert quantiles(df, "v", [0.25]).first()["q"][0] == sorted(i * 7919 % 5003 for i in range(5000))[1249] * 0.25 + 0.75 * sorted(
         i * 7919 % 5003 for i in range(5000))[1250]
     assert not ranged
+
+
+def test_correlations_equal_numpy_whatever_is_missing(spark):
+    import numpy as np
+
+    from ledgerlens.operators import explore
+    draw = np.random.default_rng(5)
+    x = draw.normal(size=(500, 4)) + np.array([0.0, 1e6, 1e3, 0.0])
+    x[:, 2] += x[:, 1] - 1e6
+    x[:, 3] = 7.1  # constant: no correlation
+    x[draw.random(x.shape) < 0.1] = np.nan
+    x[:, 3] = np.where(np.isnan(x[:, 3]), np.nan, 7.1)
+    rows = [tuple(None if v != v and i % 2 else float(v) for v in r) for i, r in enumerate(x)]
+    got = {(r["row_feature"], r["col_feature"]): r["r"] for r in explore.correlations(
+        spark.createDataFrame(rows, "a double, b double, c double, k double").repartition(7), ["a", "b", "c", "k"]).collect()}
+    assert len(got) == 6
+    for i, j in ((1, 0), (2, 0), (2, 1)):
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert got["abck"[i], "abck"[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+    assert got["k", "a"] is None and got["k", "c"] is None
+
+
+def test_waterfall_of_wide_rows_exchanges_nothing(spark):
+    from ledgerlens.operators import boosting
+    wide = spark.createDataFrame([(1, 10.0, 3.0, -4.0, 0.5), (2, 10.0, 1.0, 1.0, -1.0)], "customer_id long, base_value double, a double, b double, c double")
+    steps = boosting.waterfall_of_parts(wide, ["a", "b", "c"], top=2)
+    got = [(r["position"], r["label"], r["amount"]) for r in steps.where("customer_id = 1").collect()]
+    assert got == [(0, "Base", 10.0), (1, "b", -4.0), (2, "a", 3.0), (3, "Others", 0.5), (4, "Predicted CLV", 9.5)]
+    assert [r["label"] for r in steps.where("customer_id = 2").collect()][1:3] == ["a", "b"]  # equal strengths by name
+    assert "Exchange" not in steps._jdf.queryExecution().executedPlan().toString()
