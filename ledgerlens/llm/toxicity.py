@@ -1,7 +1,8 @@
 """Toxicity grades by cumulative-link ordinal regression.
 
-Grade 0 is not toxic.  Labelled toxic texts get the grades 1 to 3, by terciles of the rate of words
-that toxic texts hold far more often than others.  One weight per word is shared by all grades;
+Grade 0 is not toxic.  Labels only say toxic or not; labelled toxic texts get the grades 1 to 3, by
+terciles of the rate of words that toxic texts hold far more often than others.  These are words that
+the model reads too, so the order among grades 1 to 3 says how dense such words are, no more.  One weight per word is shared by all grades;
 ordered thresholds separate them: P(grade ≥ k) = 1/(1+exp(threshold_k − w·x)).  The sum of these
 over k is the expected severity.  Features are the words of a bounded vocabulary and beginnings of
 longer words, which catch inflected and compound forms; x holds log(1 + occurrences per 100 words).
@@ -65,16 +66,22 @@ class Model:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, size: int) -> DataFrame:
-    """(toxic, text) of about ``size`` labelled texts, all of them where there are fewer; chosen by key hash."""
+    """(toxic, text) of at most ``size`` labelled keys, those with the least hashes; one row per key.
+
+    A key labelled more than once is toxic if any label says so; of a key on several texts the one with the
+    least hash is taken.  ``size`` bounds rows, whatever repeats.
+    """
     known = (
         labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("toxic")).where("k is not null and toxic is not null")
         .groupBy("k").agg(F.max("toxic").alias("toxic"))
     )
-    total = known.count()
-    if total > size:
-        known = known.where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < F.lit(int(1_000_000 * size / total)))
+    total, space = known.count(), 1 << 62
+    if total > size:  # a quarter more than wanted, as some labelled keys have no text
+        known = known.where(F.pmod(F.xxhash64("k"), F.lit(space)) < F.lit(min(space - 1, space * 5 * size // (4 * total))))
     # About ``size`` rows of two numbers: bounded by the parameter.
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(known), "k").select("toxic", "text")
+    found = docs.select(F.col(key).alias("k"), F.col(text).alias("text")).join(F.broadcast(known), "k")
+    folded = found.groupBy("k").agg(F.max("toxic").alias("toxic"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one"))
+    return folded.orderBy(F.pmod(F.xxhash64("k"), F.lit(space)), "k").limit(size).select("toxic", "one.text")
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,6 +151,29 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     return Model({w: float(weights[i]) for w, i in place.items()}, tuple(map(float, thresholds)))
 
 
+def loss_and_slope(theta: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int,
+                   penalty: float) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood with its penalty, and the gradient, at weights, first threshold and logarithms of the gaps."""
+    levels, count, at_grade = GRADES, len(grade), np.arange(len(grade))
+    weights, cuts = theta[:width], theta[width] + np.concatenate([[0.0], np.cumsum(np.exp(theta[width + 1:]))])
+    score = np.bincount(row, value * weights[column], count)
+    above = 1 / (1 + np.exp(np.clip(cuts[None, :] - score[:, None], -60, 60)))
+    padded = np.concatenate([np.ones((count, 1)), above, np.zeros((count, 1))], axis=1)
+    chance = np.maximum(padded[at_grade, grade] - padded[at_grade, grade + 1], 1e-12)
+    slope = padded * (1 - padded)
+    upper, lower = slope[at_grade, grade], slope[at_grade, grade + 1]
+    by_score = (upper - lower) / chance / count
+    gradient = np.zeros_like(theta)
+    gradient[:width] = -np.bincount(column, value * by_score[row], width) + penalty * weights
+    by_cut = np.zeros(levels + 2)
+    np.add.at(by_cut, grade, upper / chance / count)
+    np.add.at(by_cut, grade + 1, -lower / chance / count)
+    by_cut = by_cut[1:-1]
+    gradient[width] = by_cut.sum()
+    gradient[width + 1:] = [by_cut[k:].sum() * np.exp(theta[width + k]) for k in range(1, levels)]
+    return float(-np.log(chance).mean() + 0.5 * penalty * (weights * weights).sum()), gradient
+
+
 def cumulative_link(row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int,
                     penalty: float = PENALTY, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending thresholds of the ordinal model, by Adam steps on the mean negative log-likelihood.
@@ -156,24 +186,8 @@ def cumulative_link(row: np.ndarray, column: np.ndarray, value: np.ndarray, grad
     gaps = np.log(np.maximum(np.diff(start), 0.05))
     theta = np.concatenate([np.zeros(width), start[:1], gaps])
     first, second = np.zeros_like(theta), np.zeros_like(theta)
-    at_grade = np.arange(count)
     for step in range(1, rounds + 1):
-        weights, cuts = theta[:width], theta[width] + np.concatenate([[0.0], np.cumsum(np.exp(theta[width + 1:]))])
-        score = np.bincount(row, value * weights[column], count)
-        above = 1 / (1 + np.exp(np.clip(cuts[None, :] - score[:, None], -60, 60)))
-        padded = np.concatenate([np.ones((count, 1)), above, np.zeros((count, 1))], axis=1)
-        chance = np.maximum(padded[at_grade, grade] - padded[at_grade, grade + 1], 1e-12)
-        slope = padded * (1 - padded)
-        upper, lower = slope[at_grade, grade], slope[at_grade, grade + 1]
-        by_score = (upper - lower) / chance / count
-        gradient = np.zeros_like(theta)
-        gradient[:width] = -np.bincount(column, value * by_score[row], width) + penalty * weights
-        by_cut = np.zeros(levels + 2)
-        np.add.at(by_cut, grade, upper / chance / count)
-        np.add.at(by_cut, grade + 1, -lower / chance / count)
-        by_cut = by_cut[1:-1]
-        gradient[width] = by_cut.sum()
-        gradient[width + 1:] = [by_cut[k:].sum() * np.exp(theta[width + k]) for k in range(1, levels)]
+        _, gradient = loss_and_slope(theta, row, column, value, grade, width, penalty)
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         theta = theta - 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
     return theta[:width], theta[width] + np.concatenate([[0.0], np.cumsum(np.exp(theta[width + 1:]))])

@@ -197,6 +197,38 @@ def test_edited_copies_are_found_beside_verbatim_ones(spark, step):
     assert rows_of(got, "doc_id", "item_id") == sorted([(100 + i, i) for i in range(8)] + [(200 + i, i) for i in range(4)], key=repr)
 
 
+def test_ordinal_slope_equals_differences():
+    rng = np.random.default_rng(43)
+    count, width = 30, 5
+    row, column = np.repeat(np.arange(count), 2), rng.integers(0, width, 2 * count)
+    value, grade = rng.random(2 * count), rng.integers(0, toxicity.GRADES + 1, count)
+    theta = np.concatenate([rng.normal(size=width), [-0.3], rng.normal(size=toxicity.GRADES - 1) * 0.3])
+    at = lambda t: toxicity.loss_and_slope(t, row, column, value, grade, width, 0.01)
+    # The loss itself, plainly: ordered logistic chances of every row's grade.
+    weights, cuts = theta[:width], theta[width] + np.concatenate([[0.0], np.cumsum(np.exp(theta[width + 1:]))])
+    plain = 0.0
+    for i in range(count):
+        s = sum(value[j] * weights[column[j]] for j in range(2 * count) if row[j] == i)
+        above = [1.0, *(1 / (1 + math.exp(c - s)) for c in cuts), 0.0]
+        plain -= math.log(above[grade[i]] - above[grade[i] + 1])
+    loss, slope = at(theta)
+    assert loss == pytest.approx(plain / count + 0.005 * float(weights @ weights), rel=1e-12)
+    for i in range(len(theta)):
+        step = np.zeros_like(theta)
+        step[i] = 1e-6
+        assert slope[i] == pytest.approx((at(theta + step)[0] - at(theta - step)[0]) / 2e-6, abs=1e-7)
+
+
+def test_labelled_sample_is_bounded_whatever_repeats(spark):
+    rows = [(7, f"text {i}", "s") for i in range(3000)] + [(i, f"other {i}", "s") for i in range(100, 160)]
+    labels = spark.createDataFrame([(7, 1), (7, 0), (None, 1), (9999, 1)] + [(i, i % 2) for i in range(100, 160)], "doc_id long, toxic int")
+    got = toxicity.labelled_sample(frame(spark, rows), labels, "doc_id", "text", "toxic", 10).collect()
+    assert len(got) <= 10
+    whole = toxicity.labelled_sample(frame(spark, rows), labels, "doc_id", "text", "toxic", 1000).collect()
+    assert len(whole) == 61 and sum(r["text"].startswith("text") for r in whole) == 1
+    assert [r["toxic"] for r in whole if r["text"].startswith("text")] == [1]
+
+
 def toxic_rows():
     rng = random.Random(13)
     words, bad = [f"w{i}" for i in range(400)], ["vile", "nastyness", "nastyful"]
