@@ -3,10 +3,11 @@
 Rules (host and path prefix, the longest that fits wins) decide what they can.  The URLs they allow
 and block are the text of two variable-order Markov models over a small alphabet; every order is
 smoothed with the one below it by the number of distinct successors of its context.  A URL that no
-rule fits gets the mean log-probability difference of its characters, and is allowed from a
-threshold on that is calibrated on the rule-decided URLs: the one with the least sum of error rates.
+rule fits gets the mean log-probability difference of all its characters, scheme, query and
+fragment included, and is allowed from a threshold on.  The threshold is calibrated on rule-decided
+URLs that the models have not seen, a fifth of them by hash: the one with the least sum of error rates.
 
-All counts are over all URLs.  The model has at most ``len(ALPHABET)``^(ORDER+1) rows, under three
+All counts are over all URLs.  The model has at most ``len(ALPHABET)``^(ORDER+1) rows, about four
 million, whatever the data; that bounds its broadcast.  With it, a URL's characters are looked up
 and summed before anything is shuffled.
 """
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import land
+from ledgerlens.llm.common import hash48, land
 from ledgerlens.operators.stability import materialise
 
 ORDER = 3
@@ -28,6 +29,7 @@ OTHER = "*"
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0./-_~%+:@=,;!$()" + OTHER + START
 BINS = 100  # calibration bins per unit of mean log-probability difference
 CLIP = 2000  # bins to either side
+HELD = 5  # one in so many rule-decided URLs, by hash, is kept from the models and calibrates
 
 
 @dataclass(frozen=True)
@@ -119,7 +121,7 @@ def ratios(counts: DataFrame) -> DataFrame:
 
 def calibrated_threshold(scores: DataFrame) -> Column:
     """Scalar: where the shares of blocked URLs at or above it and of allowed URLs below it sum to the least."""
-    binned = scores.where("ruled is not null").groupBy(
+    binned = scores.where("ruled is not null and held").groupBy(
         F.greatest(F.least(F.floor(F.col("score") * BINS), F.lit(CLIP)), F.lit(-CLIP)).alias("bin")
     ).agg(*[F.sum(F.when(F.col("ruled") == v, F.col("copies")).otherwise(0)).alias(v) for v in ("allow", "block")])
     # At most 2·CLIP + 1 bins, whatever the data.
@@ -136,8 +138,9 @@ def calibrated_threshold(scores: DataFrame) -> Column:
 def judge(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "page_id", url: str = "url") -> DataFrame:
     """``key``, host, path, rule (null where none fits), verdict, score; one row per input row.
 
-    A URL that is null or has no ``://`` has an empty host and path and the score 0.  Where the rules
-    do not decide URLs of both kinds, the threshold is 0.  Repeated rows stay; other columns are
+    A URL that is null or has no ``://`` has an empty host and path; its characters, if any, are scored
+    like any other's, and none at all score 0.  Where the rules do not decide held-out URLs of both
+    kinds, the threshold is 0.  Repeated rows stay; other columns are
     ignored; an empty table gives an empty result.
     """
     verdicts = F.create_map(*[F.lit(x) for rule in rules for x in (rule.name, rule.verdict)]) if rules else None
@@ -147,11 +150,11 @@ def judge(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "page_id",
     urls = land(ruled.select(
         "k", "u", "copies", "host", "path", "rule",
         (verdicts[F.col("rule")] if rules else F.lit(None).cast("string")).alias("ruled"),
-        symbols(F.concat("host", "path")).alias("s"),
+        symbols(F.col("u")).alias("s"), (hash48("u") % HELD == 0).alias("held"),
     ))
     grams = _grams(urls)
     counts = materialise(grams.groupBy("gram").agg(*[
-        F.sum(F.when(F.col("ruled") == v, F.col("copies")).otherwise(0)).alias(v) for v in ("allow", "block")
+        F.sum(F.when((F.col("ruled") == v) & ~F.col("held"), F.col("copies")).otherwise(0)).alias(v) for v in ("allow", "block")
     ]))
     model = ratios(counts).withColumnRenamed("gram", "g")
     summed = grams.join(F.broadcast(model), F.col("gram") == F.col("g")).groupBy("k", "u").agg(
@@ -159,7 +162,7 @@ def judge(df: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "page_id",
     ).select(F.col("k").alias("k2"), F.col("u").alias("u2"), "mean")
     scores = land(
         urls.join(summed, F.col("k").eqNullSafe(F.col("k2")) & (F.col("u") == F.col("u2")), "left")
-        .select("k", "host", "path", "rule", "ruled", "copies", F.coalesce("mean", F.lit(0.0)).alias("score"))
+        .select("k", "host", "path", "rule", "ruled", "held", "copies", F.coalesce("mean", F.lit(0.0)).alias("score"))
     )
     threshold = calibrated_threshold(scores)
     verdict = F.coalesce(F.col("ruled"), F.when(F.col("score") >= threshold, "allow").otherwise("block"))
@@ -194,10 +197,10 @@ c{n} AS (SELECT substr(gram, 1, {n}) AS context, sum(allow) AS allow_n, sum(bloc
 p{n} AS MATERIALIZED (SELECT g.gram, {p} FROM g{n} g JOIN c{n} c ON c.context = substr(g.gram, 1, {n}){join})""")
     return f"""
 WITH behind AS (
-  SELECT row_number() OVER () AS r, page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+  SELECT row_number() OVER () AS r, page_id, coalesce(url, '') AS u, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ),
 split AS (
-  SELECT r, page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{lower}') AS host,
+  SELECT r, page_id, u, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{lower}') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM behind
 ),
 ruled AS (
@@ -207,13 +210,14 @@ ruled AS (
 ),
 urls AS MATERIALIZED (
   SELECT *, CASE rule {verdict} END AS ruled,
-         regexp_replace(translate(host || path, '{upper}123456789', '{lower}000000000'), '[^{known}0]', '{OTHER}', 'g') AS s FROM ruled
+         ('0x' || substr(md5(u), 1, 12))::BIGINT % {HELD} = 0 AS held,
+         regexp_replace(translate(u, '{upper}123456789', '{lower}000000000'), '[^{known}0]', '{OTHER}', 'g') AS s FROM ruled
 ),
 grams AS (
-  SELECT r, ruled, substr('{START * ORDER}' || s, i, {ORDER + 1}) AS gram FROM (SELECT r, ruled, s, unnest(range(1, length(s) + 1)) AS i FROM urls)
+  SELECT r, ruled, held, substr('{START * ORDER}' || s, i, {ORDER + 1}) AS gram FROM (SELECT r, ruled, held, s, unnest(range(1, length(s) + 1)) AS i FROM urls)
 ),
 counts AS MATERIALIZED (
-  SELECT gram, count(*) FILTER (ruled = 'allow') AS allow, count(*) FILTER (ruled = 'block') AS block FROM grams GROUP BY gram
+  SELECT gram, count(*) FILTER (ruled = 'allow' AND NOT held) AS allow, count(*) FILTER (ruled = 'block' AND NOT held) AS block FROM grams GROUP BY gram
 ),{",".join(orders)},
 means AS (
   SELECT r, sum(ln(p.allow_p) - ln(p.block_p)) / count(*) AS mean FROM grams g JOIN p{ORDER} p ON p.gram = g.gram GROUP BY r
@@ -223,7 +227,7 @@ scores AS MATERIALIZED (
 ),
 binned AS (
   SELECT greatest(least(floor(score * {BINS})::BIGINT, {CLIP}), -{CLIP}) AS bin, count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b
-  FROM scores WHERE ruled IS NOT NULL GROUP BY 1
+  FROM scores WHERE ruled IS NOT NULL AND held GROUP BY 1
 ),
 errors AS (
   SELECT bin, (sum(a) OVER w - a)::DOUBLE / sum(a) OVER () + (sum(b) OVER () - sum(b) OVER w + b)::DOUBLE / sum(b) OVER () AS error

@@ -448,6 +448,19 @@ def test_url_rules_and_model_equal_sql(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_every_part_of_a_url_is_scored(spark):
+    """Scheme, query, fragment and URLs without a scheme count; clashing column names do no harm."""
+    known = [f"http://good{i}.org/fine?list=apple#top" for i in range(60)] + [f"http://bad{i}.com/de/fine?casino=spin#slots" for i in range(60)]
+    asked = ["http://n.net/fine?list=apple#top", "http://n.net/fine?casino=spin#slots", "http://n.net/", "list=apple", "casino=spin#slots", "mailto:x@y"]
+    pages = spark.createDataFrame(list(enumerate(known + asked)), "page_id long, url string")
+    for name in ("u", "s", "copies", "held", "ruled", "score", "gram", "mean", "path", "verdict"):
+        pages = pages.withColumn(name, F.lit("x"))
+    got = {r["page_id"]: r for r in url_filter.judge(pages).collect()}
+    scores = [got[len(known) + i]["score"] for i in range(len(asked))]
+    assert scores[0] > scores[1] and scores[3] > scores[4] and len(set(scores)) == len(scores) and 0.0 not in scores
+    assert [got[len(known) + i]["verdict"] for i in (0, 1, 3, 4)] == ["allow", "block", "allow", "block"]
+
+
 def plain_spans(text):
     found = []
     for place, rule in enumerate(secret_scan.RULES):
