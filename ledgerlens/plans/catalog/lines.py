@@ -174,3 +174,32 @@ def source_invoice_csv(spark, sf):
     ).write.option("header", True).csv(folder)
     lines = read_invoices(spark, folder, timestamp_format="dd/MM/yyyy HH:mm")
     return lines.withColumn("day", F.to_date("InvoiceDate")).drop("InvoiceDate")
+
+
+@query("source_invoice_workbook", """
+ SELECT InvoiceNo, StockCode, Description, Quantity, CAST(InvoiceDate AS DATE) AS day, UnitPrice, CustomerID, Country FROM raw""", ["raw"])
+def source_invoice_workbook(spark, sf):
+    """The lines as workbooks of two sheets each, and read back."""
+    import pyarrow as pa
+
+    from ledgerlens.config import MINOR_PER_UNIT
+    from ledgerlens.operators.stability import landed, ship
+    from ledgerlens.schemas import RAW_INVOICES
+    from ledgerlens.sources.retail import lines_of_workbooks
+    from ledgerlens.sources.workbook import make_workbook
+    ship(spark)
+    names = [field.name for field in RAW_INVOICES]
+    published = inputs.raw(spark, sf).select(
+        F.col("InvoiceNo").alias("Invoice"), "StockCode", "Description", "Quantity", F.col("InvoiceDate").cast("timestamp_ntz").alias("InvoiceDate"),
+        (F.col("UnitPrice") / F.lit(MINOR_PER_UNIT)).cast("decimal(18,4)").alias("Price"), F.col("CustomerID").alias("Customer ID"), "Country",
+    ).select(*names)
+
+    def pack(batches):
+        for batch in batches:
+            rows = [list(row.values()) for row in batch.to_pylist()]
+            books = [make_workbook(names, rows[at:at + 20_000], 12_000) for at in range(0, len(rows), 20_000)]
+            if books:
+                yield pa.RecordBatch.from_arrays([pa.array(books, pa.binary())], ["content"])
+
+    lines = lines_of_workbooks(landed(published.mapInArrow(pack, "content binary")))
+    return lines.withColumn("day", F.to_date("InvoiceDate")).drop("InvoiceDate")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.config import COLUMN_RENAMES, MINOR_PER_UNIT
 from ledgerlens.schemas import INVOICE_LINE_COLUMNS, RAW_INVOICES, require_columns
+from ledgerlens.sources import workbook
 
 
 def standardise(raw: DataFrame) -> DataFrame:
@@ -35,14 +36,16 @@ def _bad(name: str, typed: Column) -> Column:
     return (F.trim(F.col(name)) != "") & typed.isNull()
 
 
-def _text(spark: SparkSession, path: str) -> DataFrame:
+def _text(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    if fmt == "xlsx":
+        return workbook.read_text(spark, path)
     schema = ", ".join(f"`{field.name}` string" for field in RAW_INVOICES)
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def invoice_rejects(spark: SparkSession, path: str, timestamp_format: str | None = None) -> DataFrame:
-    """Lines of a CSV file with text that does not fit its column, as text, with the columns at fault."""
-    text = _text(spark, path)
+def invoice_rejects(spark: SparkSession, path: str, timestamp_format: str | None = None, fmt: str = "csv") -> DataFrame:
+    """Lines of CSV files or workbooks with text that does not fit its column, as text, with the columns at fault."""
+    text = _text(spark, path, fmt)
     faults = F.array_compact(F.array(*[
         F.when(_bad(name, typed), F.lit(name)) for name, typed in _typed(text, timestamp_format).items()]))
     return text.withColumn("rejected", faults).where(F.size("rejected") > 0)
@@ -50,16 +53,24 @@ def invoice_rejects(spark: SparkSession, path: str, timestamp_format: str | None
 
 def read_invoices(spark: SparkSession, path: str, fmt: str = "csv", timestamp_format: str | None = None,
                   rejects: str = "fail") -> DataFrame:
-    """Invoice lines from CSV or Parquet with a declared schema (no inference pass).
+    """Invoice lines from CSV, workbooks (``xlsx``) or Parquet with a declared schema (no inference pass).
 
-    CSV text that does not fit its column ends the job with the column and the text.  With
+    Text that does not fit its column ends the job with the column and the text.  With
     ``rejects="drop"`` such lines are left out; ``invoice_rejects`` returns them.
     """
     if fmt == "parquet":
         return standardise(spark.read.schema(RAW_INVOICES).parquet(path))
-    if fmt != "csv" or rejects not in ("fail", "drop"):
+    if fmt not in ("csv", "xlsx") or rejects not in ("fail", "drop"):
         raise ValueError(f"unknown format or reject mode: {fmt}, {rejects}")
-    text = _text(spark, path)
+    return _lines(_text(spark, path, fmt), timestamp_format, rejects)
+
+
+def lines_of_workbooks(contents: DataFrame, rejects: str = "fail") -> DataFrame:
+    """Invoice lines of workbooks held in a ``content`` column."""
+    return _lines(workbook.workbook_text(contents), None, rejects)
+
+
+def _lines(text: DataFrame, timestamp_format: str | None, rejects: str) -> DataFrame:
     typed = _typed(text, timestamp_format)
     if rejects == "drop":
         for name, column in typed.items():
