@@ -86,15 +86,16 @@ def customer_value(purchases: bgnbd.PurchaseModel, spend: SpendModel, months: in
     return _value(bgnbd.active_purchases(purchases, [_monthly_plan(months, discount)])["p0"], purchases, spend, margin)
 
 
-def predict_all(rfm: DataFrame, purchases: bgnbd.PurchaseModel, spend: SpendModel, settings: Settings) -> DataFrame:
+def predict_all(rfm: DataFrame, purchases: bgnbd.PurchaseModel, spend: SpendModel, settings: Settings, arrow: bool = False) -> DataFrame:
     """(customer_id, predicted_purchases, p_alive, predicted_clv, clv_inr): one pass, no shuffle.
 
-    The horizon's expectation and the discounted months come from the same evaluation of a row.
+    The horizon's expectation and the discounted months come from the same evaluation of a row;
+    ``arrow`` as in :func:`bgnbd.active_purchases`.
     """
     months = settings.horizon_months
     plans = [[(float(DAYS_PER_MONTH * months), 1.0)], _monthly_plan(months, settings.monthly_discount)]
     alive = bgnbd.p_alive(purchases)
-    scored = rfm.withColumn("_active", bgnbd.active_purchases(purchases, plans))
+    scored = rfm.withColumn("_active", bgnbd.active_purchases(purchases, plans, arrow))
     return scored.select(
         "customer_id", (F.col("_active.p0") * alive).alias("predicted_purchases"), alive.alias("p_alive"),
         _value(F.col("_active.p1"), purchases, spend, settings.gross_margin).alias("predicted_clv"),

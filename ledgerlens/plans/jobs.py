@@ -73,7 +73,7 @@ def run_probabilistic(store: TableStore, settings: Settings) -> None:
     spend = gamma_gamma.fit(rfm, settings.penalizer, unit=settings.spend_unit)
     store.write_params("model_purchases", purchases)
     store.write_params("model_spend", spend)
-    scored = store.write("probabilistic_predictions", gamma_gamma.predict_all(rfm, purchases, spend, settings))
+    scored = store.write("probabilistic_predictions", gamma_gamma.predict_all(rfm, purchases, spend, settings, arrow=True))
     common = scored.join(actuals, "customer_id")
     store.write("probabilistic_validation", metrics.regression_report(common, "holdout_revenue", "predicted_clv"))
 
@@ -272,7 +272,7 @@ def score_customers(store: TableStore, table: DataFrame, settings: Settings = Se
     table = require_unique(table.select(trained_on), "customer_id", "features")
     rfm = table.select("customer_id", "frequency", "recency", "T", "monetary_value")
     probabilities = gamma_gamma.predict_all(
-        rfm, store.read_params("model_purchases", bgnbd.PurchaseModel), store.read_params("model_spend", gamma_gamma.SpendModel), settings)
+        rfm, store.read_params("model_purchases", bgnbd.PurchaseModel), store.read_params("model_spend", gamma_gamma.SpendModel), settings, arrow=True)
     matrix = features.value_matrix(table, probabilities)
     boosted = forest.predict(load_boosting(store), matrix, _inputs(matrix)).select("customer_id", "prediction")
     final = landed(stacking.final_predictions(matrix, probabilities, boosted, store.read_params("model_stack", stacking.StackModel)))

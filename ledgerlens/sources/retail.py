@@ -37,7 +37,7 @@ def _bad(name: str, typed: Column) -> Column:
 
 
 def _text(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    if fmt == "xlsx":
+    if fmt == "workbook":
         return workbook.read_text(spark, path)
     schema = ", ".join(f"`{field.name}` string" for field in RAW_INVOICES)
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -53,14 +53,14 @@ def invoice_rejects(spark: SparkSession, path: str, timestamp_format: str | None
 
 def read_invoices(spark: SparkSession, path: str, fmt: str = "csv", timestamp_format: str | None = None,
                   rejects: str = "fail") -> DataFrame:
-    """Invoice lines from CSV, workbooks (``xlsx``) or Parquet with a declared schema (no inference pass).
+    """Invoice lines from CSV, workbooks (``workbook``: .xlsx files) or Parquet with a declared schema (no inference pass).
 
     Text that does not fit its column ends the job with the column and the text.  With
     ``rejects="drop"`` such lines are left out; ``invoice_rejects`` returns them.
     """
     if fmt == "parquet":
         return standardise(spark.read.schema(RAW_INVOICES).parquet(path))
-    if fmt not in ("csv", "xlsx") or rejects not in ("fail", "drop"):
+    if fmt not in ("csv", "workbook") or rejects not in ("fail", "drop"):
         raise ValueError(f"unknown format or reject mode: {fmt}, {rejects}")
     return _lines(_text(spark, path, fmt), timestamp_format, rejects)
 

@@ -68,6 +68,7 @@ def exact_purchases(r, alpha, a, b, x, age, days):
     return float(c / bb * (1 - w ** bb * value))
 
 
+@pytest.mark.parametrize("arrow", [False, True])
 @pytest.mark.parametrize("r,alpha,a,b,x,age,days", [
     (0.6, 60.0, 1.5, 2.5, 0, 0, 365), (0.6, 60.0, 1.5, 2.5, 40, 900, 365), (0.25, 4.4, 0.793, 2.426, 5, 38, 39),
     (0.25, 1e-4, 0.8, 2.4, 0, 0, 720), (0.25, 1e-4, 0.8, 2.4, 300, 700, 720), (0.6, 7.2e-7, 1.5, 2.55, 0, 0, 720),
@@ -76,10 +77,10 @@ def exact_purchases(r, alpha, a, b, x, age, days):
     (3.5, 40.0, 30.2, 55.0, 4, 100, 365), (2.1628, 530.6, 1.5e-8, 0.0058, 0, 100, 360), (2.1628, 530.6, 1.5e-8, 0.0058, 17, 900, 30),
     (0.7, 30.0, 0.02, 3e-5, 0, 10, 360), (0.7, 30.0, 5.3, 0.002, 0, 10, 360), (0.7, 30.0, 0.9, 4e-7, 1, 300, 360),
 ])
-def test_purchases_of_active_customers_to_ten_digits(spark, r, alpha, a, b, x, age, days):
+def test_purchases_of_active_customers_to_ten_digits(spark, r, alpha, a, b, x, age, days, arrow):
     row = spark.createDataFrame([(x, float(age))], "frequency int, T double")
     plan = [[(float(days), 1.0)], [(float(days), 0.25), (days / 2, 3.0)]]
-    got = row.select(bgnbd.active_purchases(bgnbd.PurchaseModel(r, alpha, a, b), plan).alias("e")).first()["e"]
+    got = row.select(bgnbd.active_purchases(bgnbd.PurchaseModel(r, alpha, a, b), plan, arrow).alias("e")).first()["e"]
     want = exact_purchases(r, alpha, a, b, x, age, days)
     assert got["p0"] == pytest.approx(want, rel=1e-10)
     assert got["p1"] == pytest.approx(0.25 * want + 3.0 * exact_purchases(r, alpha, a, b, x, age, days / 2), rel=1e-10)

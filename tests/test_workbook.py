@@ -24,7 +24,7 @@ def test_files_read_side_by_side(spark, tmp_path):
         rows = [row(Invoice=f"{i}{j}", Quantity=j - 1, **{"Customer ID": None if j == 2 else 13085 + j}) for j in range(5)]
         (tmp_path / f"part{i}.xlsx").write_bytes(make_workbook(NAMES, rows, sheet_rows=2))
     (tmp_path / "empty.xlsx").write_bytes(make_workbook(NAMES, []))
-    lines = read_invoices(spark, str(tmp_path), "xlsx").collect()
+    lines = read_invoices(spark, str(tmp_path), "workbook").collect()
     assert len(lines) == 15
     one = next(r for r in lines if r["InvoiceNo"] == "13")
     assert (one["Quantity"], one["CustomerID"], one["UnitPrice"], one["InvoiceDate"]) == (2, 13088, 69500, datetime(2009, 12, 1, 7, 45))
@@ -34,9 +34,9 @@ def test_files_read_side_by_side(spark, tmp_path):
 def test_text_that_fits_no_column(spark, tmp_path):
     (tmp_path / "a.xlsx").write_bytes(make_workbook(NAMES, [row(), row(Quantity="many")]))
     with pytest.raises(Exception, match="Quantity cannot be read: many"):
-        read_invoices(spark, str(tmp_path), "xlsx").collect()
-    assert read_invoices(spark, str(tmp_path), "xlsx", rejects="drop").count() == 1
-    assert [r["rejected"] for r in invoice_rejects(spark, str(tmp_path), fmt="xlsx").collect()] == [["Quantity"]]
+        read_invoices(spark, str(tmp_path), "workbook").collect()
+    assert read_invoices(spark, str(tmp_path), "workbook", rejects="drop").count() == 1
+    assert [r["rejected"] for r in invoice_rejects(spark, str(tmp_path), fmt="workbook").collect()] == [["Quantity"]]
 
 
 def book(sheet, strings="", late=""):
