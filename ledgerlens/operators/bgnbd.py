@@ -45,15 +45,15 @@ def p_alive(model: PurchaseModel) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + _dropout_odds(model))
 
 
-def active_purchases(model: PurchaseModel, plans: Sequence[Sequence[tuple[float, float]]], arrow: bool = False) -> Column:
+def active_purchases(model: PurchaseModel, plans: Sequence[Sequence[tuple[float, float]]], arrow: bool = True) -> Column:
     """Struct p0, p1, …: per plan Σ weight · E[purchases in the next ``days`` | still active] over its (days, weight) pairs.
 
     A customer active now with dropout chance p and purchase rate λ buys (1 − e^(−λpt)) / p times on
     average; λ is gamma and p beta distributed given the history, which leaves the mean of
     (1 − (1 + p·t/(α+T))^−(r+x)) / p over Beta(a, b+x).  All rows and plans share one set of nodes
     (about a hundred, set by the model alone), and nothing special happens where a nears 1, T nears 0
-    or t is long.  By default one fold over the nodes in the JVM; with ``arrow`` array arithmetic over
-    batches of rows in Python workers, which takes a tenth of the time where tables are large.
+    or t is long.  By default array arithmetic over batches of rows in Python workers; without ``arrow`` one fold over the
+    nodes in the JVM, which takes ten times as long where tables are large.  Rows should be spread (``stability.spread``) before.
     """
     longest = max((days for plan in plans for days, _ in plan), default=1.0)
     rule = logit_rule(model.a, model.b, longest * max(1.0, model.r / model.alpha))

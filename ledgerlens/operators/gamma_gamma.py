@@ -12,7 +12,7 @@ from ledgerlens.config import Settings
 from ledgerlens.functions.special import polygammas
 from ledgerlens.operators import bgnbd
 from ledgerlens.operators.likelihood import maximise
-from ledgerlens.operators.stability import materialise
+from ledgerlens.operators.stability import materialise, spread
 from ledgerlens.schemas import require_columns
 
 DAYS_PER_MONTH = 30
@@ -86,8 +86,8 @@ def customer_value(purchases: bgnbd.PurchaseModel, spend: SpendModel, months: in
     return _value(bgnbd.active_purchases(purchases, [_monthly_plan(months, discount)])["p0"], purchases, spend, margin)
 
 
-def predict_all(rfm: DataFrame, purchases: bgnbd.PurchaseModel, spend: SpendModel, settings: Settings, arrow: bool = False) -> DataFrame:
-    """(customer_id, predicted_purchases, p_alive, predicted_clv, clv_inr): one pass, no shuffle.
+def predict_all(rfm: DataFrame, purchases: bgnbd.PurchaseModel, spend: SpendModel, settings: Settings, arrow: bool = True) -> DataFrame:
+    """(customer_id, predicted_purchases, p_alive, predicted_clv, clv_inr): one pass over rows spread over all tasks.
 
     The horizon's expectation and the discounted months come from the same evaluation of a row;
     ``arrow`` as in :func:`bgnbd.active_purchases`.
@@ -95,7 +95,7 @@ def predict_all(rfm: DataFrame, purchases: bgnbd.PurchaseModel, spend: SpendMode
     months = settings.horizon_months
     plans = [[(float(DAYS_PER_MONTH * months), 1.0)], _monthly_plan(months, settings.monthly_discount)]
     alive = bgnbd.p_alive(purchases)
-    scored = rfm.withColumn("_active", bgnbd.active_purchases(purchases, plans, arrow))
+    scored = spread(rfm.select("customer_id", "frequency", "recency", "T", "monetary_value")).withColumn("_active", bgnbd.active_purchases(purchases, plans, arrow))
     return scored.select(
         "customer_id", (F.col("_active.p0") * alive).alias("predicted_purchases"), alive.alias("p_alive"),
         _value(F.col("_active.p1"), purchases, spend, settings.gross_margin).alias("predicted_clv"),
@@ -104,7 +104,7 @@ def predict_all(rfm: DataFrame, purchases: bgnbd.PurchaseModel, spend: SpendMode
 
 def frequency_recency_table(rfm: DataFrame, purchases: bgnbd.PurchaseModel, days: int, width: int = 30) -> DataFrame:
     """Average expectation and P(alive) of the customer base by frequency and recency bucket."""
-    return rfm.select(
+    return spread(rfm.select("frequency", "recency", "T")).select(
         "frequency", F.floor(F.col("recency") / width).cast("int").alias("recency_bucket"),
         bgnbd.expected_purchases(purchases, days).alias("e"), bgnbd.p_alive(purchases).alias("alive"),
     ).groupBy("frequency", "recency_bucket").agg(
@@ -117,7 +117,7 @@ def calibration(rfm: DataFrame, holdout_purchases: DataFrame, purchases: bgnbd.P
     ``holdout_purchases``: (customer_id, n_purchases); customers absent from it bought nothing.
     """
     return (
-        rfm.join(holdout_purchases, "customer_id", "left")
+        spread(rfm.join(holdout_purchases, "customer_id", "left").select("frequency", "recency", "T", "n_purchases"))
         .select("frequency", F.coalesce("n_purchases", F.lit(0)).alias("n"),
                 bgnbd.expected_purchases(purchases, days).alias("e"))
         .groupBy("frequency")

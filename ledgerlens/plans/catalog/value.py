@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import bgnbd, gamma_gamma, likelihood, metrics
+from ledgerlens.operators.stability import spread
 from ledgerlens.plans.catalog import inputs
 from ledgerlens.plans.catalog.registry import SETTINGS, fragment, query
 
@@ -55,7 +56,7 @@ def value_p_alive(spark, sf):
 
 @query("value_expected_purchases", f"SELECT customer_id, round({expectation_sql(365)}, 7) AS purchases FROM rfm", ["rfm"])
 def value_expected_purchases(spark, sf):
-    return inputs.rfm(spark, sf).select(
+    return spread(inputs.rfm(spark, sf)).select(
         "customer_id", F.round(bgnbd.expected_purchases(BUY, 365), 7).alias("purchases"))
 
 
@@ -90,7 +91,7 @@ def value_fast_buyers(spark, sf):
     age = F.when(kind == 0, 0.0).when(kind == 1, 0.001).when(kind == 2, 1.0).when(kind == 3, 60.0).otherwise(2000.0)
     rows = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("customer_id"), x.alias("frequency"), age.alias("T"))
     active = bgnbd.active_purchases(EAGER, [[(float(FAST_DAYS), 1.0)]])["p0"]
-    return rows.select("customer_id", F.round(active, 7).alias("purchases"))
+    return spread(rows).select("customer_id", F.round(active, 7).alias("purchases"))
 
 
 @query("value_expected_spend", f"SELECT customer_id, round({MONEY}, 3) AS spend FROM rfm", ["rfm"])
