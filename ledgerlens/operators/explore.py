@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.money import exact_sum, in_units
 from ledgerlens.operators.quantiles import melt, quantiles, scalar_quantile
 from ledgerlens.operators.ranking import by_score, place, unfold, whole
-from ledgerlens.operators.stability import ship
+from ledgerlens.operators.stability import landed, ship
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -28,8 +28,8 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, quartiles exact."""
-    long = melt(df, columns).where(F.col("value").isNotNull())
+    """count, mean, std, min, quartiles and max per column, quartiles exact; ``df`` is worked out once, its values are written."""
+    long = landed(melt(df, columns).where(F.col("value").isNotNull()))
     moments = long.groupBy("column").agg(
         F.count("value").alias("n"), F.round(F.avg("value"), digits).alias("mean"),
         F.round(F.stddev_samp("value"), digits).alias("std"),

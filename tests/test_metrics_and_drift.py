@@ -114,3 +114,20 @@ def test_comparison_table(spark):
     long = spark.createDataFrame([("A", "MAE", 1.23456), ("A", "r", 0.5), ("B", "MAE", 2.0)], "model string, metric string, value double")
     got = {r["model"]: r for r in metrics.comparison_table(long).collect()}
     assert got["A"]["MAE"] == 1.2346 and got["B"]["r"] is None
+
+
+def test_a_table_is_described_from_one_pass(spark):
+    """The described table is worked out once; moments and quartiles come from its written values."""
+    from ledgerlens.operators.explore import describe
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    table = spark.range(1, 102).selectExpr("cast(id as double) as a", "if(id > 51, null, id * 2.0) as b").mapInArrow(count, "a double, b double")
+    rows = {r["column"]: r for r in describe(table, ["a", "b"]).collect()}
+    assert seen.value == 101
+    assert (rows["a"]["n"], rows["a"]["mean"], rows["a"]["p25"], rows["a"]["max"]) == (101, 51.0, 26.0, 101.0)
+    assert (rows["b"]["n"], rows["b"]["min"], rows["b"]["p50"]) == (51, 2.0, 52.0)
