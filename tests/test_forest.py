@@ -176,3 +176,71 @@ def test_a_run_with_search(spark, tmp_path):
     parts = store.read("attributions").groupBy("customer_id").agg((F.sum("contribution") + F.first("base_value")).alias("s"))
     gap = parts.join(store.read("boosted_predictions"), "customer_id").agg(F.max(F.abs(F.col("s") - F.col("prediction")))).first()[0]
     assert gap < 1e-6
+
+
+def _grown_plainly(codes, gradient, rows, params):
+    """Leaf-wise growth written down without histograms: every border of every input of every leaf is tried."""
+    def split(some):
+        best, total = (1e-12, None, None), gradient[some].sum()
+        worth = lambda g, n: max(abs(g) - params.reg_alpha, 0.0) ** 2 / (n + params.reg_lambda)
+        for j in range(codes.shape[1]):
+            for cut in range(int(codes.max())):
+                left = some[codes[some, j] <= cut]
+                n = len(left)
+                if min(n, len(some) - n) >= params.min_child_samples:
+                    g = gradient[left].sum()
+                    gain = worth(g, n) + worth(total - g, len(some) - n) - worth(total, len(some))
+                    if gain > best[0] * (1 + 1e-9):
+                        best = (gain, j, cut)
+        return best
+
+    leaves = [(rows, 0, split(rows))]
+    while len(leaves) < params.num_leaves:
+        open_ = [i for i, (_, depth, s) in enumerate(leaves) if s[1] is not None and (params.max_depth < 0 or depth < params.max_depth)]
+        if not open_:
+            break
+        some, depth, (_, j, cut) = leaves.pop(max(open_, key=lambda i: leaves[i][2][0]))
+        leaves += [(side, depth + 1, split(side)) for side in (some[codes[some, j] <= cut], some[codes[some, j] > cut])]
+    return {tuple(some) for some, _, _ in leaves}
+
+
+@pytest.mark.parametrize("params", [
+    BoostParams(num_leaves=9, min_child_samples=5), BoostParams(num_leaves=30, min_child_samples=12, max_depth=3), BoostParams(num_leaves=1)])
+def test_leaves_of_a_tree_and_what_rows_reach(params):
+    source = np.random.default_rng(3)
+    codes, gradient = source.integers(0, 12, (200, 3)), source.normal(size=200)
+    rows = np.flatnonzero(source.random(200) < 0.8)
+    tree, reached = forest._grow(codes, gradient, rows, np.arange(3), 12, params)
+    assert np.array_equal(reached, forest._reach(codes[rows], tree))
+    leaf = forest._reach(codes[rows], {**tree, "value": list(range(len(tree["value"])))})
+    assert {tuple(rows[leaf == i]) for i in np.unique(leaf)} == _grown_plainly(codes, gradient, rows, params)
+
+
+def test_tabulated_attributions_equal_the_integrals():
+    """Short paths are looked up, longer ones integrated; both for values on borders, beyond them, missing and infinite."""
+    trees = (("a", 1.0, ("b", 0.0, (3.0, 4.0), ("a", 0.5, (1.0, 2.0), (7.0, 3.0))), ("c", 2.0, ("a", 4.0, (2.0, 5.0), (6.0, 1.0)), (9.0, 2.0))),
+             ("c", 0.0, (1.5, 3.0), (2.5, 4.0)))
+    groups = forest._grouped(forest.from_nested(INPUTS, 1.0, trees))
+    assert len(groups) > 1
+    values = [-np.inf, -1.0, 0.0, 0.5, 0.7, 1.0, 2.0, 4.0, 9.0, np.inf, np.nan]
+    x = np.array([[a, b, c] for a in values for b in values for c in values])
+    plain = np.zeros(x.shape)
+    for g in groups:
+        paid = forest._payments(g, forest._met(g, x[:, g.feature]))
+        for leaf in range(len(g.value)):
+            for at, j in enumerate(g.feature[leaf]):
+                plain[:, j] += paid[:, leaf, at]
+    assert np.allclose(forest.shapley(groups, x, 3), plain, rtol=0, atol=1e-12)
+    monkey, forest.TABLE_INPUTS = forest.TABLE_INPUTS, 1
+    try:
+        assert np.allclose(forest.shapley(groups, x, 3), plain, rtol=0, atol=1e-12)
+    finally:
+        forest.TABLE_INPUTS = monkey
+
+
+def test_folds_of_trials_that_cannot_be_stopped_run_together(table, monkeypatch):
+    calls = []
+    fit = search.fit_side_by_side
+    monkeypatch.setattr(search, "fit_side_by_side", lambda spark, sample, jobs, keep_trees: calls.append(len(jobs)) or fit(spark, sample, jobs, keep_trees))
+    search.search(table, INPUTS, "y", trials=11, folds=3, space=SMALL_SPACE)
+    assert calls[:2] == [30, 1] and len(calls) == 3

@@ -126,7 +126,7 @@ def test_a_table_is_described_from_one_pass(spark):
             seen.add(batch.num_rows)
             yield batch
 
-    table = spark.range(1, 102).selectExpr("cast(id as double) as a", "if(id > 51, null, id * 2.0) as b").mapInArrow(count, "a double, b double")
+    table = spark.range(1, 102).selectExpr("cast(id as double) as a", "if(id > 51, null, id * 2D) as b").mapInArrow(count, "a double, b double")
     rows = {r["column"]: r for r in describe(table, ["a", "b"]).collect()}
     assert seen.value == 101
     assert (rows["a"]["n"], rows["a"]["mean"], rows["a"]["p25"], rows["a"]["max"]) == (101, 51.0, 26.0, 101.0)
