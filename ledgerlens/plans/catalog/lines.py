@@ -183,7 +183,7 @@ def source_invoice_workbook(spark, sf):
     import pyarrow as pa
 
     from ledgerlens.config import MINOR_PER_UNIT
-    from ledgerlens.operators.stability import landed, ship
+    from ledgerlens.operators.stability import landed, ship, spread
     from ledgerlens.schemas import RAW_INVOICES
     from ledgerlens.sources.retail import lines_of_workbooks
     from ledgerlens.sources.workbook import make_workbook
@@ -201,5 +201,5 @@ def source_invoice_workbook(spark, sf):
             if books:
                 yield pa.RecordBatch.from_arrays([pa.array(books, pa.binary())], ["content"])
 
-    lines = lines_of_workbooks(landed(published.mapInArrow(pack, "content binary")))
+    lines = lines_of_workbooks(landed(spread(published).mapInArrow(pack, "content binary")))
     return lines.withColumn("day", F.to_date("InvoiceDate")).drop("InvoiceDate")

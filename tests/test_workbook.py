@@ -61,3 +61,13 @@ def test_cells_as_spreadsheet_programs_write_them():
     with pytest.raises(ValueError, match="sheet S has no column Z"):
         list(workbook_lines(book(head + body, strings), ["A", "Z"]))
     assert list(workbook_lines(book(""), ["A"])) == []
+
+
+def test_lines_are_packed_by_all_tasks(spark, monkeypatch):
+    """The joined lines of a small table sit in one partition; workbooks are made, and then read, by all tasks."""
+    from ledgerlens.operators import stability
+    from ledgerlens.plans.catalog import QUERIES
+    parts, land = [], stability.landed
+    monkeypatch.setattr(stability, "landed", lambda df: parts.append(df.rdd.getNumPartitions()) or land(df))
+    lines = QUERIES["source_invoice_workbook"](spark, "/root/testdata/sf0.001")
+    assert parts[0] >= 8 and lines.count() == spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
