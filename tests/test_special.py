@@ -129,11 +129,11 @@ def test_likelihood_of_heavy_buyers_is_not_clamped(spark):
 
 
 def test_histories_are_spread_before_they_are_valued(spark):
-    """A table that sits in one partition is valued by all tasks, in batches; values are those of the fold over the nodes."""
+    """A table that sits in one partition is valued by all tasks; values in batches are those of the fold over the nodes."""
     rfm = spark.range(400).select(
         F.col("id").alias("customer_id"), (F.col("id") % 9).alias("frequency"), (F.col("id") * 3 % 300).cast("int").alias("recency"),
         (F.col("id") * 3 % 300 + 50).cast("int").alias("T"), (F.col("id") * 1.5 + 10).alias("monetary_value")).coalesce(1)
-    scored = gamma_gamma.predict_all(rfm, bgnbd.PurchaseModel(0.6, 60.0, 1.5, 2.5), gamma_gamma.SpendModel(6.0, 4.0, 15.0), Settings())
+    scored = gamma_gamma.predict_all(rfm, bgnbd.PurchaseModel(0.6, 60.0, 1.5, 2.5), gamma_gamma.SpendModel(6.0, 4.0, 15.0), Settings(), arrow=True)
     sizes = scored.groupBy(F.spark_partition_id()).count().collect()
     assert len(sizes) >= 8 and max(r["count"] for r in sizes) <= 100
     plain = gamma_gamma.predict_all(rfm, bgnbd.PurchaseModel(0.6, 60.0, 1.5, 2.5), gamma_gamma.SpendModel(6.0, 4.0, 15.0), Settings(), arrow=False)
