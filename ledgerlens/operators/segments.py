@@ -6,15 +6,18 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
+from pyspark import StorageLevel
+from pyspark.ml.clustering import GaussianMixtureModel
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.config import DEFAULT_ACTION, SEGMENT_ACTIONS, SEGMENT_NAMES
+from ledgerlens.operators import mixture
 from ledgerlens.operators.stability import materialise
 
 INPUTS = ("log1p_clv", "p_alive", "recency_days")
+TOLERANCE = 1e-3  # change of the log-likelihood at which a start stands still
 
 
 def _filled(name: str) -> Column:
@@ -48,11 +51,6 @@ def _vector(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(INPUTS), outputCol="_raw").transform(df)
 
 
-def _best_mixture(rows: DataFrame, k: int, starts: int, rounds: int, seed: int) -> GaussianMixtureModel:
-    fits = [GaussianMixture(featuresCol="_scaled", k=k, maxIter=rounds, tol=1e-3, seed=seed + i).fit(rows) for i in range(starts)]
-    return max(fits, key=lambda m: m.summary.logLikelihood)
-
-
 def bic(log_likelihood: float, k: int, n: int, d: int = len(INPUTS)) -> float:
     free = (k - 1) + k * d + k * d * (d + 1) // 2
     return -2.0 * log_likelihood + free * math.log(n)
@@ -60,21 +58,37 @@ def bic(log_likelihood: float, k: int, n: int, d: int = len(INPUTS)) -> float:
 
 def fit(df: DataFrame, k_range: Sequence[int] = (5,), select_starts: int = 3, final_starts: int = 5,
         select_rounds: int = 300, final_rounds: int = 500, seed: int = 42) -> SegmentModel:
-    """Smallest-BIC number of components, then the best of several starts, then names from centroids."""
+    """Smallest-BIC number of components, then the best of several starts, then names from centroids.
+
+    The starts of a step go through the rows together.  Those of the chosen k that the choice has seen are the same
+    in the last step, so they go on from where they stood.
+    """
     raw = _vector(segment_inputs(df))
     scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True).fit(raw)
-    rows = materialise(scaler.transform(raw))
+    rows = materialise(scaler.transform(raw)).persist(StorageLevel.MEMORY_AND_DISK)
     n = rows.count()
-    scores = {}
-    if len(k_range) > 1:
-        scores = {k: bic(_best_mixture(rows, k, select_starts, select_rounds, seed).summary.logLikelihood, k, n) for k in k_range}
-    k = min(scores, key=scores.get) if scores else k_range[0]
-    mixture = _best_mixture(rows, k, final_starts, final_rounds, seed)
+    blocks = mixture.packed(rows, "_scaled", n)
+    drawn, scores = {}, {}
+    try:
+        if len(k_range) > 1:
+            starts = [(k, seed + i) for k in k_range for i in range(select_starts)]
+            drawn = {(f.k, f.seed): f for f in mixture.draw(rows, starts, "_scaled")}
+            drawn |= {(f.k, f.seed): f for f in mixture.advance(blocks, list(drawn.values()), select_rounds, TOLERANCE)}
+            scores = {k: bic(max(f.log_likelihood for f in drawn.values() if f.k == k), k, n) for k in k_range}
+        k = min(scores, key=scores.get) if scores else k_range[0]
+        known = [f for i in range(final_starts) if (f := drawn.get((k, seed + i))) and f.rounds <= final_rounds]
+        more = [(k, seed + i) for i in range(final_starts) if (k, seed + i) not in {(f.k, f.seed) for f in known}]
+        fits = mixture.advance(blocks, [*known, *mixture.draw(rows, more, "_scaled")], final_rounds, TOLERANCE)
+    finally:
+        blocks.unpersist()
+    best = max(sorted(fits, key=lambda f: f.seed), key=lambda f: f.log_likelihood)
     if not scores:
-        scores = {k: bic(mixture.summary.logLikelihood, k, n)}
-    clustered = mixture.setPredictionCol("segment_id").transform(rows)
+        scores = {k: bic(best.log_likelihood, k, n)}
+    model = mixture.spark_model(best, "_scaled", final_rounds, TOLERANCE)
+    clustered = model.setPredictionCol("segment_id").transform(rows)
     names = {row["segment_id"]: row["segment_name"] for row in cluster_names(clustered).collect()}  # at most k rows
-    return SegmentModel(scaler, mixture, names, scores)
+    rows.unpersist()
+    return SegmentModel(scaler, model, names, scores)
 
 
 def store_model(store, model: SegmentModel) -> None:

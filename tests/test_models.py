@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.clustering import GaussianMixtureModel
+from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
@@ -227,6 +227,35 @@ def test_segments_find_separated_groups(spark, tmp_path):
     assert np.allclose(again.weights, model.mixture.weights)
 
 
+def test_mixture_starts_share_passes_and_end_as_sparks_own(spark, tmp_path):
+    draw = np.random.default_rng(9)
+    rows = [(i, float(np.expm1(abs(draw.normal((7, 5, 3, 2)[i % 4], 0.9)))), 0.5 if i % 5 == 0 else float(draw.uniform(0, 1)),
+             float(draw.normal((30, 90, 200, 0)[i % 4], 40))) for i in range(900)]
+    rows += [(None, None, None, None), rows[0], rows[0]]
+    df = spark.createDataFrame(rows, "customer_id long, predicted_clv double, p_alive double, recency_days double").coalesce(2)
+    spark.sparkContext.setJobGroup("mixture", "one fit")
+    model = segments.fit(df, k_range=(2, 3), select_starts=3, final_starts=4, select_rounds=12, final_rounds=30)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("mixture"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 80  # one fit after another: some 30 rounds of four starts and 12 of six, a job each and more
+    scaled = model.scaler.transform(segments._vector(segments.segment_inputs(df)))
+    fits = {(k, s): GaussianMixture(featuresCol="_scaled", k=k, maxIter=m, tol=1e-3, seed=s).fit(scaled)
+            for k, m, n in ((2, 12, 3), (3, 12, 3)) for s in range(42, 42 + n)}
+    for k, value in model.bic.items():
+        assert np.isclose(value, segments.bic(max(f.summary.logLikelihood for (j, _), f in fits.items() if j == k), k, 903), rtol=1e-10)
+    k = min(model.bic, key=model.bic.get)
+    last = [GaussianMixture(featuresCol="_scaled", k=k, maxIter=30, tol=1e-3, seed=s).fit(scaled) for s in range(42, 46)]
+    best = max(last, key=lambda f: f.summary.logLikelihood)
+    for got in (model.mixture, (TableStore(spark, str(tmp_path)).write_model("m", model.mixture),
+                                TableStore(spark, str(tmp_path)).read_model("m", GaussianMixtureModel))[1]):
+        assert np.allclose(got.weights, best.weights, rtol=1e-7)
+        for one, other in zip(got.gaussians, best.gaussians):
+            assert np.allclose(one.mean.toArray(), other.mean.toArray(), atol=1e-7) and np.allclose(one.cov.toArray(), other.cov.toArray(), atol=1e-7)
+        assert got.getK() == k
+    ids = lambda m: sorted(r["segment_id"] for r in m.setPredictionCol("segment_id").transform(scaled).collect())
+    assert ids(model.mixture) == ids(best)
+
+
 def test_cluster_names_rule(spark):
     rows = [(0, 9.0, 0.9), (1, 8.0, 0.2), (2, 5.0, 0.8), (3, 3.0, 0.5), (4, 1.0, 0.4), (5, 0.5, 0.1)]
     df = spark.createDataFrame(rows, "segment_id int, log1p_clv double, p_alive double")
