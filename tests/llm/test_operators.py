@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -314,6 +315,45 @@ def test_token_store_round_trip(spark):
     assert token_store.round_trip(frame(spark, []), path).count() == 0
 
 
+def test_words_are_looked_up_once_for_many_texts(monkeypatch):
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(37)
+    plain = token_counts.library(path)
+    pool = ["It's", "ẞ", "x<|endoftext|>y", "12ab", "日本", "é" * 70, "z" * 99, "we'll''d", "µ", "!!'s", "\x1c", "<|startoftext|>", "ÀÖ"]
+    texts = [None, "", " \t", *(rng.choice(["", " "]) + rng.choice([" ", "\n\x0b ", "\x0c"]).join(
+        rng.choice(pool) if rng.random() < 0.6 else f"w{rng.randrange(40)}é{rng.randrange(9)}" for _ in range(rng.randrange(30))) for _ in range(200))]
+    for kept, chunk in ((800_000, 1 << 22), (20, 300)):
+        monkeypatch.setattr(token_store, "KEPT", kept)
+        monkeypatch.setattr(token_store, "CHUNK_BYTES", chunk)
+        encoder, column, looked_up = token_store.WordEncoder(path), pa.array(texts), []
+        encoder.words = type("Words", (dict,), {"get": lambda self, word: looked_up.append(word) or dict.get(self, word)})()
+        ids, counts, chunks = [], [], list(token_store._chunks(column))
+        for begin, end in chunks:
+            some, each = encoder.encode(column.slice(begin, end - begin))
+            ids += some.tolist()
+            counts += each.tolist()
+        want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert counts == [len(w) for w in want] and ids == [i for w in want for i in w]
+        if kept == 20:
+            assert len(chunks) > 5 and [b for b, _ in chunks[1:]] == [e for _, e in chunks[:-1]] and chunks[-1][1] == len(texts)
+        else:
+            assert len(chunks) == 1 and len(looked_up) == len(set(looked_up))
+        assert all(len(w) <= token_counts.LONGEST_KEPT for w in [*encoder.words, *encoder.pieces])
+
+
+def test_shards_end_with_the_text_that_fills_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_store, "CHUNK_BYTES", 40)
+    rng, path = random.Random(41), public_tokenizers.path("word_bpe_49k.json")
+    rows = [(i if i else None, " ".join(rng.choice("abc") for _ in range(rng.randrange(12))), "s") for i in range(60)]
+    token_store.write(frame(spark, rows).coalesce(1), str(tmp_path / "s"), path, shard_tokens=20)
+    shards = spark.read.parquet(str(tmp_path / "s")).collect()
+    lengths = {(r["part"], r["shard"]): np.frombuffer(r["lengths"], "<u4") for r in shards}
+    last = {p: max(s for q, s in lengths if q == p) for p, _ in lengths}
+    for (part, shard), each in lengths.items():
+        assert each[:-1].sum() < 20 and (each.sum() >= 20 or shard == last[part])
+    got = rows_of(token_store.digest(spark, str(tmp_path / "s")), "doc_id", "start", "n_tokens", "ids_crc32")
+    assert got == sorted(plain_digest(rows, token_counts.library(path)), key=repr)
+
+
 def test_long_passages_of_longer_items_are_found(spark):
     rng = random.Random(23)
     some = lambda n: [f"v{rng.randrange(3000)}" for _ in range(n)]
