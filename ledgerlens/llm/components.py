@@ -17,8 +17,8 @@ def components(links: DataFrame) -> DataFrame:
 
     Each step sends a node's neighbours to its least neighbour: minima come from a map-side
     aggregation, and a hub's rows meet its one minimum in a join that adaptive execution can split.
-    Edges never outnumber the input, nothing is gathered per component, and a component of any
-    diameter takes about log² steps.
+    Edges never outnumber the input, so those counted before a step say how many files its tables
+    need.  Nothing is gathered per component, and a component of any diameter takes about log² steps.
     """
     edges = materialise(
         links.where("a is not null and b is not null and a <> b")
@@ -29,11 +29,11 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = materialise(
-            both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+            both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), before[0],
         )
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = materialise(moved.union(lower.select("a", F.col("m").alias("b"))).distinct())
+        edges = materialise(moved.union(lower.select("a", F.col("m").alias("b"))).distinct(), before[0])
         after = _state(edges)
         if after == before:
             break

@@ -28,12 +28,12 @@ def _sized(df: DataFrame, key: str, text: str, source: str) -> DataFrame:
     return df.select(F.col(source).cast("string").alias("src"), word_count(text).alias("size"), hash48(key).alias("h"))
 
 
-def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, sources: int | None = None) -> DataFrame:
     """(src, source_size) → with target.  Sources rank by code point, null last.
 
     A cap binds for the sources with the least cap per weight.  With the first k of them at their
     caps, the others get (total − caps)/(other weights) per unit of weight; the largest such rate
-    over k is the one at which shares add up to the total.
+    over k is the one at which shares add up to the total.  ``sources``: how many there are, if known.
     """
     ranked = running_totals(sizes.withColumn("nul", F.col("src").isNull()), order=[F.col("nul"), F.col("src")]).select(
         "src", "source_size", F.element_at(F.array(*map(F.lit, weights)), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
@@ -42,7 +42,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     capped = ranked.withColumn("cap", F.col("source_size") * most).withColumn("nul", F.col("src").isNull())
     ordered = materialise(running_totals(
         capped.withColumn("room", F.col("cap") / F.col("weight")), order=[F.col("room"), F.col("nul"), F.col("src")], sums=("cap", "weight"),
-    ))
+    ), sources)
     whole = ordered.agg(F.struct(F.sum("source_size").alias("size"), F.sum("weight").alias("weight"))).scalar()
     total, weight = whole["size"], whole["weight"]
     rate = ordered.agg(F.max(
@@ -56,7 +56,8 @@ def thresholds(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
     """One row per source: src, source_size, target, repeats, cut (48-bit hash; documents below it are taken once more)."""
     rows = land(_sized(df, key, text, source))
     sizes = rows.groupBy("src").agg(F.sum("size").alias("source_size"))
-    targets = materialise(source_targets(sizes, weights, most))
+    sources = sizes.count()  # the rows of all tables below but the buckets
+    targets = materialise(source_targets(sizes, weights, most, sources), sources)
     repeats = F.when(F.col("source_size") > 0, F.least(F.lit(most), F.floor(F.col("target") / F.col("source_size")))).otherwise(0)
     state = targets.select(
         "src", "source_size", "target", repeats.cast("bigint").alias("repeats"), F.lit(0).cast("bigint").alias("prefix"),
@@ -82,7 +83,7 @@ def thresholds(df: DataFrame, key: str = "doc_id", text: str = "text", source: s
             fits.groupBy("src", "source_size", "target", "repeats", "rest", "before").agg(last).select(
                 "src", "source_size", "target", "repeats", "rest", F.col("last.bucket").alias("prefix"),
                 (F.col("before") + F.col("last.ahead")).alias("before"), F.col("last.inside").alias("inside"),
-            )
+            ), sources,
         )
     nearer = F.col("before") + F.col("inside") / 2.0 <= F.col("rest")
     return land(state.select("src", "source_size", "target", "repeats", (F.col("prefix") + nearer.cast("bigint")).alias("cut")))

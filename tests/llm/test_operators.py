@@ -1,6 +1,7 @@
 """Training-data operators against brute force, and their edge cases: nulls, empty and long texts, ties, repeats, empty tables, clashing names."""
 
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import ann, components, decontaminate, mixing, secret_scan, sharding, simhash, token_counts, token_store, toxicity, url_filter
 from ledgerlens.llm.wavelet import WaveletFile, build
+from ledgerlens.operators import stability
 
 DOCS = "doc_id long, text string, source string"
 # Columns whose names the operators use for their own results.
@@ -147,6 +149,42 @@ def test_long_chain_is_one_component(spark):
     assert len(got) == 301 and {r["root"] for r in got} == {0}
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """A session of 40 shuffle partitions that stay as they are; gives the files of whole tables written so far."""
+    names = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    top = pathlib.Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    yield lambda: sum(1 for p in top.rglob("part-*"))
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_rounds_over_few_links_write_few_files(spark, many_partitions):
+    before = many_partitions()
+    got = components.components(spark.range(300).selectExpr("id as a", "id + 1 as b")).collect()
+    assert len(got) == 301 and {r["root"] for r in got} == {0}
+    # The first table's size is not known yet; each of some ten rounds writes two more.
+    assert many_partitions() - before < 3 * 40
+
+
+def test_tables_of_sources_take_few_files(spark, many_partitions):
+    docs = frame(spark, [(i, "word " * (i % 7), "abcd"[i % 4]) for i in range(200)])
+    before = many_partitions()
+    assert mixing.thresholds(docs).count() == 4
+    assert many_partitions() - before < 2 * 40
+
+
+def test_a_table_of_known_size_takes_files_by_its_rows(spark):
+    rows = spark.range(0, 90_000, numPartitions=9)
+    for most, files in ((None, 9), (90_000, 5), (10_000_000, 9), (0, 1)):
+        kept = stability.materialise(rows, most)
+        assert kept.rdd.getNumPartitions() == files
+        assert sorted(r["id"] for r in kept.collect()) == list(range(90_000))
+
+
 def test_alignment_matches_plain_table():
     rng = random.Random(9)
     for _ in range(40):
