@@ -31,8 +31,8 @@ from ledgerlens.operators.stability import checkpoint_folder, partition_count
 
 END = 1  # id that closes a document
 SHARD_TOKENS = 1_000_000
-KEPT = 800_000  # words and pieces a worker remembers
-CHUNK_BYTES = 8 << 20  # text encoded at once, unless one text is longer
+KEPT = 400_000  # words, and pieces, a worker remembers: some 65 MB each
+CHUNK_BYTES = 2 << 20  # text encoded at once, unless one text is longer
 BREAK, _BREAK = b"\xff" * 4, 0xFFFFFFFF  # between words; no id
 _SHARDS = "part int, shard int, part_offset bigint, n_docs int, n_tokens bigint, doc_ids binary, no_id binary, lengths binary, payload binary"
 
@@ -116,18 +116,17 @@ class WordEncoder:
         if new:
             self._learn(new)
             each = [known[word] if found is None else found for word, found in zip(distinct, each)]
-        table = np.frombuffer(b"".join(each), "<u4")
-        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
-        places = coded.indices.to_numpy()
-        counts = sizes[places]
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        ids = table[np.repeat((np.cumsum(sizes) - sizes)[places] - ends[:-1], counts) + np.arange(ends[-1])]
+        # As bytes, so that no array of positions is needed, which takes several times the memory of the ids.
+        coded_ids = pa.array(each, pa.large_binary()).take(coded.indices)
+        _, places, packed = coded_ids.buffers()
+        ends = np.frombuffer(places, "<i8", len(coded_ids) + 1) // 4 if len(coded_ids) else np.zeros(1, np.int64)
+        ids = np.frombuffer(packed, "<u4", ends[-1]) if ends[-1] else np.zeros(0, "<u4")
         for word in new:
             if len(word) > LONGEST_KEPT:
                 del known[word]
         for kept in (known, self.pieces):
-            if len(kept) > KEPT:  # the older half goes
-                for one in list(islice(kept, len(kept) // 2)):
+            if len(kept) > KEPT:  # the oldest quarter goes, and what is above the bound
+                for one in list(islice(kept, len(kept) - KEPT * 3 // 4)):
                     del kept[one]
         edges = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])
         return ids, np.diff(ends[edges])
@@ -218,7 +217,7 @@ def digest(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):  # one payload at a time
                 ids = WaveletFile(row["payload"]).all().astype("<u4")
                 keys, absent = np.frombuffer(row["doc_ids"], "<i8"), np.frombuffer(row["no_id"], "u1").astype(bool)
                 lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)

@@ -4,6 +4,7 @@ import math
 import pathlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -378,6 +379,24 @@ def test_words_are_looked_up_once_for_many_texts(monkeypatch):
         assert all(len(w) <= token_counts.LONGEST_KEPT for w in [*encoder.words, *encoder.pieces])
 
 
+def test_words_remembered_and_work_on_texts_stay_small():
+    encoder, letters = token_store.WordEncoder(public_tokenizers.path("word_bpe_49k.json")), "abcdefghijklmnopqrstuvwxyz"
+    word = lambda i: "".join(letters[i // 26**k % 26] for k in range(4)) + "zq"
+    rare = [" ".join(map(word, range(i, i + 100))) for i in range(0, 450_000, 100)]
+    many = ["a b " * 500] * 4200
+    traced = []
+    for texts in (rare, many):
+        column = pa.array(texts)
+        tracemalloc.start()
+        for begin, end in token_store._chunks(column):
+            ids, _ = encoder.encode(column.slice(begin, end - begin))
+        traced.append([size >> 20 for size in tracemalloc.get_traced_memory()])
+        tracemalloc.stop()
+    assert max(len(encoder.words), len(encoder.pieces)) <= 400_000 and len(encoder.words) >= 290_000
+    # MB: what stays after the rare words, and the most that common ones take.
+    assert traced[0][0] < 100 and traced[1][1] < 30
+
+
 def test_shards_end_with_the_text_that_fills_them(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_store, "CHUNK_BYTES", 40)
     rng, path = random.Random(41), public_tokenizers.path("word_bpe_49k.json")
