@@ -1,10 +1,10 @@
 """Boosted regression trees grown leaf by leaf over histograms, with exact attributions.
 
-A model is fitted on a bounded sample of labelled rows (``FIT_ROWS``), each fit in a task of its own: the
-folds of an out-of-fold table, the arms of an uplift model and the trials of a search run side by side.
-Everything that touches all customers (prediction, attribution, out-of-fold scores) is a pass over
-their rows.  Trees carry the published penalties and leaf limits; ``operators.boosting`` trains Spark's
-own boosted trees on all rows instead, level by level and without them.
+A model is fitted on all labelled rows, each fit in a task of its own: the folds of an out-of-fold table
+and the trials of a search run side by side.  Borders of bins are found and rows encoded on the executors;
+a task then holds a byte per row and input, and some 50 bytes a row while it fits.  Prediction, attribution
+and out-of-fold scores are passes over the customers' rows.  Trees carry the published penalties and leaf
+limits; ``operators.boosting`` trains Spark's own boosted trees instead, level by level and without them.
 """
 
 from __future__ import annotations
@@ -17,15 +17,17 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.splits import fold_id
 from ledgerlens.operators.boosting import BoostParams
-from ledgerlens.operators.stability import materialise, ship
+from ledgerlens.operators.quantiles import melt, place_counts, value_counts
+from ledgerlens.operators.ranking import unfold
+from ledgerlens.operators.stability import landed, materialise, ship
 
-FIT_ROWS = 200_000  # labelled rows a fit takes at most: those with the least hashes of their keys
-MAX_BINS = 255
+MAX_BINS = 255  # a code fits a byte
+PACKED_ROWS = 10_000  # rows of the sample that travel as one
 _TREES = ("job int, tree int, feature array<int>, threshold array<double>, left array<int>, right array<int>, "
           "value array<double>, cover array<double>, gain array<double>, base double, score double")
 _PARTS = ("feature", "threshold", "left", "right", "value", "cover", "gain")  # as Forest holds them
@@ -33,7 +35,7 @@ _PARTS = ("feature", "threshold", "left", "right", "value", "cover", "gain")  #
 
 @dataclass(frozen=True)
 class Sample:
-    """Keys, binned inputs, the upper edges of the bins but the last, targets and folds."""
+    """Binned inputs (a byte each, column by column), the upper edges of the bins but the last, targets and folds."""
 
     inputs: tuple[str, ...]
     codes: np.ndarray
@@ -116,7 +118,7 @@ def from_nested(inputs: Sequence[str], base: float, trees: Sequence) -> Forest:
     return Forest(tuple(inputs), float(base), np.array(roots, np.int64), *(np.array(flat[n], kind(n)) for n in _PARTS))
 
 
-# --- fitting: array arithmetic over the sample ------------------------------------------------
+# --- fitting: array arithmetic over the rows --------------------------------------------------
 
 def bin_edges(values: np.ndarray, bins: int = MAX_BINS) -> np.ndarray:
     """Borders between neighbouring values; with more distinct values than bins, those nearest to equal shares."""
@@ -162,17 +164,17 @@ def _grow(codes: np.ndarray, gradient: np.ndarray, rows: np.ndarray, chosen: np.
           ) -> tuple[dict[str, list], np.ndarray]:
     """One tree, always the leaf with the largest gain split next, and the leaf values that ``rows`` reach.
 
-    Leaves that cannot be split (too few rows, depth, the last leaves) get no histogram.
+    Leaves that cannot be split (too few rows, depth, the last leaves) get no histogram.  Inner nodes give up their rows.
     """
     tree: dict[str, list] = {name: [] for name in _PARTS}
-    inputs = len(chosen)
-    places, slopes = codes[np.ix_(rows, chosen)] + np.arange(inputs) * width, gradient[rows]
-    members: list[np.ndarray] = []
+    columns, slopes = [codes[:, f].take(rows) for f in chosen], gradient[rows]
+    members: list[np.ndarray | None] = []
 
     def histogram(some: np.ndarray) -> np.ndarray:
-        flat, out = places[some].ravel(), np.empty((2, inputs, width))
-        out[0] = np.bincount(flat, minlength=inputs * width).reshape(-1, width)
-        out[1] = np.bincount(flat, np.repeat(slopes[some], inputs), inputs * width).reshape(-1, width)
+        out, weights = np.empty((2, len(columns), width)), slopes[some]
+        for i, column in enumerate(columns):
+            bins = column[some].astype(np.intp)
+            out[0, i], out[1, i] = np.bincount(bins, minlength=width), np.bincount(bins, weights, width)
         return out
 
     def may_split(some: np.ndarray, depth: int) -> bool:
@@ -195,8 +197,8 @@ def _grow(codes: np.ndarray, gradient: np.ndarray, rows: np.ndarray, chosen: np.
     while waiting and leaves < params.num_leaves:
         gain, at, feature, cut, counted, depth = heapq.heappop(waiting)
         leaves += 1
-        some = members[at]
-        goes_left = places[some, feature] <= cut + feature * width
+        some, members[at] = members[at], None
+        goes_left = columns[feature][some] <= cut
         sides = [some[goes_left], some[~goes_left]]
         small = int(len(sides[1]) < len(sides[0]))
         found: dict[int, np.ndarray] = {}
@@ -216,16 +218,32 @@ def _grow(codes: np.ndarray, gradient: np.ndarray, rows: np.ndarray, chosen: np.
     return tree, reached
 
 
+def _add_reached(out: np.ndarray, codes: np.ndarray, tree: dict[str, list], rows: np.ndarray) -> None:
+    """Add to ``out`` the leaf values of the binned rows of these numbers."""
+    waiting = [(0, rows)]
+    while waiting:
+        node, some = waiting.pop()
+        feature = tree["feature"][node]
+        if feature < 0:
+            out[some] += tree["value"][node]
+            continue
+        goes_left = codes[:, feature][some] <= tree["threshold"][node]
+        waiting += [(tree["left"][node], some[goes_left]), (tree["right"][node], some[~goes_left])]
+
+
 def _reach(codes: np.ndarray, tree: dict[str, list]) -> np.ndarray:
     """Leaf values of binned rows."""
-    feature, cut, left, right = (np.array(tree[name]) for name in ("feature", "threshold", "left", "right"))
-    node = np.zeros(len(codes), np.int64)
-    while True:
-        inner = np.flatnonzero(feature[node] >= 0)
-        if not len(inner):
-            return np.array(tree["value"])[node]
-        here = node[inner]
-        node[inner] = np.where(codes[inner, feature[here]] <= cut[here], left[here], right[here])
+    out = np.zeros(len(codes))
+    _add_reached(out, codes, tree, np.arange(len(codes)))
+    return out
+
+
+def _chosen_rows(codes: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Rows of a table that lies in memory column by column, and stays so."""
+    out = np.empty((int(some.sum()), codes.shape[1]), codes.dtype, order="F")
+    for i in range(codes.shape[1]):
+        out[:, i] = codes[some, i]
+    return out
 
 
 def fit_sample(codes: np.ndarray, target: np.ndarray, params: BoostParams) -> tuple[float, list[dict[str, list]]]:
@@ -243,21 +261,55 @@ def fit_sample(codes: np.ndarray, target: np.ndarray, params: BoostParams) -> tu
         tree, reached = _grow(codes, prediction - target, np.flatnonzero(drawn), chosen, width, params)
         prediction[drawn] += reached
         if not drawn.all():
-            prediction[~drawn] += _reach(codes[~drawn], tree)
+            _add_reached(prediction, codes, tree, np.flatnonzero(~drawn))
         trees.append(tree)
     return base, trees
 
 
-def draw_sample(df: DataFrame, inputs: Sequence[str], label: str, fit_rows: int = FIT_ROWS, folds: int = 5, key: str = "customer_id") -> Sample:
-    """At most ``fit_rows`` labelled rows, the least hashes of the keys first; null inputs count as NaN, which lies in the last bin."""
+def borders(rows: DataFrame, columns: Sequence[str], bins: int = MAX_BINS) -> list[np.ndarray]:
+    """:func:`bin_edges` of each column over all rows: counted values are placed in order, and only those that borders lie between are read."""
+    found: dict[str, list[float]] = {c: [] for c in columns}
+    if columns:
+        placement = place_counts(value_counts(melt(rows, columns), "value", by=["column"]), by=["column"])
+        whole = Window.partitionBy("column")
+        slots = placement.slots.withColumns({"_total": F.sum("_in_n").over(whole), "_distinct": F.sum("_in_rows").over(whole)})
+        last = F.greatest(F.col("_total") - 1, F.lit(1)).alias("_last")
+        values = unfold(placement, slots, ["_total", "_distinct"]).select("column", "value", "_distinct", (F.col("cum_n") - F.col("n")).alias("before"), "cum_n", last)
+        # Wanted are the positions i·last // (bins − 1); so many of them lie before position p:
+        wanted = lambda p: F.least(F.expr(f"({p} * {bins - 1} + _last - 1) div _last"), F.lit(bins))
+        for r in values.where((F.col("_distinct") <= bins) | (wanted("cum_n") > wanted("before"))).select("column", "value").collect():  # at most bins a column
+            found[r["column"]].append(r["value"])
+    return [bin_edges(np.array(found[c], float), bins) for c in columns]
+
+
+def draw_sample(df: DataFrame, inputs: Sequence[str], label: str, fit_rows: int | None = None, folds: int = 5, key: str = "customer_id") -> Sample:
+    """All labelled rows, ordered by the hashes of their keys, or the first ``fit_rows``; null inputs count as NaN, which lies in the last bin."""
+    names = [f"x{i}" for i in range(len(inputs))]
     rows = df.where(F.col(label).isNotNull()).select(
-        *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(inputs)], F.col(label).cast("double").alias("y"),
-        fold_id(key, folds).alias("f"), F.xxhash64(F.col(key)).alias("h"), F.col(key).alias("k"))
-    taken = rows.orderBy("h", "k").limit(fit_rows).drop("h", "k").toArrow()
-    columns = [taken.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(inputs))]
-    edges = [bin_edges(c[~np.isnan(c)]) for c in columns]
-    codes = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, columns)], axis=1) if columns else np.zeros((taken.num_rows, 0))
-    return Sample(tuple(inputs), codes.astype(np.int64), edges, taken.column("y").to_numpy().astype(float), taken.column("f").to_numpy())
+        *[F.col(c).cast("double").alias(x) for c, x in zip(inputs, names)], F.col(label).cast("double").alias("y"),
+        F.coalesce(fold_id(key, folds), F.lit(-1)).alias("f"), F.xxhash64(F.col(key)).alias("h"), F.col(key).alias("k"))
+    rows = landed(rows if fit_rows is None else rows.orderBy("h", "k").limit(fit_rows))
+    edges = borders(rows, names)
+    ship(df.sparkSession)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in (whole.slice(at, PACKED_ROWS) for at in range(0, whole.num_rows, PACKED_ROWS)):
+                x = _matrix(batch, len(names)) if names else np.zeros((batch.num_rows, 0))
+                codes = [np.searchsorted(e, x[:, i], side="left").astype(np.uint8).tobytes() for i, e in enumerate(edges)]
+                target, fold = (batch.column(len(names) + i).to_numpy(zero_copy_only=False) for i in range(2))
+                yield pa.RecordBatch.from_arrays([pa.array([one], pa.binary()) for one in (
+                    b"".join(codes), target.astype(float).tobytes(), fold.astype(np.int32).tobytes())], ["codes", "target", "fold"])
+
+    packed = rows.orderBy("h", "k").select(*names, "y", "f").mapInArrow(work, "codes binary, target binary, fold binary").toArrow()  # 12 bytes a row, and one per input
+    pieces = lambda name, kind: [np.frombuffer(one.as_buffer(), kind) for one in packed.column(name)]
+    target, fold = (np.concatenate([np.zeros(0, kind), *pieces(name, kind)]) for name, kind in (("target", float), ("fold", np.int32)))
+    codes, at = np.empty((len(target), len(names)), np.uint8, order="F"), 0
+    for piece in pieces("codes", np.uint8) if names else []:
+        part = piece.reshape(len(names), -1).T
+        codes[at:at + len(part)] = part
+        at += len(part)
+    return Sample(tuple(inputs), codes, edges, target, fold)
 
 
 def _as_forest(sample: Sample, base: float, trees: Sequence[dict]) -> Forest:
@@ -290,14 +342,13 @@ def fit_side_by_side(spark: SparkSession, sample: Sample, jobs: Sequence[tuple[B
             for number in (order[i] for i in batch.column(0).to_pylist()):
                 params, left_out = jobs[number]
                 known = np.ones(len(target), bool) if left_out is None else fold != left_out
-                base, trees = fit_sample(codes[known], target[known], params)
+                base, trees = fit_sample(codes if known.all() else _chosen_rows(codes, known), target[known], params)
                 score = None
                 if left_out is not None and not known.all():
-                    unseen = codes[~known]
-                    held = np.full(len(unseen), base)
+                    held, unseen = np.full(len(target), base), np.flatnonzero(~known)
                     for tree in trees:
-                        held += _reach(unseen, tree)
-                    score = float(np.abs(held - target[~known]).mean())
+                        _add_reached(held, codes, tree, unseen)
+                    score = float(np.abs(held[unseen] - target[unseen]).mean())
                 rows = [[number, t, *(tree[p] for p in _PARTS), base, score] for t, tree in enumerate(trees if keep_trees else [])]
                 rows.append([number, -1, *[[]] * len(_PARTS), base, score])
                 kinds = [pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64()), *[pa.list_(pa.int32())] * 2,
@@ -316,9 +367,9 @@ def fit_side_by_side(spark: SparkSession, sample: Sample, jobs: Sequence[tuple[B
     return out
 
 
-def train(df: DataFrame, inputs: Sequence[str], label: str, params: BoostParams = BoostParams(), fit_rows: int = FIT_ROWS,
+def train(df: DataFrame, inputs: Sequence[str], label: str, params: BoostParams = BoostParams(), fit_rows: int | None = None,
           key: str = "customer_id") -> Forest:
-    """A model of ``label``, fitted in one task on at most ``fit_rows`` rows."""
+    """A model of ``label``, fitted in one task on all labelled rows, or on ``fit_rows`` of them."""
     return fit_side_by_side(df.sparkSession, draw_sample(df, inputs, label, fit_rows, key=key), [(params, None)])[0][0]
 
 
@@ -372,7 +423,7 @@ def predict(model: Forest | Sequence[Forest], df: DataFrame, inputs: Sequence[st
 
 
 def out_of_fold(df: DataFrame, inputs: Sequence[str], label: str, params: BoostParams, folds: int = 5, key: str = "customer_id",
-                fit_rows: int = FIT_ROWS) -> DataFrame:
+                fit_rows: int | None = None) -> DataFrame:
     """(key, label, oof): every customer predicted by the one of ``folds`` models that has not seen their fold."""
     rows = materialise(df.select(key, *inputs, F.col(label).cast("double").alias(label)).withColumn("_fold", fold_id(key, folds)))
     sample = draw_sample(rows, inputs, label, fit_rows, folds, key)

@@ -18,7 +18,7 @@ from statistics import median
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.operators.boosting import BoostParams
-from ledgerlens.operators.forest import FIT_ROWS, Sample, draw_sample, fit_side_by_side
+from ledgerlens.operators.forest import Sample, draw_sample, fit_side_by_side
 
 # The published search ranges.
 SPACE = {
@@ -134,10 +134,10 @@ def run_round(spark: SparkSession, sample: Sample, points: dict[int, dict[str, f
 
 
 def search(df: DataFrame, inputs: Sequence[str], label: str, trials: int = 30, seed: int = 42, folds: int = 5, key: str = "customer_id",
-           space: dict = SPACE, fit_rows: int = FIT_ROWS) -> tuple[BoostParams, list[Trial]]:
+           space: dict = SPACE, fit_rows: int | None = None) -> tuple[BoostParams, list[Trial]]:
     """(best parameters by cross-validated mean absolute error, all trials).
 
-    Folds hang on the key alone; at most ``fit_rows`` labelled rows take part.  With ``trials`` 0 the published defaults are returned.
+    Folds hang on the key alone; all labelled rows take part unless ``fit_rows`` says how many.  With ``trials`` 0 the published defaults are returned.
     """
     sample = draw_sample(df, inputs, label, fit_rows, folds, key)
     table: list[Trial] = []

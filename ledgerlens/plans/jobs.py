@@ -28,7 +28,7 @@ class ModelPlan:
 
     trials: int | None = None  # None: as the settings say; 0: published defaults without a search
     search_space: dict | None = None
-    fit_rows: int = forest.FIT_ROWS  # labelled rows that a fit of trees takes at most
+    fit_rows: int | None = None  # labelled rows that a fit of trees takes; None: all
     # "oof": stack, intervals and comparison use predictions by models that have not seen the customer;
     # "passthrough": they use those of the final model, as published.
     stack_mode: str = "oof"
