@@ -31,6 +31,30 @@ def test_attributions_start_from_the_mean_of_all_rows(many):
     assert len(few) == 40 and all(r["base_value"] == pytest.approx(y.mean(), rel=1e-12) for r in few)
 
 
+def test_the_first_split_counts_all_rows(spark, many):
+    nodes = forest.train(many, ["a"], "y", PLAIN).table(spark).where("tree = 0").orderBy("node").collect()
+    a, y = plain(many, "a", "y")
+    root = nodes[0]
+    left, right = nodes[root["left"]], nodes[root["right"]]
+    goes_left = a <= root["threshold"]
+    assert root["cover"] == ROWS and (left["cover"], right["cover"]) == (goes_left.sum(), (~goes_left).sum())
+    assert [n["value"] for n in nodes if n["feature"] is None] == pytest.approx(
+        [y[a == v].mean() - y.mean() for v in _values_by_leaf(nodes)], rel=1e-9)
+
+
+def _values_by_leaf(nodes):
+    """The one value of the input that each leaf is left with: the tree has as many leaves as there are values."""
+    out = []
+    for leaf in (n for n in nodes if n["feature"] is None):
+        for value in range(7):
+            at = nodes[0]
+            while at["feature"] is not None:
+                at = nodes[at["left"] if value <= at["threshold"] else at["right"]]
+            if at["node"] == leaf["node"]:
+                out.append(value)
+    return out
+
+
 def test_borders_are_those_of_all_values(spark):
     """Many and few values, ties across borders, none at all, missing and infinite ones: as sorting each whole column gives."""
     rows = materialise(spark.range(30_000).select(
