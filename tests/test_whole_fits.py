@@ -55,6 +55,18 @@ def _values_by_leaf(nodes):
     return out
 
 
+def test_split_importance_weighs_the_gains_of_all_rows(many):
+    a, b, y = plain(many, "a", "b", "y")
+    edges = [forest.bin_edges(c) for c in (a, b)]
+    codes = np.stack([np.searchsorted(e, c) for e, c in zip(edges, (a, b))], axis=1)
+    _, (tree,) = forest.fit_sample(codes, y, PLAIN)
+    gains = np.bincount([f for f in tree["feature"] if f >= 0], [g for f, g in zip(tree["feature"], tree["gain"]) if f >= 0], 2)
+    model = forest.train(many, ["a", "b"], "y", PLAIN)
+    got = {r["feature"]: r["importance"] for r in forest.split_importance(model, ["a", "b"]).collect()}
+    assert (got["a"], got["b"]) == pytest.approx(tuple(gains / gains.sum()), rel=1e-6)
+    assert model.gain.sum() == pytest.approx(gains.sum(), rel=1e-6)
+
+
 def test_borders_are_those_of_all_values(spark):
     """Many and few values, ties across borders, none at all, missing and infinite ones: as sorting each whole column gives."""
     rows = materialise(spark.range(30_000).select(
