@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import forest
 from ledgerlens.operators.boosting import BoostParams
+from ledgerlens.operators.conformal import calibrate
 from ledgerlens.operators.stability import materialise
 
 ROWS = 200_600
@@ -79,3 +80,18 @@ def test_borders_are_those_of_all_values(spark):
         for name, got in zip(rows.columns, forest.borders(rows, rows.columns, bins)):
             values = table[name].to_numpy()
             assert np.array_equal(got, forest.bin_edges(values[~np.isnan(values)], bins)), (name, bins)
+
+
+def test_intervals_rest_on_a_model_of_the_whole_training_part(spark):
+    """Means of the training part are the centers, so the half width is an order statistic known beforehand."""
+    matrix = materialise(spark.range(420_000).select(
+        F.col("id").alias("customer_id"), (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 1000 * F.col("id") % 7877).cast("double").alias("target"),
+        F.when(F.col("id") % 2 == 0, "train").otherwise("calibration").alias("part")))
+    model = forest.train(matrix.where("part = 'train'"), ["a"], "target", PLAIN)
+    assert model.cover[0] == 210_000
+    a, y, part = plain(matrix, "a", "target", "part")
+    train, rest = part == "train", part != "train"
+    centers = np.array([y[train & (a == v)].mean() for v in range(7)])
+    scores = np.sort(np.abs(y[rest] - centers[a[rest].astype(int)]))
+    half = calibrate(forest.predict(model, matrix.where("part <> 'train'"), ["a"], "p"), "target", "p", 0.1)
+    assert half.half_width == pytest.approx(scores[int(np.ceil((len(scores) + 1) * 0.9)) - 1], rel=1e-9)
