@@ -95,3 +95,13 @@ def test_intervals_rest_on_a_model_of_the_whole_training_part(spark):
     scores = np.sort(np.abs(y[rest] - centers[a[rest].astype(int)]))
     half = calibrate(forest.predict(model, matrix.where("part <> 'train'"), ["a"], "p"), "target", "p", 0.1)
     assert half.half_width == pytest.approx(scores[int(np.ceil((len(scores) + 1) * 0.9)) - 1], rel=1e-9)
+
+
+def test_out_of_fold_trees_see_all_rows_of_the_other_folds(many):
+    """A leaf for each value: everybody gets the mean of their value in the other folds."""
+    held = forest.out_of_fold(many, ["a"], "y", PLAIN, folds=3)
+    a, y, fold, got = plain(held.join(many.select("customer_id", "a"), "customer_id").withColumn("fold", forest.fold_id("customer_id", 3)), "a", "y", "fold", "oof")
+    assert len(got) == ROWS
+    for f in range(3):
+        for value in range(7):
+            assert got[(fold == f) & (a == value)] == pytest.approx(y[(fold != f) & (a == value)].mean(), rel=1e-9)
