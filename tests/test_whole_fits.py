@@ -105,3 +105,10 @@ def test_out_of_fold_trees_see_all_rows_of_the_other_folds(many):
     for f in range(3):
         for value in range(7):
             assert got[(fold == f) & (a == value)] == pytest.approx(y[(fold != f) & (a == value)].mean(), rel=1e-9)
+
+
+def test_out_of_fold_means_are_those_of_all_other_rows(many):
+    held = forest.out_of_fold(many, ["a"], "y", BoostParams(n_estimators=0), folds=4)
+    y, fold, got = plain(held.withColumn("fold", forest.fold_id("customer_id", 4)), "y", "fold", "oof")
+    for f in range(4):
+        assert got[fold == f] == pytest.approx(y[fold != f].mean(), rel=1e-12)
