@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import forest
+from ledgerlens.operators import forest, uplift
 from ledgerlens.operators.boosting import BoostParams
 from ledgerlens.operators.conformal import calibrate
 from ledgerlens.operators.stability import materialise
@@ -112,3 +112,15 @@ def test_out_of_fold_means_are_those_of_all_other_rows(many):
     y, fold, got = plain(held.withColumn("fold", forest.fold_id("customer_id", 4)), "y", "fold", "oof")
     for f in range(4):
         assert got[fold == f] == pytest.approx(y[fold != f].mean(), rel=1e-12)
+
+
+def test_arms_are_fitted_on_all_their_rows(spark):
+    table = materialise(spark.range(406_000).select(
+        F.col("id").alias("customer_id"), (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 1000 * F.col("id") % 7877).cast("double").alias("y"),
+        (F.col("id") % 2).cast("int").alias("treatment")))
+    models = uplift.fit_t_learner(table, ["a"], "y", params=PLAIN)
+    assert [m.cover[0] for m in models] == [203_000, 203_000]
+    a, y, treatment, got = plain(uplift.predict_uplift(models, table, ["a"]), "a", "y", "treatment", "uplift_score")
+    for value in range(7):
+        same = a == value
+        assert got[same] == pytest.approx(y[same & (treatment == 1)].mean() - y[same & (treatment == 0)].mean(), rel=1e-9, abs=1e-6)
