@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import forest, uplift
+from ledgerlens.operators import forest, search, uplift
 from ledgerlens.operators.boosting import BoostParams
 from ledgerlens.operators.conformal import calibrate
 from ledgerlens.operators.stability import materialise
@@ -56,6 +56,14 @@ def _values_by_leaf(nodes):
     return out
 
 
+def test_trials_are_scored_on_all_rows(many):
+    """A search whose trials are all but constant: the error of the left-out folds is that of the other folds' means."""
+    space = {"n_estimators": (1, 1, "int"), "reg_alpha": (1e12, 1e12, "log")}
+    _, (trial,) = search.search(many, ["a"], "y", trials=1, folds=3, space=space)
+    y, fold = plain(many.withColumn("fold", forest.fold_id("customer_id", 3)), "y", "fold")
+    assert trial.loss == pytest.approx(np.mean([np.abs(y[fold == f] - y[fold != f].mean()).mean() for f in range(3)]), rel=1e-12)
+
+
 def test_split_importance_weighs_the_gains_of_all_rows(many):
     a, b, y = plain(many, "a", "b", "y")
     edges = [forest.bin_edges(c) for c in (a, b)]
